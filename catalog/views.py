@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairscore.schema import INT_FEATURES
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -111,3 +113,91 @@ def with_sql(*ctes: str, select: str) -> str:
 
 def text_features_sql(relation: str) -> str:
     return TEXT_FEATURES.format(relation)
+
+
+# characters of every document with their neighbours, and hashed n-gram cells
+CHARS = """chars AS (
+  SELECT doc_id, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS pos
+  FROM documents WHERE text <> ''),
+grams AS (
+  SELECT doc_id, unicode(ch)::BIGINT AS c0, lead(unicode(ch)) OVER w AS c1,
+         lead(unicode(ch), 2) OVER w AS c2, coalesce(lag(unicode(ch)) OVER w, 1114112)::BIGINT AS prev
+  FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY pos))"""
+
+
+def _similarity(name: str, cell: str, last: str) -> str:
+    return f"""{name}_cells AS (
+  SELECT doc_id, {cell} AS cell, count(*) AS n FROM grams WHERE {last} IS NOT NULL GROUP BY ALL),
+{name}_norms AS (SELECT doc_id, sqrt(sum(n * n)::DOUBLE) AS norm FROM {name}_cells GROUP BY doc_id),
+{name}_dots AS (
+  SELECT a.doc_id AS line_no, sum(a.n * b.n)::DOUBLE AS dot
+  FROM {name}_cells a JOIN {name}_cells b ON b.doc_id = a.doc_id + 1 AND b.cell = a.cell GROUP BY a.doc_id),
+{name} AS (
+  SELECT p.line_no, coalesce(d.dot / (x.norm * y.norm), 0.0::DOUBLE) AS sim
+  FROM (SELECT a.doc_id AS line_no FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1) p
+  LEFT JOIN {name}_dots d ON d.line_no = p.line_no
+  LEFT JOIN {name}_norms x ON x.doc_id = p.line_no
+  LEFT JOIN {name}_norms y ON y.doc_id = p.line_no + 1)"""
+
+
+EMBEDDING = _similarity("embedding_sim", "((c0 * 31 + c1) * 31 + c2) % 384", "c2")
+LABSE = _similarity("labse_sim", "(c0 * 131 + c1) % 768", "c1")
+
+# bigram counts of the target side, and the perplexity of every target
+CHAR_LM = """target_grams AS (
+  SELECT doc_id - 1 AS line_no, prev, c0 FROM grams
+  WHERE doc_id - 1 IN (SELECT doc_id FROM documents)),
+lm AS (SELECT prev, c0, count(*) AS n FROM target_grams GROUP BY ALL),
+contexts AS (SELECT prev, sum(n) AS context_n FROM lm GROUP BY prev),
+perplexity AS (
+  SELECT line_no, exp(-avg(ln((n + 1) / (context_n + (SELECT count(DISTINCT c0) FROM lm))))) AS ppl
+  FROM target_grams JOIN lm USING (prev, c0) JOIN contexts USING (prev) GROUP BY line_no)"""
+
+ALL_FEATURES = """signals AS (
+  SELECT t.*, e.sim AS embedding_similarity, l.sim AS labse_similarity, p.ppl AS chinese_perplexity,
+         min(length_ratio) OVER () AS low, max(length_ratio) OVER () AS high
+  FROM text_features t JOIN embedding_sim e USING (line_no) JOIN labse_sim l USING (line_no)
+  LEFT JOIN perplexity p USING (line_no)),
+wide AS (
+  SELECT line_no, hindi_length, chinese_length, hindi_word_count, chinese_char_count, length_ratio, length_diff,
+         hindi_avg_word_length, chinese_avg_char_length,
+         (length_ratio - low) / (high - low + 1e-8::DOUBLE) AS length_ratio_normalized,
+         embedding_similarity, labse_similarity, chinese_perplexity,
+         1 / (chinese_perplexity + 1) AS chinese_fluency,
+         embedding_similarity * labse_similarity AS embedding_labse_interaction,
+         (embedding_similarity + labse_similarity) / 2 AS similarity_avg,
+         abs(embedding_similarity - labse_similarity) AS similarity_diff,
+         embedding_similarity * embedding_similarity AS embedding_similarity_squared,
+         labse_similarity * labse_similarity AS labse_similarity_squared,
+         embedding_similarity / (labse_similarity + 1e-8::DOUBLE) AS similarity_ratio,
+         char_alignment,
+         length_ratio * embedding_similarity AS length_similarity_interaction,
+         chinese_length * chinese_perplexity AS length_perplexity_interaction,
+         chinese_length / (chinese_perplexity + 1e-8::DOUBLE) AS length_perplexity_ratio,
+         punctuation_count_hi, punctuation_count_zh, digit_count_hi, digit_count_zh,
+         punctuation_ratio_hi, punctuation_ratio_zh, vocab_diversity_hi, vocab_diversity_zh,
+         score AS ccmatrix_score
+  FROM signals WHERE chinese_perplexity IS NOT NULL)"""
+
+FEATURE_CTES = (
+    DOC_PAIRS,
+    text_features_sql("doc_pairs"),
+    CHARS,
+    EMBEDDING,
+    LABSE,
+    CHAR_LM,
+    ALL_FEATURES,
+)
+SIMILARITY_CTES = (DOC_PAIRS, CHARS, EMBEDDING)
+
+
+def rounded(df: DataFrame, places: int = 6, skip: tuple[str, ...] = ()) -> DataFrame:
+    """Doubles rounded, so that another order of summation gives the same table."""
+    names = [f.name for f in df.schema if f.dataType.typeName() == "double" and f.name not in skip]
+    return df.withColumns({c: F.round(c, places) for c in names}) if names else df
+
+
+def rounded_sql(columns: list[str], places: int = 6) -> str:
+    return ", ".join(
+        c if c in INT_FEATURES else f"round({c}, {places}) AS {c}" for c in columns
+    )

@@ -7,7 +7,7 @@ length of the rest: one pass per text and no array of matches.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The character classes of the text features.  ``(?U)`` makes
@@ -69,28 +69,52 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
 
 
-def windows(items: Column, n: int) -> Column:
-    """The runs of ``n`` neighbouring items, each as a struct.
+def windows(items: Column, n: int, separator: str) -> Column:
+    """The runs of ``n`` neighbouring items, joined to strings.
 
     Built from ``n`` shifted copies of the array, so the cost stays linear in the
     text length; taking substrings by position would be quadratic.
     """
-    count = F.size(items) - F.lit(n - 1)
-    shifted = [F.slice(items, i + 1, F.greatest(count, F.lit(0))) for i in range(n)]
-    return F.arrays_zip(*[s.alias(f"c{i}") for i, s in enumerate(shifted)])
-
-
-def ngram_overlap(a: Column, b: Column, n: int) -> Column:
-    """Jaccard of the n-gram sets of two item arrays; 0.0 if either is shorter than n."""
-    grams_a = F.array_distinct(windows(a, n))
-    grams_b = F.array_distinct(windows(b, n))
+    count = F.greatest(F.size(items) - F.lit(n - 1), F.lit(0))
+    joined = F.slice(items, 1, count)
+    for i in range(1, n):
+        joined = F.zip_with(
+            joined,
+            F.slice(items, i + 1, count),
+            lambda left, right: F.concat(left, F.lit(separator), right),
+        )
+    return joined
+
+
+def ngram_overlap(
+    df: DataFrame, items_a: Column, items_b: Column, n: int, separator: str, output: str
+) -> DataFrame:
+    """Adds the Jaccard of two n-gram sets; 0.0 if either side is shorter than n.
+
+    The arrays are made in steps of their own, so that each is built only once.
+    """
+    a, b = F.col("_items_a"), F.col("_items_b")
+    staged = df.withColumns({"_items_a": items_a, "_items_b": items_b}).withColumns(
+        {
+            "_grams_a": F.array_distinct(windows(a, n, separator)),
+            "_grams_b": F.array_distinct(windows(b, n, separator)),
+        }
+    )
     long_enough = (F.size(a) >= n) & (F.size(b) >= n)
-    return F.when(long_enough, jaccard(grams_a, grams_b)).otherwise(F.lit(0.0))
+    overlap = jaccard(F.col("_grams_a"), F.col("_grams_b"))
+    return staged.withColumn(output, F.when(long_enough, overlap).otherwise(F.lit(0.0))).drop(
+        "_items_a", "_items_b", "_grams_a", "_grams_b"
+    )
 
 
-def char_ngram_overlap(a: Column, b: Column, n: int) -> Column:
-    return ngram_overlap(chars(a), chars(b), n)
+def char_ngram_overlap(
+    df: DataFrame, a: str, b: str, n: int = 1, output: str = "char_ngram_overlap"
+) -> DataFrame:
+    return ngram_overlap(df, chars(F.col(a)), chars(F.col(b)), n, "", output)
 
 
-def word_ngram_overlap(a: Column, b: Column, n: int) -> Column:
-    return ngram_overlap(words(a), words(b), n)
+def word_ngram_overlap(
+    df: DataFrame, a: str, b: str, n: int = 1, output: str = "word_ngram_overlap"
+) -> DataFrame:
+    # a word holds no white space, so the blank keeps neighbours apart
+    return ngram_overlap(df, words(F.col(a)), words(F.col(b)), n, " ", output)

@@ -39,12 +39,13 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the work folder and read it back.
 
     Unlike a cache, the written table outlives lost executors, and everything
     expensive above it (model inference, wide joins) is not run again.
     """
     path = work_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
