@@ -21,6 +21,7 @@ from pairscore.operators.regress import with_interval
 from pairscore.plans.explore import composite_scores
 from pairscore.plans.features import ratio_bounds, text_features
 from pairscore.schema import SCORING_DEFAULTS
+from pairscore.session import materialize
 
 
 def text_pairs(spark, sf_dir):
@@ -29,8 +30,9 @@ def text_pairs(spark, sf_dir):
 
 
 def similar_pairs(spark, sf_dir):
-    pairs = doc_pairs(spark, sf_dir)
-    return signals.similarity(pairs).select("line_no", "score", "embedding_similarity")
+    """Written once, so that the passes that follow do not run the encoder again."""
+    pairs = signals.similarity(doc_pairs(spark, sf_dir))
+    return materialize(pairs.select("line_no", "score", "embedding_similarity"), "similar-pairs")
 
 
 def simple_predictions(spark, sf_dir):

@@ -137,7 +137,7 @@ class FittedNetwork:
 
     def history_table(self, df: DataFrame) -> DataFrame:
         """Losses per epoch: ``(epoch, loss, mae, val_loss, val_mae)``."""
-        rows = [tuple([i + 1, *h.values()]) for i, h in enumerate(self.history)]
+        rows = [(i + 1, *map(float, h.values())) for i, h in enumerate(self.history)]
         return df.sparkSession.createDataFrame(
             rows, "epoch int, loss double, mae double, val_loss double, val_mae double"
         )
@@ -187,7 +187,7 @@ def _sums(part: DataFrame, shape: Shape, weights: np.ndarray, dropout: float, se
     sent.destroy()
     total = np.zeros(size + 3)
     total[summed["slot"].to_numpy()] = summed["value"].to_numpy()
-    return total[:size], total[size], total[size + 1], total[size + 2]
+    return total[:size], *map(float, total[size:])
 
 
 def fit_mlp(

@@ -29,10 +29,12 @@ def value_ranks(
         steps = [i / n_buckets for i in range(1, n_buckets)]
         cuts = counts.agg(F.percentile_approx(value, steps, 20 * n_buckets)).first()[0]
         inner = sorted(set(cuts))
-    splits = [-math.inf, *inner, math.inf]
-    placed = Bucketizer(
-        splits=splits, inputCol=value, outputCol="range_no", handleInvalid="keep"
-    ).transform(counts)
+    if inner:
+        placed = Bucketizer(
+            splits=[-math.inf, *inner, math.inf], inputCol=value, outputCol="range_no"
+        ).transform(counts)
+    else:
+        placed = counts.withColumn("range_no", F.lit(0.0))
     totals = placed.groupBy("range_no").agg(F.sum(weight).alias("held")).collect()
     start, starts = 0, {}
     for row in sorted(totals, key=lambda r: r["range_no"]):
