@@ -24,11 +24,11 @@ from catalog.views import (
 )
 from pairscore.functions import text, vectors
 from pairscore.operators import signals
-from pairscore.operators.filters import select_training
 from pairscore.operators.joins import translate
 from pairscore.operators.profile import embedding_shape
-from pairscore.plans.features import all_features, text_features
+from pairscore.plans.features import fit_ratio_range, text_features, training_table
 from pairscore.schema import FEATURES, TARGET
+from pairscore.session import materialize
 
 # white space around a text, as the strip operator must remove it
 PADDING = "　\t\x1f "
@@ -131,9 +131,8 @@ def score_text(spark, sf_dir):
 def feature_table(spark, sf_dir):
     """All 31 features and the target of every pair."""
     pairs = doc_pairs(spark, sf_dir)
-    lm = signals.fit_char_lm(pairs, "target")
-    wide = all_features(pairs, lm).withColumnRenamed("score", TARGET)
-    return rounded(select_training(wide, FEATURES, TARGET, keep=["line_no"]))
+    lm = materialize(signals.fit_char_lm(pairs, "target"), "char-lm")
+    return rounded(training_table(pairs, lm, fit_ratio_range(pairs)))
 
 
 def translate_lookup(spark, sf_dir):

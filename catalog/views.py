@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairscore.operators.joins import zip_by_line
 from pairscore.schema import INT_FEATURES
 
 
@@ -24,7 +25,7 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").alias("nb"),
     )
     ratio = F.least("na", "nb") / F.greatest("na", "nb")
-    return a.join(b, "line_no").select(
+    return zip_by_line([a, b]).select(
         "line_no", "source", "target", (F.lit(1.06) + F.lit(0.18) * ratio).alias("score")
     )
 
@@ -38,7 +39,7 @@ def conv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = turns.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target")
     )
-    return a.join(b, ["conv_id", "turn"]).select(
+    return a.join(b.hint("merge"), ["conv_id", "turn"]).select(
         F.concat_ws("/", "conv_id", "turn").alias("pair_id"), "source", "target"
     )
 
@@ -48,7 +49,7 @@ def vec_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     a = vectors.select("vec_id", F.col("embedding").alias("a"), "label")
     b = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
-    return a.join(b, "vec_id")
+    return zip_by_line([a, b], "vec_id")
 
 
 def system_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:

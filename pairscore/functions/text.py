@@ -57,6 +57,17 @@ def char_set(text: Column) -> Column:
     return F.array_distinct(chars(text))
 
 
+def lower_char_set(text: Column, distinct: Column) -> Column:
+    """Characters of the lower-cased text, from the text and its distinct characters.
+
+    Lower-casing looks at one character at a time, so the few distinct ones are
+    enough.  The capital sigma is the exception: its lower case depends on its
+    neighbours, so a text that has one is lower-cased whole.
+    """
+    short = F.lower(F.array_join(distinct, ""))
+    return F.when(F.contains(text, F.lit("Σ")), char_set(F.lower(text))).otherwise(char_set(short))
+
+
 def diversity(distinct_items: Column, total: Column) -> Column:
     """Distinct items over total + 1."""
     return F.size(distinct_items) / (total + F.lit(1))

@@ -65,10 +65,10 @@ def translate(
 def zip_by_line(sides: list[DataFrame], key: str = "line_no") -> DataFrame:
     """Row i of each side next to row i of the others.
 
-    All sides are hashed on the same key, so they are shuffled once each and the
-    joins after the first reuse the partitioning.
+    All sides grow with the corpus, so none is broadcast.  They are hashed on the
+    same key, so each is shuffled once and the later joins reuse the partitioning.
     """
     result = sides[0]
     for side in sides[1:]:
-        result = result.join(side, key)
+        result = result.join(side.hint("merge"), key)
     return result

@@ -30,14 +30,19 @@ def text_features(df: DataFrame, cols: PairColumns = PAIRS) -> DataFrame:
             "digit_count_hi": text.digit_count(s),
             "digit_count_zh": text.digit_count(t),
             "_words": text.words(s),
-            "_chars": text.char_set(t),
-            "_lower_s": text.char_set(F.lower(s)),
-            "_lower_t": text.char_set(F.lower(t)),
+            "_chars_s": text.char_set(s),
+            "_chars_t": text.char_set(t),
         }
     )
     sl, tl = F.col("hindi_length"), F.col("chinese_length")
     one = F.lit(1)
-    counted = staged.withColumn("hindi_word_count", F.size("_words"))
+    counted = staged.withColumns(
+        {
+            "hindi_word_count": F.size("_words"),
+            "_lower_s": text.lower_char_set(s, F.col("_chars_s")),
+            "_lower_t": text.lower_char_set(t, F.col("_chars_t")),
+        }
+    )
     return counted.withColumns(
         {
             "length_ratio": sl / (tl + one),
@@ -49,10 +54,10 @@ def text_features(df: DataFrame, cols: PairColumns = PAIRS) -> DataFrame:
             "vocab_diversity_hi": text.diversity(
                 F.array_distinct("_words"), F.col("hindi_word_count")
             ),
-            "vocab_diversity_zh": text.diversity(F.col("_chars"), tl),
+            "vocab_diversity_zh": text.diversity(F.col("_chars_t"), tl),
             "char_alignment": text.jaccard(F.col("_lower_s"), F.col("_lower_t")),
         }
-    ).drop("_words", "_chars", "_lower_s", "_lower_t")
+    ).drop("_words", "_chars_s", "_chars_t", "_lower_s", "_lower_t")
 
 
 def signal_features(
@@ -122,6 +127,24 @@ def all_features(
     return derived_features(text_features(with_signals, cols), low, high)
 
 
+def training_table(
+    df: DataFrame,
+    lm: DataFrame,
+    ratio_range: RatioRange,
+    cols: PairColumns = PAIRS,
+    features: list[str] = FEATURES,
+    **loaders,
+) -> DataFrame:
+    """Complete training rows ``(key, features, target)``, read from a stored table.
+
+    Rows are dropped after the table is written: a filter on the computed columns
+    would be pushed below them, and every text and model would be worked twice.
+    """
+    wide = all_features(df, lm, ratio_range, cols, **loaders)
+    wide = wide.withColumnRenamed(cols.score, TARGET).select(cols.key, *features, TARGET)
+    return select_training(materialize(wide, "features"), features, TARGET, keep=[cols.key])
+
+
 @dataclass(frozen=True)
 class FeatureJob:
     table: DataFrame
@@ -147,9 +170,7 @@ def build_features(
     if lm is None:
         lm = materialize(signals.fit_char_lm(df, cols.target), "char-lm")
     ratio_range = fit_ratio_range(df, cols)
-    wide = all_features(df, lm, ratio_range, cols, **loaders)
-    wide = wide.withColumnRenamed(cols.score, TARGET)
-    table = materialize(select_training(wide, features, TARGET, keep=[cols.key]), "features")
+    table = training_table(df, lm, ratio_range, cols, features, **loaders)
     pruned = prune_collinear(table, features, limit)
     return FeatureJob(
         table.select(cols.key, *pruned.kept, TARGET), pruned.kept, pruned, lm, ratio_range
