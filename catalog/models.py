@@ -20,6 +20,7 @@ from catalog.views import (
     with_sql,
 )
 from pairscore.operators import collinear, metrics, ranks, regress, sampling, scaling, shapley
+from pairscore.operators.filters import filter_low_quality
 from pairscore.operators.network import fit_mlp
 from pairscore.operators.tuning import grid_search
 from pairscore.plans.features import build_features, text_features
@@ -32,6 +33,7 @@ from pairscore.plans.scoring import (
 from pairscore.schema import FEATURES, TARGET, PairColumns
 from pairscore.session import materialize, work_folder
 from pairscore.sources.store import ScoringPipeline, load_pipeline, save_pipeline
+from pairscore.sources.tables import read_params, write_params
 from pairscore.streaming.scoring import read_pair_stream, score_stream
 
 MODELS = ["ratio", "overlap"]
@@ -304,10 +306,16 @@ def fit_embedding_regressor(spark, sf_dir):
 
 def search(spark, sf_dir):
     job = build_features(doc_pairs(spark, sf_dir))
-    found = grid_search(
-        job.table, "linear", job.features, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}, k=3
-    )
-    return found.averages
+    space = {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}
+    return grid_search(job.table, "linear", job.features, space, k=3).averages
+
+
+def line_search(spark, sf_dir):
+    """A search over lines; centred data make the intercept irrelevant."""
+    made = text_table(spark, sf_dir).select("line_no", "length_ratio", TARGET)
+    made = materialize(made, "line-search")
+    space = {"regParam": [0.0], "fitIntercept": [True, False]}
+    return rounded(grid_search(made, "linear", ["length_ratio"], space, k=3).averages)
 
 
 def tree_importance(spark, sf_dir):
@@ -358,24 +366,52 @@ def scored_pairs(spark, sf_dir):
     return score_pairs(doc_pairs(spark, sf_dir), pipeline).drop("source", "target")
 
 
+def line_pipeline(spark, sf_dir):
+    """A pipeline whose model is a line over the length ratio, which SQL can fit too."""
+    job = build_features(doc_pairs(spark, sf_dir), features=["length_ratio"])
+    fitted = regress.fit_regressor(job.table, "linear", job.features)
+    return ScoringPipeline(fitted, job.lm, job.ratio_range)
+
+
+def scored_by_line(spark, sf_dir):
+    scored = score_pairs(doc_pairs(spark, sf_dir), line_pipeline(spark, sf_dir))
+    return rounded(
+        scored.select("line_no", "predicted_score", "confidence_lower", "confidence_upper")
+    )
+
+
 def saved_pipeline(spark, sf_dir):
     """Scores of a pipeline that was saved and loaded again."""
     path = work_folder(spark, "pipeline")
-    save_pipeline(spark, fitted_pipeline(spark, sf_dir), path)
-    return score_pairs(doc_pairs(spark, sf_dir), load_pipeline(spark, path)).select(
-        "line_no", "predicted_score"
-    )
+    save_pipeline(spark, line_pipeline(spark, sf_dir), path)
+    scored = score_pairs(doc_pairs(spark, sf_dir), load_pipeline(spark, path))
+    return rounded(scored.select("line_no", "predicted_score"))
+
+
+def filtered_corpus(spark, sf_dir):
+    """The corpus without the pairs that are scored below a threshold."""
+    scored = score_pairs(doc_pairs(spark, sf_dir), line_pipeline(spark, sf_dir))
+    return rounded(filter_low_quality(scored, 1.13).select("line_no", "predicted_score"))
+
+
+def line_attributions(spark, sf_dir):
+    """Exact attributions of the line against 50 background rows."""
+    job = build_features(doc_pairs(spark, sf_dir), features=["length_ratio"])
+    fitted = regress.fit_regressor(job.table, "linear", job.features)
+    background = shapley.background_rows(job.table, job.features, fitted.feature_scaler)
+    explained = shapley.linear_shapley(job.table, fitted, background)
+    return rounded(explained.select("line_no", "length_ratio"))
 
 
 def scored_stream(spark, sf_dir):
     """Pairs scored as a stream of files, then read back."""
-    pipeline = fitted_pipeline(spark, sf_dir)
+    pipeline = line_pipeline(spark, sf_dir)
     pairs = materialize(doc_pairs(spark, sf_dir), "stream-input")
     folder = work_folder(spark, "stream")
     stream = read_pair_stream(spark, pairs.inputFiles()[0].rsplit("/", 1)[0], pairs.schema)
     query = score_stream(stream, pipeline, f"{folder}/scored", f"{folder}/checkpoint", once=True)
     query.awaitTermination()
-    return spark.read.parquet(f"{folder}/scored").select("line_no", "predicted_score")
+    return rounded(spark.read.parquet(f"{folder}/scored").select("line_no", "predicted_score"))
 
 
 def translated_pairs(spark, sf_dir):
@@ -383,21 +419,25 @@ def translated_pairs(spark, sf_dir):
     from catalog.text import lower_case_translator
 
     sources = doc_pairs(spark, sf_dir).select("line_no", "source")
-    pipeline = fitted_pipeline(spark, sf_dir)
-    return evaluate_translator(sources, lower_case_translator, pipeline).select(
-        "line_no", "predicted_score"
-    )
+    scored = evaluate_translator(sources, lower_case_translator, line_pipeline(spark, sf_dir))
+    return rounded(scored.select("line_no", "predicted_score"))
 
 
 def params_round_trip(spark, sf_dir):
     """The result of a search, written and read as JSON."""
-    from pairscore.sources.tables import read_params, write_params
-
-    job = build_features(doc_pairs(spark, sf_dir))
-    found = grid_search(job.table, "linear", job.features, {"regParam": [0.0, 0.1]}, k=3)
+    made = text_table(spark, sf_dir).select("line_no", "length_ratio", TARGET)
+    made = materialize(made, "line-search")
+    space = {"regParam": [0.0], "fitIntercept": [True, False]}
+    found = grid_search(made, "linear", ["length_ratio"], space, k=3)
     path = work_folder(spark, "params")
     write_params(spark, path, "linear", found.best_params, found.best_cv_rmse)
-    return spark.createDataFrame([("linear", json.dumps(read_params(spark, path)))], "model string, best_params string")
+    stored = read_params(spark, path)
+    return rounded(
+        spark.createDataFrame(
+            [("linear", json.dumps(stored["best_params"]), stored["best_cv_rmse"])],
+            "model string, best_params string, best_cv_rmse double",
+        )
+    )
 
 
 def _hash_sql(key: str, salt: str) -> str:
@@ -470,6 +510,21 @@ SPLIT_PREDICTIONS = (
     UNPIVOT wide_metrics ON mae, rmse, r2, pearson, spearman INTO NAME metric VALUE value)
   WHERE split = 'test' OR metric IN ('mae', 'rmse', 'r2'))""",
 )
+LINE = f"""line AS (
+  SELECT regr_slope({TARGET}, length_ratio) AS slope, regr_intercept({TARGET}, length_ratio) AS start FROM text_table)"""
+LINE_SCORES = (
+    *TEXT_TABLE,
+    LINE,
+    "line_scores AS (SELECT line_no, length_ratio, start + slope * length_ratio AS s FROM text_table, line)",
+)
+LINE_SEARCH = (
+    *TEXT_TABLE,
+    f"f AS (SELECT length_ratio AS x, {TARGET} AS y, {_bucket_sql('line_no', 'fold42')} % 3 AS fold FROM text_table)",
+    """l AS (SELECT k.fold, regr_slope(y, x) AS slope, regr_intercept(y, x) AS start
+  FROM (SELECT DISTINCT fold FROM f) k JOIN f ON f.fold <> k.fold GROUP BY k.fold)""",
+    """e AS (SELECT fold, sqrt(avg((start + slope * x - y) ** 2)) AS rmse, avg(abs(start + slope * x - y)) AS mae
+  FROM f JOIN l USING (fold) GROUP BY fold)""",
+)
 BEST = "(SELECT model FROM metrics WHERE metric = 'mae' AND split = 'test' ORDER BY value, model DESC LIMIT 1)"
 SYSTEM_SCORES = (
     DOC_PAIRS,
@@ -698,8 +753,61 @@ FROM text_table, (SELECT regr_slope({TARGET}, length_ratio) AS slope, regr_inter
     "linear_attributions": (linear_attributions, None),
     "shapley_importance": (shapley_importance, None),
     "score_pairs": (scored_pairs, None),
-    "saved_pipeline": (saved_pipeline, None),
-    "score_stream": (scored_stream, None),
-    "evaluate_translator": (translated_pairs, None),
-    "params_round_trip": (params_round_trip, None),
+    "score_pairs_line": (
+        scored_by_line,
+        with_sql(
+            *LINE_SCORES,
+            select="SELECT line_no, round(s, 6) AS predicted_score, round(s - 1.96 * 0.1 * abs(s), 6) AS confidence_lower, "
+            "round(s + 1.96 * 0.1 * abs(s), 6) AS confidence_upper FROM line_scores",
+        ),
+    ),
+    "saved_pipeline": (
+        saved_pipeline,
+        with_sql(*LINE_SCORES, select="SELECT line_no, round(s, 6) AS predicted_score FROM line_scores"),
+    ),
+    "score_stream": (
+        scored_stream,
+        with_sql(*LINE_SCORES, select="SELECT line_no, round(s, 6) AS predicted_score FROM line_scores"),
+    ),
+    "filtered_corpus": (
+        filtered_corpus,
+        with_sql(
+            *LINE_SCORES,
+            select="SELECT line_no, round(s, 6) AS predicted_score FROM line_scores WHERE s >= 1.13::DOUBLE",
+        ),
+    ),
+    "evaluate_translator": (
+        translated_pairs,
+        with_sql(
+            *LINE_SCORES,
+            select="SELECT line_no, round(start + slope * (length(source) / (length('» ' || lower(source)) + 1)), 6) AS predicted_score "
+            "FROM doc_pairs, line",
+        ),
+    ),
+    "linear_attributions_line": (
+        line_attributions,
+        with_sql(
+            *LINE_SCORES,
+            f"""background AS (SELECT avg(length_ratio) AS middle FROM (
+  SELECT length_ratio FROM text_table ORDER BY {_hash_sql('line_no', 'samplebackground42')}, line_no LIMIT 50))""",
+            select=f"""SELECT line_no, round(slope * (length_ratio - middle) / (SELECT stddev_pop({TARGET}) FROM text_table), 6) AS length_ratio
+FROM text_table, line, background""",
+        ),
+    ),
+    "grid_search_line": (
+        line_search,
+        with_sql(
+            *LINE_SEARCH,
+            select="""SELECT params, round(avg(rmse), 6) AS mean_rmse, round(avg(mae), 6) AS mean_mae, count(*) AS folds
+FROM e, (VALUES ('{"regParam": 0.0, "fitIntercept": true}'), ('{"regParam": 0.0, "fitIntercept": false}')) p(params)
+GROUP BY params""",
+        ),
+    ),
+    "params_round_trip": (
+        params_round_trip,
+        with_sql(
+            *LINE_SEARCH,
+            select="""SELECT 'linear' AS model, '{"regParam": 0.0, "fitIntercept": true}' AS best_params, round(avg(rmse), 6) AS best_cv_rmse FROM e""",
+        ),
+    ),
 }

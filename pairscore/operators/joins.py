@@ -20,15 +20,18 @@ def lookup(
     key: str,
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
+    table_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``df`` with ``table``, which has one row per ``key``.
+    """Join ``df`` with ``table``, which has one row per ``key`` (``table_rows``, if known).
 
     A table of at most ``broadcast_rows`` rows is broadcast.  A larger one is
     shuffled, except for the hot keys of ``df``: a key with more than a
     1/1000 share of the rows goes through a broadcast join of its own.  There
     are fewer than 1000 of those, whatever the size of the data.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if table_rows is None:
+        table_rows = table.limit(broadcast_rows + 1).count()
+    if table_rows <= broadcast_rows:
         return df.join(F.broadcast(table), key, how)
     hot = hot_keys(df, key)
     if not hot:

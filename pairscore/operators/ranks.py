@@ -12,54 +12,46 @@ from pairscore.operators.joins import hot_keys, lookup, scalar
 from pairscore.session import materialize
 
 VALUES_PER_BUCKET = 500_000
+RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 
 def value_ranks(
-    counts: DataFrame, value: str, weight: str, per_bucket: int = VALUES_PER_BUCKET
+    counts: DataFrame, value: str, weight: str, values: int, per_bucket: int = VALUES_PER_BUCKET
 ) -> DataFrame:
     """Average rank of every value of a ``(value, weight)`` table, one row per value.
 
-    The distinct values are cut into ranges of about equal size.  The running
+    The distinct ``values`` are cut into ranges of about equal size.  The running
     count is taken inside a range, and the (few) range totals give each range
     its starting rank.
     """
-    n_buckets = max(1, math.ceil(counts.count() / per_bucket))
+    n_buckets = max(1, math.ceil(values / per_bucket))
     inner: list[float] = []
     if n_buckets > 1:
         steps = [i / n_buckets for i in range(1, n_buckets)]
         cuts = counts.agg(F.percentile_approx(value, steps, 20 * n_buckets)).first()[0]
         inner = sorted(set(cuts))
-    if inner:
-        placed = Bucketizer(
-            splits=[-math.inf, *inner, math.inf], inputCol=value, outputCol="range_no"
-        ).transform(counts)
-    else:
-        placed = counts.withColumn("range_no", F.lit(0.0))
+    upto, own = F.col("upto"), F.col(weight)
+    rank = (upto - (own - F.lit(1)) / F.lit(2.0)).alias("rank")
+    if not inner:
+        # a single range: all values together are within the bound of one
+        whole = Window.partitionBy("range_no").orderBy(value).rowsBetween(*RUNNING)
+        placed = counts.withColumn("range_no", F.lit(0))
+        return placed.withColumn("upto", F.sum(weight).over(whole)).select(value, rank)
+    placed = Bucketizer(
+        splits=[-math.inf, *inner, math.inf], inputCol=value, outputCol="range_no"
+    ).transform(counts)
     totals = placed.groupBy("range_no").agg(F.sum(weight).alias("held")).collect()
-    start, starts = 0, {}
+    start, starts = 0, []
     for row in sorted(totals, key=lambda r: r["range_no"]):
-        starts[row["range_no"]] = start
+        starts.append((row["range_no"], start))
         start += row["held"]
-    offsets = df_of_starts(counts, starts)
-    running = (
-        Window.partitionBy("range_no")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    offsets = counts.sparkSession.createDataFrame(starts, "range_no double, start long")
+    running = Window.partitionBy("range_no").orderBy(value).rowsBetween(*RUNNING)
     return (
         placed.withColumn("upto", F.sum(weight).over(running))
         .join(F.broadcast(offsets), "range_no")
-        .select(
-            value,
-            (F.col("start") + F.col("upto") - (F.col(weight) - F.lit(1)) / F.lit(2.0)).alias("rank"),
-        )
-    )
-
-
-def df_of_starts(like: DataFrame, starts: dict[float, int]) -> DataFrame:
-    """Starting rank per range: as many rows as there are ranges."""
-    return like.sparkSession.createDataFrame(
-        [(float(k), int(v)) for k, v in starts.items()], "range_no double, start long"
+        .withColumn("upto", F.col("start") + upto)
+        .select(value, rank)
     )
 
 
@@ -76,11 +68,13 @@ def spearman(df: DataFrame, a: str, b: str, label: str = "spearman", **options)
         .agg(F.count(F.lit(1)).alias("w")),
         "rank-pairs",
     )
+    values = pairs.agg(F.count_distinct("a").alias("a"), F.count_distinct("b").alias("b")).first()
     ranked = pairs
     for side in ("a", "b"):
         counts = pairs.groupBy(side).agg(F.sum("w").alias("n"))
-        ranks = value_ranks(counts, side, "n", **options)
-        ranked = lookup(ranked, ranks.withColumnRenamed("rank", f"rank_{side}"), side, "inner")
+        ranks = value_ranks(counts, side, "n", values[side], **options)
+        ranks = ranks.withColumnRenamed("rank", f"rank_{side}")
+        ranked = lookup(ranked, ranks, side, "inner", table_rows=values[side])
     total = pairs.agg(F.sum("w").alias("n"))
     middle = (scalar(total, "n") + F.lit(1)) / F.lit(2.0)
     centred = ranked.select(
@@ -126,11 +120,7 @@ def rank_within(
         "rank-ranges",
     )
     held = ranged.groupBy(group, "range_no").agg(F.count(F.lit(1)).alias("held"))
-    before = (
-        Window.partitionBy(group)
-        .orderBy("range_no")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    before = Window.partitionBy(group).orderBy("range_no").rowsBetween(*RUNNING)
     # one row per hot group and range, so a window over a group is small here
     starts = held.select(
         group, "range_no", (F.sum("held").over(before) - F.col("held")).alias("start")

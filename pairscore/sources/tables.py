@@ -84,10 +84,13 @@ def write_params(
 
 
 def read_params(spark: SparkSession, path: str) -> dict:
-    """The best parameters of a stored search; also reads a nested, indented object."""
-    row = spark.read.option("multiLine", True).json(path).first().asDict(recursive=True)
-    params = row["best_params"]
-    return json.loads(params) if isinstance(params, str) else params
+    """A stored search: ``model``, ``best_params``, ``best_cv_rmse``.
+
+    ``best_params`` may be a nested object, as in a hand-written file.
+    """
+    found = spark.read.option("multiLine", True).json(path).first().asDict(recursive=True)
+    params = found["best_params"]
+    return {**found, "best_params": json.loads(params) if isinstance(params, str) else params}
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
