@@ -41,6 +41,11 @@ def digit_count(text: Column) -> Column:
     return count_class(text, DIGIT)
 
 
+def marks(text: Column) -> Column:
+    """Only the punctuation and digits of a text, for counting either without a second pass."""
+    return F.regexp_replace(text, f"[^{PUNCTUATION}{DIGIT}]+", "")
+
+
 def words(text: Column) -> Column:
     """White-space separated words; an empty array for blank text."""
     return F.regexp_extract_all(text, F.lit(rf"(?U)[^{WHITESPACE}]+"), F.lit(0))

@@ -21,26 +21,37 @@ def lookup(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     table_rows: int | None = None,
+    hot: list | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Join ``df`` with ``table``, which has one row per ``key`` (``table_rows``, if known).
 
     A table of at most ``broadcast_rows`` rows is broadcast.  A larger one is
-    shuffled, except for the hot keys of ``df``: a key with more than a
-    1/1000 share of the rows goes through a broadcast join of its own.  There
-    are fewer than 1000 of those, whatever the size of the data.
+    shuffled.  Then the rows of a hot key, one with more than a 1/1000 share, are
+    spread over all tasks by a hash of ``spread_by`` (every other column, if not
+    given), and its one row of ``table`` is copied to each.  Fewer than 1000 keys
+    can be hot, whatever the size of the data.
     """
     if table_rows is None:
         table_rows = table.limit(broadcast_rows + 1).count()
     if table_rows <= broadcast_rows:
         return df.join(F.broadcast(table), key, how)
-    hot = hot_keys(df, key)
-    if not hot:
+    hot = hot_keys(df, key) if hot is None else hot
+    spread_by = spread_by or [c for c in df.columns if c != key]
+    if not hot or not spread_by:
         return df.join(table, key, how)
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.col(key).isin(hot)
-    hot_rows = df.filter(is_hot).join(F.broadcast(table.filter(is_hot)), key, how)
-    # a NULL key matches nothing and must stay on the shuffled side
-    cold_rows = df.filter(~is_hot | F.col(key).isNull()).join(table, key, how)
-    return hot_rows.unionByName(cold_rows)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    # rows without a key match nothing; they are spread as well
+    salted = df.withColumn(
+        "_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(F.lit(0))
+    )
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    copied = table.withColumn(
+        "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
+    )
+    return salted.join(copied, [key, "_salt"], how).drop("_salt")
 
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:

@@ -29,9 +29,11 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
             F.stddev_samp(x).alias(f"std_{c}"),
             F.min(x).alias(f"min_{c}"),
             F.max(x).alias(f"max_{c}"),
+            F.approx_count_distinct(x).alias(f"distinct_{c}"),
         ]
     row = df.agg(*aggs).first()
-    quartiles = quantile_values(df, {c: QUARTILES for c in columns})
+    distinct = {c: row[f"distinct_{c}"] for c in columns}
+    quartiles = quantile_values(df, {c: QUARTILES for c in columns}, distinct=distinct)
     rows = [
         (
             c,

@@ -19,14 +19,22 @@ SKETCH_ACCURACY = 20_000
 
 
 def quantile_values(
-    df: DataFrame, targets: dict[str, list[float]], distinct_bound: int = DISTINCT_BOUND
+    df: DataFrame,
+    targets: dict[str, list[float]],
+    distinct_bound: int = DISTINCT_BOUND,
+    distinct: dict[str, int] | None = None,
 ) -> dict[tuple[str, float], float | None]:
-    """Linear-interpolated quantiles as ``{(column, q): value}``; NULL and NaN are skipped."""
+    """Linear-interpolated quantiles as ``{(column, q): value}``; NULL and NaN are skipped.
+
+    ``distinct`` gives the approximate distinct counts, if they are known already.
+    """
     columns = list(targets)
     clean = df.select(
         *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
     )
-    spread = clean.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    spread = distinct
+    if spread is None:
+        spread = clean.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     narrow = [c for c in columns if spread[c] <= distinct_bound]
     result: dict[tuple[str, float], float | None] = {}
     if narrow:

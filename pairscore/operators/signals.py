@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairscore.operators.joins import lookup
+from pairscore.operators.joins import HOT_SHARE, lookup, scalar
 
 Encoder = Callable[[list[str]], np.ndarray]
 Scorer = Callable[[list[str]], np.ndarray]
@@ -203,6 +203,14 @@ def vocabulary_size(lm: DataFrame) -> int:
     return lm.agg(F.count_distinct(following)).first()[0]
 
 
+def hot_bigrams(lm: DataFrame) -> list[int]:
+    """Bigrams with more than a 1/1000 share of all occurrences."""
+    total = lm.agg(F.sum("n").alias("total"))
+    return [
+        r[0] for r in lm.filter(F.col("n") * HOT_SHARE > scalar(total, "total")).select("bigram").collect()
+    ]
+
+
 def char_lm_perplexity(
     df: DataFrame,
     column: str,
@@ -280,7 +288,9 @@ def _perplexity_joined(
             )
 
     used = df.select(key, column).mapInArrow(spread, f"{key} {key_type}, bigram long, times long")
-    used = lookup(used, lm, "bigram", "left", broadcast_rows=0)
+    # a bigram that makes up much of the text is in most rows
+    hot = hot_bigrams(fit_char_lm(df, column))
+    used = lookup(used, lm, "bigram", "left", broadcast_rows=0, hot=hot, spread_by=[key])
     used = used.withColumn("previous", F.shiftright("bigram", CODE_BITS)).join(
         F.broadcast(_contexts(lm)), "previous", "left"
     )

@@ -19,16 +19,14 @@ from pairscore.session import materialize
 def text_features(df: DataFrame, cols: PairColumns = PAIRS) -> DataFrame:
     """Length, punctuation, digit, diversity and overlap features of both texts."""
     s, t = F.col(cols.source), F.col(cols.target)
-    # words and character sets are needed more than once: build them in a first step
+    # words, marks and character sets are needed more than once: build them in a first step
     staged = df.withColumns(
         {
             "hindi_length": F.length(s),
             "chinese_length": F.length(t),
             "chinese_char_count": text.han_count(t),
-            "punctuation_count_hi": text.punctuation_count(s),
-            "punctuation_count_zh": text.punctuation_count(t),
-            "digit_count_hi": text.digit_count(s),
-            "digit_count_zh": text.digit_count(t),
+            "_marks_s": text.marks(s),
+            "_marks_t": text.marks(t),
             "_words": text.words(s),
             "_chars_s": text.char_set(s),
             "_chars_t": text.char_set(t),
@@ -39,6 +37,10 @@ def text_features(df: DataFrame, cols: PairColumns = PAIRS) -> DataFrame:
     counted = staged.withColumns(
         {
             "hindi_word_count": F.size("_words"),
+            "punctuation_count_hi": text.punctuation_count(F.col("_marks_s")),
+            "punctuation_count_zh": text.punctuation_count(F.col("_marks_t")),
+            "digit_count_hi": text.digit_count(F.col("_marks_s")),
+            "digit_count_zh": text.digit_count(F.col("_marks_t")),
             "_lower_s": text.lower_char_set(s, F.col("_chars_s")),
             "_lower_t": text.lower_char_set(t, F.col("_chars_t")),
         }
@@ -57,7 +59,7 @@ def text_features(df: DataFrame, cols: PairColumns = PAIRS) -> DataFrame:
             "vocab_diversity_zh": text.diversity(F.col("_chars_t"), tl),
             "char_alignment": text.jaccard(F.col("_lower_s"), F.col("_lower_t")),
         }
-    ).drop("_words", "_chars_s", "_chars_t", "_lower_s", "_lower_t")
+    ).drop("_words", "_marks_s", "_marks_t", "_chars_s", "_chars_t", "_lower_s", "_lower_t")
 
 
 def signal_features(
