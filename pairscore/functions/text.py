@@ -82,7 +82,7 @@ def jaccard(a: Column, b: Column) -> Column:
     """Overlap of two arrays without repeats; 0.0 when both are empty."""
     shared = F.size(F.array_intersect(a, b))
     union = F.size(a) + F.size(b) - shared
-    return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
+    return F.when(union == 0, F.lit(0.0)).otherwise(shared / F.nullif(union, F.lit(0)))
 
 
 def windows(items: Column, n: int, separator: str) -> Column:
@@ -116,9 +116,9 @@ def ngram_overlap(
             "_grams_b": F.array_distinct(windows(b, n, separator)),
         }
     )
-    long_enough = (F.size(a) >= n) & (F.size(b) >= n)
+    too_short = (F.size(a) < n) | (F.size(b) < n)
     overlap = jaccard(F.col("_grams_a"), F.col("_grams_b"))
-    return staged.withColumn(output, F.when(long_enough, overlap).otherwise(F.lit(0.0))).drop(
+    return staged.withColumn(output, F.when(too_short, F.lit(0.0)).otherwise(overlap)).drop(
         "_items_a", "_items_b", "_grams_a", "_grams_b"
     )
 

@@ -32,9 +32,13 @@ CODE_BITS = 21
 START = 0x110000
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=4)
 def loaded(loader):
-    """The model of a loader, kept for the life of the Python worker."""
+    """The model of a loader, kept for the life of the Python worker.
+
+    This needs a loader the worker can import, from a module sent with
+    ``--py-files``; one defined in a script is called once per task.
+    """
     return loader()
 
 

@@ -10,20 +10,21 @@ from pyspark.sql import types as T
 
 from pairscore.schema import CSV_SOURCE, CSV_TARGET, TARGET, feature_schema
 
-# quotes doubled inside quoted fields, line breaks allowed, blanks kept
+# quotes are doubled inside quoted fields, blanks at the ends are kept
 CSV_OPTIONS = {
     "header": True,
     "quote": '"',
     "escape": '"',
-    "multiLine": True,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# line breaks inside texts are allowed; "" is an empty text, nothing at all is NULL
+CSV_TEXT_OPTIONS = {**CSV_OPTIONS, "multiLine": True, "nullValue": "\u0000"}
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a header CSV, without reading the rows."""
-    return spark.read.options(header=True, quote='"', escape='"').csv(path).columns
+    return spark.read.options(**CSV_OPTIONS).csv(path).columns
 
 
 def feature_names(columns: list[str], target: str = TARGET) -> list[str]:
@@ -58,7 +59,7 @@ def read_pairs(
     if path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(path)
     else:
-        df = spark.read.options(**CSV_OPTIONS).csv(path)
+        df = spark.read.options(**CSV_TEXT_OPTIONS).csv(path)
     missing = [c for c in (source, target) if c not in df.columns]
     if missing:
         raise ValueError(f"the file must have the columns {source!r} and {target!r}")
@@ -69,7 +70,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     """Parquet by default; ``csv`` writes a header and quotes what needs it."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.options(header=True, quote='"', escape='"', emptyValue='""').csv(path)
+        writer.options(**CSV_OPTIONS).csv(path)
     else:
         writer.format(fmt).save(path)
 
