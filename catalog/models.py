@@ -14,6 +14,8 @@ from catalog.views import (
     VEC_PAIRS,
     doc_pairs,
     rounded,
+    rounded_feature_sql,
+    rounded_features,
     system_outputs,
     text_features_sql,
     vec_pairs,
@@ -127,7 +129,7 @@ def feature_job(spark, sf_dir):
     """The whole feature job; its table in long form, as the kept columns depend on the data."""
     job = build_features(doc_pairs(spark, sf_dir))
     doubles = job.table.select("line_no", *[F.col(c).cast("double").alias(c) for c in job.features])
-    return rounded(doubles.unpivot(["line_no"], job.features, "feature", "value"))
+    return rounded_features(doubles.unpivot(["line_no"], job.features, "feature", "value"))
 
 
 # --- metrics ------------------------------------------------------------------
@@ -616,7 +618,7 @@ ENTRIES = {
         feature_job,
         with_sql(
             *CORRELATIONS,
-            select="SELECT line_no, feature, round(value, 6) AS value FROM long_form WHERE feature IN (SELECT feature FROM kept)",
+            select=f"SELECT line_no, feature, {rounded_feature_sql('value')} FROM long_form WHERE feature IN (SELECT feature FROM kept)",
         ),
     ),
     "regression_metrics": (

@@ -16,6 +16,7 @@ from catalog.views import (
     conv_pairs,
     doc_pairs,
     rounded,
+    rounded_features,
     rounded_sql,
     table,
     text_features_sql,
@@ -100,7 +101,7 @@ def char_lm(spark, sf_dir):
 
 def _perplexity(spark, sf_dir, **options):
     pairs = doc_pairs(spark, sf_dir)
-    counts = signals.fit_char_lm(pairs, "target")
+    counts = materialize(signals.fit_char_lm(pairs, "target"), "char-lm")
     scored = signals.char_lm_perplexity(pairs, "target", counts, **options)
     return rounded(scored.select("line_no", "chinese_perplexity"))
 
@@ -132,7 +133,7 @@ def feature_table(spark, sf_dir):
     """All 31 features and the target of every pair."""
     pairs = doc_pairs(spark, sf_dir)
     lm = materialize(signals.fit_char_lm(pairs, "target"), "char-lm")
-    return rounded(training_table(pairs, lm, fit_ratio_range(pairs)))
+    return rounded_features(training_table(pairs, lm, fit_ratio_range(pairs)))
 
 
 def translate_lookup(spark, sf_dir):

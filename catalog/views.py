@@ -198,7 +198,17 @@ def rounded(df: DataFrame, places: int = 6, skip: tuple[str, ...] = ()) -> DataF
     return df.withColumns({c: F.round(c, places) for c in names}) if names else df
 
 
-def rounded_sql(columns: list[str], places: int = 6) -> str:
-    return ", ".join(
-        c if c in INT_FEATURES else f"round({c}, {places}) AS {c}" for c in columns
+def rounded_features(df: DataFrame) -> DataFrame:
+    """Doubles to 6 places, those of 100 and more to 2: about as many digits for both."""
+    names = [f.name for f in df.schema if f.dataType.typeName() == "double"]
+    return df.withColumns(
+        {c: F.when(F.abs(c) >= 100, F.round(c, 2)).otherwise(F.round(c, 6)) for c in names}
     )
+
+
+def rounded_feature_sql(c: str) -> str:
+    return f"CASE WHEN abs({c}) >= 100 THEN round({c}, 2) ELSE round({c}, 6) END AS {c}"
+
+
+def rounded_sql(columns: list[str]) -> str:
+    return ", ".join(c if c in INT_FEATURES else rounded_feature_sql(c) for c in columns)

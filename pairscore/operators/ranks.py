@@ -12,6 +12,7 @@ from pairscore.operators.joins import hot_keys, lookup, scalar
 from pairscore.session import materialize
 
 VALUES_PER_BUCKET = 500_000
+MOST_RANGES = 10_000
 RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -24,7 +25,7 @@ def value_ranks(
     count is taken inside a range, and the (few) range totals give each range
     its starting rank.
     """
-    n_buckets = max(1, math.ceil(values / per_bucket))
+    n_buckets = min(max(1, math.ceil(values / per_bucket)), MOST_RANGES)
     inner: list[float] = []
     if n_buckets > 1:
         steps = [i / n_buckets for i in range(1, n_buckets)]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,18 +23,24 @@ def build_session(app_name: str = "pairscore", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors can reach.
 
     Only a local session may run without that setting; it then gets a temporary
-    folder, kept for the rest of the session.
+    folder for the rest of the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp" if os.path.isdir("/tmp") else None)
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = context.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="run-")
+        base = _local_folders[app]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
