@@ -382,7 +382,7 @@ def scored_by_line(spark, sf_dir):
     )
 
 
-def saved_pipeline(spark, sf_dir):
+def reloaded_model_scores(spark, sf_dir):
     """Scores of a pipeline that was saved and loaded again."""
     path = work_folder(spark, "pipeline")
     save_pipeline(spark, line_pipeline(spark, sf_dir), path)
@@ -763,8 +763,8 @@ FROM text_table, (SELECT regr_slope({TARGET}, length_ratio) AS slope, regr_inter
             "round(s + 1.96 * 0.1 * abs(s), 6) AS confidence_upper FROM line_scores",
         ),
     ),
-    "saved_pipeline": (
-        saved_pipeline,
+    "reloaded_model_scores": (
+        reloaded_model_scores,
         with_sql(*LINE_SCORES, select="SELECT line_no, round(s, 6) AS predicted_score FROM line_scores"),
     ),
     "score_stream": (

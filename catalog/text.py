@@ -27,7 +27,7 @@ from pairscore.functions import text, vectors
 from pairscore.operators import signals
 from pairscore.operators.joins import translate
 from pairscore.operators.profile import embedding_shape
-from pairscore.plans.features import fit_ratio_range, text_features, training_table
+from pairscore.plans.features import text_features, training_table
 from pairscore.schema import FEATURES, TARGET
 from pairscore.session import materialize
 
@@ -133,7 +133,7 @@ def feature_table(spark, sf_dir):
     """All 31 features and the target of every pair."""
     pairs = doc_pairs(spark, sf_dir)
     lm = materialize(signals.fit_char_lm(pairs, "target"), "char-lm")
-    return rounded_features(training_table(pairs, lm, fit_ratio_range(pairs)))
+    return rounded_features(training_table(pairs, lm)[0])
 
 
 def translate_lookup(spark, sf_dir):

@@ -38,10 +38,10 @@ def lookup(
         return df.join(F.broadcast(table), key, how)
     hot = hot_keys(df, key) if hot is None else hot
     spread_by = spread_by or [c for c in df.columns if c != key]
-    if not hot or not spread_by:
+    if not spread_by:
         return df.join(table, key, how)
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     # rows without a key match nothing; they are spread as well
     salted = df.withColumn(

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairscore.operators.joins import HOT_SHARE, lookup, scalar
+from pairscore.schema import FAILED_SENTENCE_PERPLEXITY
 
 Encoder = Callable[[list[str]], np.ndarray]
 Scorer = Callable[[list[str]], np.ndarray]
@@ -135,7 +136,7 @@ def score_text(
     column: str,
     loader: Callable[[], Scorer],
     output: str = "chinese_perplexity",
-    default: float | None = None,
+    default: float | None = FAILED_SENTENCE_PERPLEXITY,
     batch: int = SCORER_BATCH,
 ) -> DataFrame:
     """One number per sentence from a pluggable scorer; ``default`` where it fails."""

@@ -82,11 +82,8 @@ class RatioRange:
     low: float
     high: float
 
-
-def fit_ratio_range(df: DataFrame, cols: PairColumns = PAIRS) -> RatioRange:
-    ratio = F.length(cols.source) / (F.length(cols.target) + F.lit(1))
-    low, high = df.agg(F.min(ratio), F.max(ratio)).first()
-    return RatioRange(low, high)
+    def normalized(self) -> Column:
+        return derived.guarded_minmax(F.col("length_ratio"), F.lit(self.low), F.lit(self.high))
 
 
 def ratio_bounds(df: DataFrame, cols: PairColumns = PAIRS) -> tuple[Column, Column]:
@@ -96,17 +93,24 @@ def ratio_bounds(df: DataFrame, cols: PairColumns = PAIRS) -> tuple[Column, Colu
     return scalar(stats, "low"), scalar(stats, "high")
 
 
-def derived_features(df: DataFrame, low: Column, high: Column) -> DataFrame:
+def derived_features(df: DataFrame) -> DataFrame:
     """Interactions, squares and ratios of the text features and signals."""
-    made = derived.interaction_features(
-        F.col("embedding_similarity"),
-        F.col("labse_similarity"),
-        F.col("chinese_perplexity"),
-        F.col("length_ratio"),
-        F.col("chinese_length"),
+    return df.withColumns(
+        derived.interaction_features(
+            F.col("embedding_similarity"),
+            F.col("labse_similarity"),
+            F.col("chinese_perplexity"),
+            F.col("length_ratio"),
+            F.col("chinese_length"),
+        )
     )
-    made["length_ratio_normalized"] = derived.guarded_minmax(F.col("length_ratio"), low, high)
-    return df.withColumns(made)
+
+
+def row_features(
+    df: DataFrame, lm: DataFrame, cols: PairColumns = PAIRS, **loaders
+) -> DataFrame:
+    """``df`` with the 30 features that depend on nothing but the row itself."""
+    return derived_features(text_features(signal_features(df, lm, cols, **loaders), cols))
 
 
 def all_features(
@@ -116,35 +120,37 @@ def all_features(
     cols: PairColumns = PAIRS,
     **loaders,
 ) -> DataFrame:
-    """``df`` with the 31 features added, as one lazy plan.
-
-    With a fitted range every feature depends on its own row only, so the same
-    plan serves training, scoring and a stream.
-    """
-    if ratio_range is None:
-        low, high = ratio_bounds(df, cols)
-    else:
-        low, high = F.lit(ratio_range.low), F.lit(ratio_range.high)
-    with_signals = signal_features(df, lm, cols, **loaders)
-    return derived_features(text_features(with_signals, cols), low, high)
+    """``df`` with the 31 features added, as one lazy plan."""
+    made = row_features(df, lm, cols, **loaders)
+    if ratio_range is not None:
+        return made.withColumn("length_ratio_normalized", ratio_range.normalized())
+    low, high = ratio_bounds(df, cols)
+    return made.withColumn(
+        "length_ratio_normalized", derived.guarded_minmax(F.col("length_ratio"), low, high)
+    )
 
 
 def training_table(
     df: DataFrame,
     lm: DataFrame,
-    ratio_range: RatioRange,
     cols: PairColumns = PAIRS,
     features: list[str] = FEATURES,
     **loaders,
-) -> DataFrame:
-    """Complete training rows ``(key, features, target)``, read from a stored table.
+) -> tuple[DataFrame, RatioRange]:
+    """Complete training rows ``(key, features, target)`` and the fitted ratio range.
 
-    Rows are dropped after the table is written: a filter on the computed columns
-    would be pushed below them, and every text and model would be worked twice.
+    The row features are written first.  The range then comes from one stored
+    column and not from another pass over the texts.  Incomplete rows are dropped
+    after the write as well: a filter on computed columns would be pushed below
+    them, and every text and model would be worked twice.
     """
-    wide = all_features(df, lm, ratio_range, cols, **loaders)
-    wide = wide.withColumnRenamed(cols.score, TARGET).select(cols.key, *features, TARGET)
-    return select_training(materialize(wide, "features"), features, TARGET, keep=[cols.key])
+    made = row_features(df, lm, cols, **loaders).withColumnRenamed(cols.score, TARGET)
+    per_row = [f for f in features if f not in ("length_ratio", "length_ratio_normalized")]
+    stored = materialize(made.select(cols.key, "length_ratio", *per_row, TARGET), "features")
+    low, high = stored.agg(F.min("length_ratio"), F.max("length_ratio")).first()
+    ratio_range = RatioRange(low, high)
+    full = stored.withColumn("length_ratio_normalized", ratio_range.normalized())
+    return select_training(full, features, TARGET, keep=[cols.key]), ratio_range
 
 
 @dataclass(frozen=True)
@@ -166,13 +172,13 @@ def build_features(
 ) -> FeatureJob:
     """Signals, features, cleaning and pruning.
 
-    The full feature table is written once: the correlation pass, every later
-    fit and the final selection read it, and no model runs twice.
+    The texts are read twice: the target side for the language model, both sides
+    for the features.  The feature table is written once; the correlation pass,
+    every later fit and the final selection read it.
     """
     if lm is None:
         lm = materialize(signals.fit_char_lm(df, cols.target), "char-lm")
-    ratio_range = fit_ratio_range(df, cols)
-    table = training_table(df, lm, ratio_range, cols, features, **loaders)
+    table, ratio_range = training_table(df, lm, cols, features, **loaders)
     pruned = prune_collinear(table, features, limit)
     return FeatureJob(
         table.select(cols.key, *pruned.kept, TARGET), pruned.kept, pruned, lm, ratio_range

@@ -27,11 +27,10 @@ def score_pairs(
     broadcast.  A row whose signals are missing gets the scoring defaults and
     ``signals_filled`` > 0.
     """
-    ratio_range = pipeline.ratio_range
     with_signals = signal_features(df, pipeline.lm, cols, **loaders)
     filled = fill_signal_defaults(with_signals, SCORING_DEFAULTS)
-    made = derived_features(
-        text_features(filled, cols), F.lit(ratio_range.low), F.lit(ratio_range.high)
+    made = derived_features(text_features(filled, cols)).withColumn(
+        "length_ratio_normalized", pipeline.ratio_range.normalized()
     )
     scored = with_interval(pipeline.fitted.predict(made))
     if keep_features:

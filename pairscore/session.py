@@ -15,6 +15,9 @@ def build_session(app_name: str = "pairscore", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # long texts: bound what one Arrow batch holds
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     )
     if master:
         builder = builder.master(master)

@@ -14,7 +14,7 @@ from pairscore.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "pairscore-tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
