@@ -48,8 +48,7 @@ TARGET = "ccmatrix_score"
 CSV_SOURCE = "hindi"
 CSV_TARGET = "chinese"
 
-# The three model signals and what stands in for a missing one.
-SIGNALS = ["embedding_similarity", "labse_similarity", "chinese_perplexity"]
+# What stands in for a missing signal.
 SCORING_DEFAULTS = {
     "embedding_similarity": 0.5,
     "labse_similarity": 0.5,

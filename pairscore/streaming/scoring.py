@@ -7,11 +7,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from pairscore.plans.scoring import score_pairs
-from pairscore.schema import PAIRS, PairColumns
+from pairscore.schema import PAIR_SCHEMA, PAIRS, PairColumns
 
 
 def read_pair_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options
+    spark: SparkSession,
+    path: str,
+    schema: StructType = PAIR_SCHEMA,
+    fmt: str = "parquet",
+    **options,
 ) -> DataFrame:
     """Pairs from files as they arrive in a folder."""
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
