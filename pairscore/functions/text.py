@@ -85,52 +85,54 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(0.0)).otherwise(shared / F.nullif(union, F.lit(0)))
 
 
-def windows(items: Column, n: int, separator: str) -> Column:
-    """The runs of ``n`` neighbouring items, joined to strings.
+def char_ngrams(text: Column, n: int) -> Column:
+    """All runs of ``n`` characters: look ahead for the run, then move on by one character."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
 
-    Built from ``n`` shifted copies of the array, so the cost stays linear in the
-    text length; taking substrings by position would be quadratic.
-    """
+
+def word_ngrams(items: Column, n: int) -> Column:
+    """All runs of ``n`` words, joined by a blank, from ``n`` shifted copies of the word array."""
     count = F.greatest(F.size(items) - F.lit(n - 1), F.lit(0))
     joined = F.slice(items, 1, count)
     for i in range(1, n):
         joined = F.zip_with(
             joined,
             F.slice(items, i + 1, count),
-            lambda left, right: F.concat(left, F.lit(separator), right),
+            lambda left, right: F.concat(left, F.lit(" "), right),
         )
     return joined
 
 
-def ngram_overlap(
-    df: DataFrame, items_a: Column, items_b: Column, n: int, separator: str, output: str
-) -> DataFrame:
-    """Adds the Jaccard of two n-gram sets; 0.0 if either side is shorter than n.
-
-    The arrays are made in steps of their own, so that each is built only once.
-    """
-    a, b = F.col("_items_a"), F.col("_items_b")
-    staged = df.withColumns({"_items_a": items_a, "_items_b": items_b}).withColumns(
-        {
-            "_grams_a": F.array_distinct(windows(a, n, separator)),
-            "_grams_b": F.array_distinct(windows(b, n, separator)),
-        }
-    )
-    too_short = (F.size(a) < n) | (F.size(b) < n)
+def _overlap_of_sets(df: DataFrame, output: str, too_short: Column) -> DataFrame:
     overlap = jaccard(F.col("_grams_a"), F.col("_grams_b"))
-    return staged.withColumn(output, F.when(too_short, F.lit(0.0)).otherwise(overlap)).drop(
-        "_items_a", "_items_b", "_grams_a", "_grams_b"
+    return df.withColumn(output, F.when(too_short, F.lit(0.0)).otherwise(overlap)).drop(
+        "_grams_a", "_grams_b"
     )
 
 
 def char_ngram_overlap(
     df: DataFrame, a: str, b: str, n: int = 1, output: str = "char_ngram_overlap"
 ) -> DataFrame:
-    return ngram_overlap(df, chars(F.col(a)), chars(F.col(b)), n, "", output)
+    """Adds the Jaccard of two character n-gram sets; 0.0 if either text is shorter than n."""
+    staged = df.withColumns(
+        {
+            "_grams_a": F.array_distinct(char_ngrams(F.col(a), n)),
+            "_grams_b": F.array_distinct(char_ngrams(F.col(b), n)),
+        }
+    )
+    return _overlap_of_sets(staged, output, (F.length(a) < n) | (F.length(b) < n))
 
 
 def word_ngram_overlap(
     df: DataFrame, a: str, b: str, n: int = 1, output: str = "word_ngram_overlap"
 ) -> DataFrame:
-    # a word holds no white space, so the blank keeps neighbours apart
-    return ngram_overlap(df, words(F.col(a)), words(F.col(b)), n, " ", output)
+    """The same for words.  The word arrays are made in a step of their own, so only once."""
+    staged = df.withColumns({"_words_a": words(F.col(a)), "_words_b": words(F.col(b))})
+    staged = staged.withColumns(
+        {
+            "_grams_a": F.array_distinct(word_ngrams(F.col("_words_a"), n)),
+            "_grams_b": F.array_distinct(word_ngrams(F.col("_words_b"), n)),
+        }
+    )
+    too_short = (F.size("_words_a") < n) | (F.size("_words_b") < n)
+    return _overlap_of_sets(staged, output, too_short).drop("_words_a", "_words_b")

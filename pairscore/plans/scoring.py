@@ -12,6 +12,7 @@ from pairscore.operators.ranks import rank_within
 from pairscore.operators.regress import with_interval
 from pairscore.plans.features import derived_features, signal_features, text_features
 from pairscore.schema import PAIRS, SCORING_DEFAULTS, TARGET, PairColumns
+from pairscore.session import materialize
 
 
 def score_pairs(
@@ -61,9 +62,10 @@ def evaluation_metrics(evaluated: DataFrame, names: list[str], target: str = TAR
 
 
 def evaluate_splits(df: DataFrame, models: dict, target: str = TARGET) -> DataFrame:
-    """Metrics of every model on every split of ``df``."""
-    evaluated = evaluate(df, models, target)
-    return metrics_by_split(evaluated, target, {m: f"pred_{m}" for m in models})
+    """Metrics of every model on every split of ``df``; the models run once."""
+    predictions = {m: f"pred_{m}" for m in models}
+    evaluated = evaluate(df, models, target).select("split", target, *predictions.values())
+    return metrics_by_split(materialize(evaluated, "evaluated"), target, predictions)
 
 
 def compare_systems(
@@ -73,8 +75,8 @@ def compare_systems(
     system: str = "system",
     group: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Mean score per system, and the systems ranked for each source."""
-    scored = score_pairs(outputs, pipeline, cols)
+    """Mean score per system, and the systems ranked for each source; scored once."""
+    scored = materialize(score_pairs(outputs, pipeline, cols), "system-scores")
     ranked = rank_within(scored, group or cols.source, "predicted_score", system)
     return system_compare(scored, system), ranked
 
