@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 
@@ -57,3 +58,15 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship_package(spark: SparkSession, root: str, package: str) -> None:
+    """Send the package below ``root`` to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if (app, package) not in _shipped:
+        folder = tempfile.mkdtemp(prefix="pairscore-code-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{package}", "zip", root, package))
+        _shipped.add((app, package))
