@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, warc_zip
+from . import bpe, decontaminate, line_rules, pii, secrets, warc_zip
 from .columns import digest, span_text
 
 
@@ -52,6 +52,27 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets and linked credential parts of every text."""
+    spans = F.col("secrets")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        digest(span_text(F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE)))).alias("base_sha256"),
+        span_text(spans).alias("spans"),
+    )
+
+
+def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-first verdict on every text."""
+    judged = line_rules.clean(documents(spark, sf_dir))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "n_failed_lines", "kept_chars", "kept",
+    )
+
+
 def vocabulary() -> tuple[str, str]:
     """The rank file and the split pattern that the queries encode with."""
     import public_tokenizers
@@ -123,9 +144,65 @@ SELECT w.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS
 FROM w LEFT JOIN covered USING (row) LEFT JOIN ids USING (row) WHERE kind = 0
 """
 
+
+
+def quoted(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def contains(name: str, values) -> str:
+    return " OR ".join(f"contains({name}, '{v}')" for v in values)
+
+
+def counted(name: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({name}, '{pattern}'))"
+
+
+CLEANED_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT row, doc_id, text, regexp_extract_all(text, '[^ 	-]+') AS ws, string_split(text, chr(10)) AS ls FROM d
+), win AS (
+  SELECT row, i, ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2] AS win
+  FROM (SELECT row, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)
+), twice AS (
+  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, win) AS n FROM win) WHERE n > 1
+), again AS (
+  SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY row
+), lines AS (
+  SELECT row, l, lower(l) AS low, len(translate(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS c,
+    {counted("l", line_rules.WORD)} AS n, {counted("l", line_rules.SYMBOL)} AS sym, {counted("l", line_rules.MARK)} AS marks,
+    {counted("l", line_rules.CALL)} AS calls, {counted("l", line_rules.UPPER_CASE)} AS ups,
+    {counted("l", line_rules.LETTER)} AS letters, {counted("l", line_rules.SEPARATOR)} AS seps
+  FROM (SELECT row, unnest(ls) AS l FROM w)
+), judged AS (
+  SELECT *, (10 * sym > c OR (n >= 8 AND marks = 0) OR (calls >= 5 AND 3 * calls > n) OR (ups >= 20 AND 10 * ups > 7 * letters)
+    OR (seps >= 3 AND 4 * seps >= n) OR trim(low) IN ({quoted(line_rules.MENU)})
+    OR (n <= {line_rules.BOILERPLATE_WORDS} AND ({contains("low", line_rules.BOILERPLATE)}))) AS bad
+  FROM lines WHERE n > 0
+), perdoc AS (
+  SELECT row, count(*) - count(DISTINCT l) AS dups, sum(CASE WHEN bad THEN 1 ELSE 0 END) AS failed,
+    sum(CASE WHEN bad THEN 0 ELSE c END) AS kept_chars
+  FROM judged GROUP BY row
+), t AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(len(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS BIGINT) AS word_chars,
+    CAST({counted("text", line_rules.SYMBOL)} AS BIGINT) AS n_symbols, CAST(coalesce(dups, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(failed, 0) AS BIGINT) AS n_failed_lines,
+    CAST(coalesce(kept_chars, 0) AS BIGINT) AS kept_chars
+  FROM w LEFT JOIN again USING (row) LEFT JOIN perdoc USING (row)
+)
+SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED} * n_words)
+    AND 100 * kept_chars >= {line_rules.MIN_KEPT} * word_chars AS kept
+FROM t
+"""
+
 ENTRIES = {
     "op1_warc_zip": (archives, ARCHIVES_SQL),
     "op2_pii": (personal_data, None),
     "op8_decontaminate": (contamination, CONTAMINATION_SQL),
+    "op7_secrets": (credentials, None),
+    "op9_line_rules": (cleaned_lines, CLEANED_SQL),
     "op10_bpe": (tokens, None),
 }
