@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_rules, pii, secrets, warc_zip
+from . import bpe, decontaminate, line_rules, pii, rule_ensemble, secrets, toxicity, warc_zip
 from .columns import digest, span_text
 
 
@@ -73,6 +73,40 @@ def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(doc_id, parts: int) -> Column:
+    """crc32 of doc_id as text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(parts))
+
+
+def train_labels(spark: SparkSession, sf_dir: str, name: str, parts: int, held_out: int) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(name).alias("label"))
+    return labels.where(fold("doc_id", parts) != held_out)
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    docs = documents(spark, sf_dir)
+    model = rule_ensemble.fit(docs, train_labels(spark, sf_dir, "quality", 4, 2))
+    return scored(rule_ensemble.score(docs, model), 4, 2, 0.7)
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text, with the number of offending sentences."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, train_labels(spark, sf_dir, "toxic", 5, 0))
+    return scored(toxicity.score(docs, model), 5, 0, 0.5, F.size("offending").cast("long").alias("n_offending"))
+
+
+def scored(df: DataFrame, parts: int, held_out: int, threshold: float, *more: Column) -> DataFrame:
+    return df.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", parts) == held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+        *more,
+    )
+
+
 def vocabulary() -> tuple[str, str]:
     """The rank file and the split pattern that the queries encode with."""
     import public_tokenizers
@@ -161,7 +195,8 @@ def counted(name: str, pattern: str) -> str:
 CLEANED_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (
-  SELECT row, doc_id, text, regexp_extract_all(text, '[^ 	-]+') AS ws, string_split(text, chr(10)) AS ls FROM d
+  SELECT row, doc_id, text, regexp_extract_all(text, '[^ 	-
+]+') AS ws, string_split(text, chr(10)) AS ls FROM d
 ), win AS (
   SELECT row, i, ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2] AS win
   FROM (SELECT row, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)
@@ -202,6 +237,8 @@ ENTRIES = {
     "op1_warc_zip": (archives, ARCHIVES_SQL),
     "op2_pii": (personal_data, None),
     "op8_decontaminate": (contamination, CONTAMINATION_SQL),
+    "op4_rule_ensemble": (quality, None),
+    "op6_toxicity": (toxic, None),
     "op7_secrets": (credentials, None),
     "op9_line_rules": (cleaned_lines, CLEANED_SQL),
     "op10_bpe": (tokens, None),
