@@ -28,8 +28,29 @@ from .columns import add_columns
 
 #: Parts of at most this many bytes are merged directly.
 LEAF = 24
-#: Encoded pieces that a task remembers; the memory is emptied when full.
-REMEMBERED = 200_000
+#: Bytes up to which merging searches a list instead of keeping a queue.
+SHORT = 96
+#: Encoded pieces that a worker remembers: a new and an old generation of so many each.
+REMEMBERED = 250_000
+
+
+class Remembered(dict):
+    """Results by piece. When it is full, it becomes the old generation; what is used again moves on."""
+
+    def __init__(self, value):
+        super().__init__()
+        self.value, self.old = value, {}
+
+    def __missing__(self, piece):
+        found = self.old.get(piece)
+        if found is None:
+            found = self.value(piece)
+        if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
 
 
 class Coder:
@@ -39,11 +60,30 @@ class Coder:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Remembered(self.piece)
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Greedy merging of the whole of ``data``: lowest rank first, leftmost on ties."""
+        return self.merge_short(data) if len(data) <= SHORT else self.merge_long(data)
+
+    def merge_short(self, data: bytes) -> list[int]:
+        """By searching all neighbours for the lowest rank, again and again."""
+        rank_of, none = self.ranks.get, len(self.ranks) + (1 << 32)
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (least := min(pairs)) != none:
+            at = pairs.index(least)
+            parts[at] += parts.pop(at + 1)
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = rank_of(parts[at] + parts[at + 1], none)
+            if at:
+                pairs[at - 1] = rank_of(parts[at - 1] + parts[at], none)
+        return [self.ranks[p] for p in parts]
+
+    def merge_long(self, data: bytes) -> list[int]:
+        """By a queue of neighbours, for windows that had to grow."""
         ranks, bytes_of = self.ranks, self.bytes_of
         tokens = [ranks[data[i : i + 1]] for i in range(len(data))]
         after = list(range(1, len(tokens) + 1))
@@ -112,17 +152,7 @@ class Coder:
 
     def encode(self, text: str | None) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
-        known, out = self.pieces, []
-        for piece in self.split(text or ""):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.piece(piece)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.pieces.__getitem__, self.split(text or "")))
 
     def decode(self, ids: bytes | None) -> bytes:
         """Bytes of the tokens, concatenated up a tree of halves."""
@@ -146,11 +176,24 @@ def share_coder(spark: SparkSession, path: str, pattern: str):
     return spark.sparkContext.broadcast((read_ranks(path), pattern))
 
 
+_coders: dict[tuple, Coder] = {}
+
+
+def coder_of(shared) -> Coder:
+    """The worker's coder for this vocabulary; it outlives a task, and with it what it remembers."""
+    ranks, pattern = shared.value
+    key = (pattern, len(ranks), hash(frozenset(ranks.items())))
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = Coder(ranks, pattern)
+    return _coders[key]
+
+
 def encode(df: DataFrame, shared, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` plus the binary column ``into``: ids as little-endian unsigned 32-bit integers."""
 
     def make():
-        coder = Coder(*shared.value)
+        coder = coder_of(shared)
         return lambda texts: {into: [coder.encode(t) for t in texts]}
 
     return add_columns(df, f"`{into}` binary", text, make)
@@ -160,7 +203,7 @@ def decode(df: DataFrame, shared, ids: str = "ids", into: str = "decoded") -> Da
     """``df`` plus the binary column ``into``: the bytes that the ids stand for."""
 
     def make():
-        coder = Coder(*shared.value)
+        coder = coder_of(shared)
         return lambda rows: {into: [coder.decode(r) for r in rows]}
 
     return add_columns(df, f"`{into}` binary", ids, make)
