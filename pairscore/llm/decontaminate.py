@@ -26,7 +26,8 @@ WINDOW = 10
 #: Characters of item texts in one automaton: windows repeat a word up to ten times, so about 100 MB of nodes.
 MAX_CHARS = 1_000_000
 
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+#: A word in the original text, where A-Z are still upper case.
+WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 #: Byte by byte: word bytes stay (A-Z lower-cased), all others become blanks. Bytes from 0x80 belong to characters beyond ASCII.
 FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
