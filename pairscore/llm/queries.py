@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_rules, pii, rule_ensemble, secrets, toxicity, warc_zip
+from . import bpe, decontaminate, line_rules, near_duplicates, pii, rule_ensemble, secrets, toxicity, warc_zip
 from .columns import digest, span_text
 
 
@@ -90,6 +90,11 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(rule_ensemble.score(docs, model), 4, 2, 0.7)
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every text among its near duplicates."""
+    return near_duplicates.find_near_duplicates(documents(spark, sf_dir))
+
+
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every text, with the number of offending sentences."""
     docs = documents(spark, sf_dir)
@@ -238,6 +243,7 @@ ENTRIES = {
     "op2_pii": (personal_data, None),
     "op8_decontaminate": (contamination, CONTAMINATION_SQL),
     "op4_rule_ensemble": (quality, None),
+    "op5_lsh_forest": (near_copies, None),
     "op6_toxicity": (toxic, None),
     "op7_secrets": (credentials, None),
     "op9_line_rules": (cleaned_lines, CLEANED_SQL),
