@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_rules, near_duplicates, pii, rule_ensemble, secrets, toxicity, warc_zip
+from . import bpe, context_tree, decontaminate, line_rules, near_duplicates, pii, rule_ensemble, secrets, toxicity, warc_zip
 from .columns import digest, span_text
 
 
@@ -90,6 +92,15 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(rule_ensemble.score(docs, model), 4, 2, 0.7)
 
 
+def code_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every text under the context tree and under word frequencies."""
+    scores = context_tree.score_texts(documents(spark, sf_dir), fold("doc_id", 10) == 0)
+    return scores.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        (-F.col("score") * math.log2(10) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
+    )
+
+
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every text among its near duplicates."""
     return near_duplicates.find_near_duplicates(documents(spark, sf_dir))
@@ -242,6 +253,7 @@ ENTRIES = {
     "op1_warc_zip": (archives, ARCHIVES_SQL),
     "op2_pii": (personal_data, None),
     "op8_decontaminate": (contamination, CONTAMINATION_SQL),
+    "op3_context_tree": (code_lengths, None),
     "op4_rule_ensemble": (quality, None),
     "op5_lsh_forest": (near_copies, None),
     "op6_toxicity": (toxic, None),
