@@ -116,28 +116,33 @@ def prefix(depth: int) -> Column:
 
 
 def regions(nodes: DataFrame) -> DataFrame:
-    """(region, node, sig): per order the nodes with a common prefix, deeper where they are many."""
+    """(region, node): per order the nodes with a common prefix, deeper where they are many.
+
+    Only keys are shuffled here; signatures join the few nodes that have neighbours.
+    """
     left = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     done = None
     for depth in DEPTHS:
-        keyed = left.select("node", "sig", "tree", prefix(depth).alias("region"))
+        keyed = left.select("node", "tree", prefix(depth).alias("region"))
         sizes = keyed.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
         sizes = materialize(sizes, "forest-sizes")
-        met = keyed.join(sizes, "region")
+        met = materialize(keyed.join(sizes.hint("merge"), "region"), "forest-regions")
         last = depth == DEPTHS[-1]
-        fits = met if last else met.where(F.col("size") <= REGION)
-        if last:  # all minima agree: blocks of the sorted ids, each with the first of all
-            chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / REGION))
-            fits = fits.withColumn("region", F.xxhash64("region", chunk))
-            heads = met.groupBy(F.col("region")).agg(F.min_by(F.struct("node", "sig"), "node").alias("h"), F.max("size").alias("size"))
-            parts = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / REGION) - 1))
-            heads = heads.select("region", "h.*", parts.alias("c")).select(F.xxhash64("region", F.col("c")).alias("region"), "node", "sig")
-            fits = fits.select("region", "node", "sig").unionByName(heads).distinct()
-        part = fits.select("region", "node", "sig")
+        part = chained(met) if last else met.where(F.col("size") <= REGION).select("region", "node")
         done = part if done is None else done.unionByName(part)
         if last or not sizes.where(F.col("size") > REGION).limit(1).count():
             return done
-        left = materialize(met.where(F.col("size") > REGION).select("node", "sig", "tree"), "forest-deeper")
+        left = met.where(F.col("size") > REGION).select("node", "tree").join(nodes, "node")
+
+
+def chained(met: DataFrame) -> DataFrame:
+    """Nodes that agree in all minima, in parts of about ``REGION``, each with the smallest node of all."""
+    parts = F.ceil(F.col("size") / REGION)
+    dealt = met.select(F.xxhash64("region", F.pmod(F.xxhash64("node"), parts)).alias("region"), "node")
+    heads = met.groupBy("region").agg(F.min("node").alias("node"), F.max("size").alias("size"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    heads = heads.select("region", "node", each.alias("part")).select(F.xxhash64("region", "part").alias("region"), "node")
+    return dealt.unionByName(heads).distinct()
 
 
 def candidate_links(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +176,8 @@ def families(nodes: DataFrame) -> DataFrame:
         real = a != b
         return pa.table({"a": a[real], "b": b[real]})
 
-    links = regions(nodes).groupBy("region").applyInArrow(run, "a bigint, b bigint")
+    met = regions(nodes).join(nodes.hint("merge"), "node").select("region", "node", "sig")
+    links = met.groupBy("region").applyInArrow(run, "a bigint, b bigint")
     return connected(links, "forest-families")
 
 
