@@ -82,7 +82,7 @@ class SentenceModel:
                 found = match.group().split()
                 if not found:
                     continue
-                z = min(max(self.bias + sum(map(at, found)), -40.0), 40.0)
+                z = min(self.bias + sum(map(at, found)), 40.0)
                 clean -= np.logaddexp(0.0, z) if z > -20 else np.exp(z)
                 if z >= 0:
                     start, end = match.span()
