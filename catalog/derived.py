@@ -16,6 +16,7 @@ from catalog.views import (
 from pairscore.functions import derived
 from pairscore.operators import filters, signals
 from pairscore.operators.joins import scalar
+from pairscore.operators.metrics import regression_aggregates
 from pairscore.operators.profile import corr, share
 from pairscore.operators.regress import with_interval
 from pairscore.plans.explore import composite_scores
@@ -153,6 +154,15 @@ def corr_band(spark, sf_dir):
     )
 
 
+def r2_verdict(spark, sf_dir):
+    """Whether two simple predictors beat the mean."""
+    made = simple_predictions(spark, sf_dir)
+    names = ["pred_ratio", "pred_overlap"]
+    r2 = [regression_aggregates(F.col("score"), F.col(n))["r2"].alias(n) for n in names]
+    long = made.agg(*r2).unpivot([], names, "model", "r2")
+    return long.select("model", F.round("r2", 6).alias("r2"), derived.r2_verdict(F.col("r2")).alias("verdict"))
+
+
 def fill_signal_defaults(spark, sf_dir):
     """Similarity kept for labelled documents only, the other signals missing throughout."""
     labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("line_no"), "quality")
@@ -325,6 +335,15 @@ ENTRIES = {
             "WHEN abs(corr(score, pred_ratio)) > 0.5 THEN 'moderate' ELSE 'weak' END AS band FROM predictions",
         ),
     ),
+    "r2_verdict": (
+        r2_verdict,
+        with_sql(
+            *PREDICTIONS,
+            select="""SELECT model, round(r2, 6) AS r2, CASE WHEN r2 > 0 THEN 'better than mean' ELSE 'worse than mean' END AS verdict
+FROM (SELECT 'pred_ratio' AS model, 1 - sum(power(score - pred_ratio, 2)) / (var_pop(score) * count(*)) AS r2 FROM predictions
+  UNION ALL SELECT 'pred_overlap', 1 - sum(power(score - pred_overlap, 2)) / (var_pop(score) * count(*)) FROM predictions)""",
+        ),
+    ),
     "fill_signal_defaults": (
         fill_signal_defaults,
         with_sql(

@@ -58,6 +58,13 @@ def sample_n(spark, sf_dir):
     return rounded(sampling.sample_n(pairs, 100, 42).select("line_no", "score"))
 
 
+def sample_repeated_keys(spark, sf_dir):
+    """A sample by a key that many rows share, and that some rows lack, has its exact size."""
+    keyed = doc_pairs(spark, sf_dir).withColumn("k", F.expr("CASE WHEN line_no % 3 > 0 THEN line_no % 7 END"))
+    taken = sampling.sample_n(keyed, 110, 42, "k")
+    return taken.agg(F.count("*").alias("n"), F.count_distinct("line_no").alias("lines"))
+
+
 def split_train_val_test(spark, sf_dir):
     return sampling.split_train_val_test(doc_pairs(spark, sf_dir)).select("line_no", "split")
 
@@ -375,6 +382,14 @@ def line_pipeline(spark, sf_dir):
     return ScoringPipeline(fitted, job.lm, job.ratio_range)
 
 
+def scored_missing_text(spark, sf_dir):
+    """Pairs of which some lack a text: those have no score, the others have theirs."""
+    pairs = doc_pairs(spark, sf_dir)
+    holes = pairs.withColumn("target", F.expr("CASE WHEN line_no % 7 > 0 THEN target END"))
+    scored = score_pairs(holes, line_pipeline(spark, sf_dir))
+    return rounded(scored.select("line_no", "predicted_score"))
+
+
 def scored_by_line(spark, sf_dir):
     scored = score_pairs(doc_pairs(spark, sf_dir), line_pipeline(spark, sf_dir))
     return rounded(
@@ -550,6 +565,13 @@ ENTRIES = {
             select=f"SELECT line_no, round(score, 6) AS score FROM doc_pairs ORDER BY {_hash_sql('line_no', 'sample42')}, line_no LIMIT 100",
         ),
     ),
+    "sample_repeated_keys": (
+        sample_repeated_keys,
+        with_sql(
+            DOC_PAIRS,
+            select="SELECT least(110, count(*)) AS n, least(110, count(*)) AS lines FROM doc_pairs",
+        ),
+    ),
     "split_train_val_test": (
         split_train_val_test,
         with_sql(DOC_PAIRS, select=f"SELECT line_no, {_split_sql('line_no')} AS split FROM doc_pairs"),
@@ -767,6 +789,13 @@ FROM text_table, (SELECT regr_slope({TARGET}, length_ratio) AS slope, regr_inter
         reloaded_model_scores,
         with_sql(*LINE_SCORES, select="SELECT line_no, round(s, 6) AS predicted_score FROM line_scores"),
     ),
+    "score_pairs_missing_text": (
+        scored_missing_text,
+        with_sql(
+            *LINE_SCORES,
+            select="SELECT line_no, CASE WHEN line_no % 7 > 0 THEN round(s, 6) END AS predicted_score FROM line_scores",
+        ),
+    ),
     "score_stream": (
         scored_stream,
         with_sql(*LINE_SCORES, select="SELECT line_no, round(s, 6) AS predicted_score FROM line_scores"),

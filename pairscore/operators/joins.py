@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1_000
 
 
@@ -26,15 +27,20 @@ def lookup(
 ) -> DataFrame:
     """Join ``df`` with ``table``, which has one row per ``key`` (``table_rows``, if known).
 
-    A table of at most ``broadcast_rows`` rows is broadcast.  A larger one is
-    shuffled.  Then the rows of a hot key, one with more than a 1/1000 share, are
+    A table of at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` of values is
+    broadcast.  A larger one is shuffled.  Then the rows of a hot key, one with more than a 1/1000 share, are
     spread over all tasks by a hash of ``spread_by`` (every other column, if not
     given), and its one row of ``table`` is copied to each.  Fewer than 1000 keys
     can be hot, whatever the size of the data.
     """
-    if table_rows is None:
-        table_rows = table.limit(broadcast_rows + 1).count()
-    if table_rows <= broadcast_rows:
+    if table_rows is None and broadcast_rows:
+        # at most one row more than fits is measured
+        sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
+        measured = table.limit(broadcast_rows + 1).select(sum(sizes[1:], sizes[0]).cast("long").alias("b"))
+        table_rows, size = measured.agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+        if size > BROADCAST_BYTES:
+            table_rows = broadcast_rows + 1
+    if broadcast_rows and table_rows <= broadcast_rows:
         return df.join(F.broadcast(table), key, how)
     hot = hot_keys(df, key) if hot is None else hot
     spread_by = spread_by or [c for c in df.columns if c != key]

@@ -37,15 +37,21 @@ class Fitted:
     target: str = TARGET
 
     def predict(self, df: DataFrame, output: str = "predicted_score") -> DataFrame:
-        """Scale, apply, scale back: one plan, whatever the size of ``df``."""
-        applied = self.model.transform(assemble(df, self.feature_scaler, self.features))
+        """Scale, apply, scale back: one plan, whatever the size of ``df``.
+
+        A row that lacks a feature (its text is missing) gets NULL; the others go on.
+        """
+        applied = self.model.transform(assemble(df, self.feature_scaler, self.features, 0.0))
         back = self.target_scaler.inverse(F.col(SCALED_PREDICTION), self.target)
-        return applied.withColumn(output, back).drop(VECTOR, SCALED_PREDICTION)
+        lacking = F.exists(F.array(*[F.col(c).isNull() for c in self.features]), lambda x: x)
+        return applied.withColumn(output, F.when(~lacking, back)).drop(VECTOR, SCALED_PREDICTION)
 
 
-def assemble(df: DataFrame, scaler: Scaler, features: list[str]) -> DataFrame:
-    """Adds the vector of scaled features; the features themselves stay unscaled."""
-    scaled = [scaler.scaled(c) for c in features]
+def assemble(
+    df: DataFrame, scaler: Scaler, features: list[str], missing: float | None = None
+) -> DataFrame:
+    """Adds the vector of scaled features, ``missing`` for those that are NULL; without it NULL is an error."""
+    scaled = [F.coalesce(scaler.scaled(c), F.lit(missing)) for c in features]
     return df.withColumn(VECTOR, array_to_vector(F.array(*scaled)))
 
 

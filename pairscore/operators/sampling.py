@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 HASH_BITS = 60
 BUCKETS = 10_000
@@ -27,19 +28,15 @@ def bucket(key: Column, seed: int | str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % BUCKETS
 
 
-def first_by_hash(df: DataFrame, key: str, n: int, total: int, seed: int | str) -> Column:
-    """Condition that holds for exactly the ``n`` rows that come first in hash order.
+def boundary(df: DataFrame, h: Column, n: int, total: int) -> tuple[int, int, int]:
+    """``(value, need, tied)``: the first ``n`` of ``total`` rows by ``h`` are those below
+    ``value`` and ``need`` of the ``tied`` rows at it.
 
-    The hash is evenly spread, so the n-th place lies in a narrow known zone.
-    Rows below the zone are only counted; the few in it (about 20 * sqrt(n)) are
-    sorted to find the exact boundary, with the key breaking ties.
+    The hash is evenly spread over the keys, so the n-th place mostly lies in a narrow
+    known zone.  Rows below the zone are only counted; the distinct values in it (about
+    20 * sqrt(n)) are counted and added up in order.  Where keys repeat, the zone widens
+    until it holds the place, at last to everything.
     """
-    if n >= total:
-        return F.lit(True)
-    if n <= 0:
-        return F.lit(False)
-    h = key_hash(F.col(key), seed)
-    place = F.struct(h.alias("h"), F.col(key).alias("k"))
     slack = 10.0 * math.sqrt(n) + 100.0
     full = 1 << HASH_BITS
     while True:
@@ -49,9 +46,37 @@ def first_by_hash(df: DataFrame, key: str, n: int, total: int, seed: int | str)
         if below < n <= upto:
             break
         slack *= 2.0
-    zone = df.filter((h >= low) & (h < high)).select(place.alias("p"))
-    last = zone.orderBy("p").limit(n - below).agg(F.max("p").alias("p")).first()["p"]
-    return (h < F.lit(last["h"])) | ((h == F.lit(last["h"])) & (F.col(key) <= F.lit(last["k"])))
+    zone = df.filter((h >= low) & (h < high)).groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("tied"))
+    upto = F.sum("tied").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0))
+    reached = zone.withColumn("upto", upto + below).filter(F.col("upto") >= n)
+    last = reached.agg(F.min(F.struct("h", "tied", "upto")).alias("p")).first()["p"]
+    return last["h"], n - (last["upto"] - last["tied"]), last["tied"]
+
+
+def mark_first(df: DataFrame, key: str, n: int, total: int, seed: int | str, output: str) -> DataFrame:
+    """Adds ``output``: true for exactly the ``n`` rows that come first in hash order.
+
+    The order is by a hash of the key; rows with one key, and rows without a key, by a hash
+    of the whole row.  Equal rows cannot be told apart, so of those at the boundary the
+    wanted number of copies is marked.
+    """
+    if n >= total or n <= 0:
+        return df.withColumn(output, F.lit(n > 0))
+    row = F.xxhash64(*df.columns)
+    named = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row:"), row.cast("string")))
+    h, again = key_hash(named, seed), key_hash(row, f"{seed}:row")
+    value, need, tied = boundary(df, h, n, total)
+    if need == tied:
+        return df.withColumn(output, h <= F.lit(value))
+    ties = df.filter(h == F.lit(value))
+    second, need, tied = boundary(ties, again, need, tied)
+    below = (h < F.lit(value)) | ((h == F.lit(value)) & (again < F.lit(second)))
+    at = (h == F.lit(value)) & (again == F.lit(second))
+    if need == tied:
+        return df.withColumn(output, below | at)
+    copies = df.filter(at).limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(tied))))
+    copies = copies.withColumn(output, F.col("_copy") <= need).drop("_copy")
+    return df.filter(~at).withColumn(output, below).unionByName(copies)
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int, key: str = "line_no") -> DataFrame:
@@ -61,7 +86,7 @@ def sample_n(df: DataFrame, n: int | None, seed: int, key: str = "line_no") -> D
     total = df.count()
     if n >= total:
         return df
-    return df.filter(first_by_hash(df, key, n, total, f"sample{seed}"))
+    return mark_first(df, key, n, total, f"sample{seed}", "_first").filter("_first").drop("_first")
 
 
 def split_train_val_test(
@@ -84,8 +109,8 @@ def holdout(
 ) -> DataFrame:
     """Adds ``split`` = test for exactly int(rows * ratio) rows, trainval for the rest."""
     total = df.count()
-    is_test = first_by_hash(df, key, int(total * ratio), total, f"holdout{seed}")
-    return df.withColumn("split", F.when(is_test, "test").otherwise("trainval"))
+    marked = mark_first(df, key, int(total * ratio), total, f"holdout{seed}", "_first")
+    return marked.withColumn("split", F.when(F.col("_first"), "test").otherwise("trainval")).drop("_first")
 
 
 def kfold(df: DataFrame, k: int = 5, seed: int = 42, key: str = "line_no") -> DataFrame:

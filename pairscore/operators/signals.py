@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pairscore.operators.joins import HOT_SHARE, lookup, scalar
 from pairscore.schema import FAILED_SENTENCE_PERPLEXITY
+from pairscore.session import materialize
 
 Encoder = Callable[[list[str]], np.ndarray]
 Scorer = Callable[[list[str]], np.ndarray]
@@ -138,30 +139,39 @@ def score_text(
     output: str = "chinese_perplexity",
     default: float | None = FAILED_SENTENCE_PERPLEXITY,
     batch: int = SCORER_BATCH,
+    flag: str | None = None,
 ) -> DataFrame:
-    """One number per sentence from a pluggable scorer; ``default`` where it fails."""
+    """One number per sentence from a pluggable scorer; ``default`` where it fails, NULL for NULL.
 
-    def one_by_one(scorer: Scorer, texts: list[str]) -> list:
-        values = []
-        for text in texts:
-            try:
-                values.append(float(scorer([text])[0]))
-            except Exception:
-                values.append(default)
-        return values
+    A batch counts only as a whole: if the scorer fails midway or returns another number of
+    values, its sentences are scored one by one.  ``flag`` names a column that tells which failed.
+    """
 
-    @F.arrow_udf("double")
+    def of_batch(scorer: Scorer, texts: list[str]) -> list[tuple]:
+        try:
+            values = [float(v) for v in scorer(texts)]
+            if len(values) == len(texts):
+                return [(v, False) for v in values]
+        except Exception:
+            pass
+        if len(texts) == 1:
+            return [(default, True)]
+        return [pair for text in texts for pair in of_batch(scorer, [text])]
+
+    scored = pa.struct([("value", pa.float64()), ("failed", pa.bool_())])
+
+    @F.arrow_udf("value double, failed boolean")
     def scores(texts: pa.Array) -> pa.Array:
         scorer = loaded(loader)
-        out: list = []
-        for part in _batches(texts.to_pylist(), batch):
-            try:
-                out.extend(float(v) for v in scorer(part))
-            except Exception:
-                out.extend(one_by_one(scorer, part))
-        return pa.array(out, type=pa.float64())
+        present = [t for t in texts.to_pylist() if t is not None]
+        found = iter([pair for part in _batches(present, batch) for pair in of_batch(scorer, part)])
+        rows = [next(found) if known else (None, False) for known in texts.is_valid().to_pylist()]
+        return pa.array([{"value": v, "failed": f} for v, f in rows], type=scored)
 
-    return df.withColumn(output, scores(F.col(column)))
+    result = df.withColumn("_scored", scores(F.col(column))).withColumn(output, F.col("_scored.value"))
+    if flag:
+        result = result.withColumn(flag, F.col("_scored.failed"))
+    return result.drop("_scored")
 
 
 def _bigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -222,16 +232,24 @@ def char_lm_perplexity(
     lm: DataFrame,
     output: str = "chinese_perplexity",
     key: str = "line_no",
-    broadcast_rows: int = LM_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """exp(-mean log p) per text under add-one bigram probabilities; NULL for empty text.
 
     A model of at most ``broadcast_rows`` bigrams goes to the workers whole and
-    is looked up there.  A larger one is joined.
+    is looked up there.  A larger one is joined, by a row number of its own; both give
+    the same rows, whatever the rows' keys.  ``df`` cannot be a stream then.
     """
-    if lm.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if fits_workers(lm, broadcast_rows):
         return _perplexity_broadcast(df, column, lm, output)
-    return _perplexity_joined(df, column, lm, output, key)
+    return _perplexity_joined(df, column, lm, output)
+
+
+def fits_workers(lm: DataFrame, broadcast_rows: int | None = None) -> bool:
+    """Whether a language model is small enough to be looked up in the workers."""
+    if broadcast_rows is None:
+        broadcast_rows = LM_BROADCAST_ROWS
+    return lm.limit(broadcast_rows + 1).count() <= broadcast_rows
 
 
 def _perplexity_broadcast(df: DataFrame, column: str, lm: DataFrame, output: str) -> DataFrame:
@@ -271,10 +289,11 @@ def _perplexity_broadcast(df: DataFrame, column: str, lm: DataFrame, output: str
     return df.withColumn(output, perplexity(F.col(column)))
 
 
-def _perplexity_joined(
-    df: DataFrame, column: str, lm: DataFrame, output: str, key: str
-) -> DataFrame:
-    key_type = df.schema[key].dataType.simpleString()
+def _perplexity_joined(df: DataFrame, column: str, lm: DataFrame, output: str) -> DataFrame:
+    key = "_lm_row"
+    # numbered and stored once: a row keeps its number whatever runs again
+    numbered = df.drop(output).withColumn(key, F.monotonically_increasing_id())
+    df = materialize(numbered, "lm-rows")
 
     def spread(batches):
         for b in batches:
@@ -292,7 +311,7 @@ def _perplexity_joined(
                 [key, "bigram", "times"],
             )
 
-    used = df.select(key, column).mapInArrow(spread, f"{key} {key_type}, bigram long, times long")
+    used = df.select(key, column).mapInArrow(spread, f"{key} long, bigram long, times long")
     # a bigram that makes up much of the text is in most rows
     hot = hot_bigrams(fit_char_lm(df, column))
     used = lookup(used, lm, "bigram", "left", broadcast_rows=0, hot=hot, spread_by=[key])
@@ -305,7 +324,7 @@ def _perplexity_joined(
     per_text = used.groupBy(key).agg(
         F.exp(-F.sum(F.col("times") * F.log(chance)) / F.sum("times")).alias(output)
     )
-    return df.join(per_text, key, "left")
+    return df.join(per_text, key, "left").drop(key)
 
 
 def apply_translator(

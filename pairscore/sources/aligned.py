@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pairscore.functions.text import strip
-from pairscore.operators.joins import zip_by_line
-
-PART_BITS = 33
+from pairscore.operators.joins import BROADCAST_ROWS, zip_by_line
+from pairscore.session import materialize
 
 
 class AlignmentError(ValueError):
@@ -19,9 +19,10 @@ def read_lines(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     """``(line_no, value)`` of a text file, and the number of lines.
 
     A folder counts as one long file, its parts in name order.  The file splits
-    are read in parallel: a first pass counts the lines of each split, and a
-    line's number is its place in the split plus the lines of the splits before.
-    The driver sees one number per split, of which it plans a task anyway.
+    are read in parallel and stored with their places, in one scan; a line's
+    number is its place in the split plus the stored lines of the splits before.
+    Nothing depends on how a second scan would split the files.  A line without a
+    start, or a total that differs, is an error.
     """
     raw = spark.read.text(path).select(
         "value",
@@ -29,18 +30,26 @@ def read_lines(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row_id"),
     )
-    splits = raw.groupBy("file", "block").agg(
+    stored = materialize(raw, "lines")
+    splits = stored.groupBy("file", "block").agg(
         F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("lines")
     )
-    starts, total = [], 0
-    for split in sorted(splits.collect(), key=lambda r: (r["file"], r["block"])):
-        starts.append((split["file"], split["block"], total - split["first_id"]))
-        total += split["lines"]
-    shifts = spark.createDataFrame(starts, "file string, block long, shift long")
-    numbered = raw.join(F.broadcast(shifts), ["file", "block"]).select(
-        (F.col("row_id") + F.col("shift")).alias("line_no"), "value"
+    splits = materialize(splits, "line-splits")
+    # running totals: over the files (one row each), then over the splits of a file
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("file").agg(F.sum("lines").alias("in_file"))
+    files = files.select("file", F.coalesce(F.sum("in_file").over(earlier), F.lit(0)).alias("files_before"))
+    within = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("lines").over(within), F.lit(0))
+    shifts = splits.withColumn("before", before).join(files, "file").select(
+        "file", "block", (F.col("files_before") + F.col("before") - F.col("first_id")).alias("shift")
+    )
+    count, total = splits.agg(F.count(F.lit(1)), F.coalesce(F.sum("lines"), F.lit(0))).first()
+    shifts = F.broadcast(shifts) if count <= BROADCAST_ROWS else shifts
+    line_no = F.col("row_id") + F.coalesce(
+        "shift", F.raise_error(F.concat(F.lit("a split without start: "), F.col("file"))).cast("long")
     )
-    return numbered, total
+    return stored.join(shifts, ["file", "block"], "left").select(line_no.alias("line_no"), "value"), total
 
 
 def read_aligned(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from pairscore.operators import signals
 from pairscore.plans.scoring import score_pairs
 from pairscore.schema import PAIR_SCHEMA, PAIRS, PairColumns
 
@@ -36,9 +37,21 @@ def score_stream(
     The plan is the batch plan: with fitted ranges every feature depends on its
     own row, so there is no state, no shuffle and no late data to wait for.
     ``once`` handles what is there and stops.
+
+    A language model beyond the workers' bound is joined, which takes more than one pass:
+    then each micro-batch is scored as a batch and replaces ``output/batch=<id>``, so a
+    repeated one leaves no second copy.
     """
-    scored = score_pairs(pairs, pipeline, cols)
     trigger = {"availableNow": True} if once else {"processingTime": interval}
+    if not signals.fits_workers(pipeline.lm):
+
+        def score_batch(batch: DataFrame, number: int) -> None:
+            done = score_pairs(batch, pipeline, cols).write.format(fmt).mode("overwrite")
+            done.save(f"{output}/batch={number}")
+
+        writer = pairs.writeStream.foreachBatch(score_batch).trigger(**trigger)
+        return writer.option("checkpointLocation", checkpoint).start()
+    scored = score_pairs(pairs, pipeline, cols)
     return (
         scored.writeStream.format(fmt)
         .outputMode("append")

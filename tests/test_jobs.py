@@ -17,7 +17,7 @@ def pairs(spark):
     rows = []
     for i in range(150):
         s = " ".join(rng.choice(["यह", "किताब", "one", "2", "है।"], size=rng.integers(1, 15)))
-        t = "".join(rng.choice(list("这是一本书很好。,1a"), size=rng.integers(1, 40)))
+        t = "".join(rng.choice(list("雨停商店九点开门。,1a"), size=rng.integers(1, 40)))
         rows.append((i, s, t, 1.06 + 0.18 * min(len(s), len(t)) / max(len(s), len(t))))
     return spark.createDataFrame(rows, "line_no long, source string, target string, score double")
 

@@ -35,7 +35,7 @@ def table(spark):
 def pairs(spark):
     rng = np.random.default_rng(2)
     words = ["आज", "स्कूल", "किताब", "one", "two", "45%", "है।"]
-    signs = list("我今天要去学校这是一本书。, 12a")
+    signs = list("雨停了商店九点开门河山。, 12a")
     rows = []
     for i in range(120):
         s = " ".join(rng.choice(words, size=rng.integers(1, 12)))

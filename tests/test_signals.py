@@ -7,13 +7,13 @@ import pytest
 from pairscore.operators import signals
 
 TEXTS = [
-    "我今天要去学校。",
+    "雨停了。",
     "的的的的",
     "",
     "plain ascii text, with repeats repeats repeats",
     "a",
     "😀 emoji 😀😀",
-    "मैं आज स्कूल जा रहा हूँ।",
+    "बारिश रुक गई।",
     None,
 ] * 5
 
@@ -107,8 +107,33 @@ def test_failed_sentences_take_the_default(texts):
 
     made = signals.score_text(texts, "source", fails_on_short, "n", default=100.0)
     for r in made.collect():
-        text = r["source"] or ""
-        assert r["n"] == (100.0 if len(text) < 2 else float(len(text)))
+        text = r["source"]
+        assert r["n"] == (None if text is None else 100.0 if len(text) < 2 else float(len(text)))
+
+
+def test_a_batch_that_fails_midway_counts_once(texts):
+    def fails_midway():
+        def score(batch):
+            for t in batch:
+                if not t:
+                    raise ValueError("empty")
+                yield len(t)
+
+        return score
+
+    rows = signals.score_text(texts, "source", fails_midway, "n", default=None, flag="failed").collect()
+    for r in rows:
+        assert (r["n"], r["failed"]) == ((len(r["source"]), False) if r["source"] else (None, r["source"] == ""))
+
+
+def test_both_ways_of_the_language_model_agree(texts):
+    lm = signals.fit_char_lm(texts.filter("line_no < 4"), "source")
+    odd = texts.selectExpr("CASE WHEN line_no % 3 > 0 THEN line_no % 2 END AS line_no", "source")
+    found = []
+    for rows in (0, 2_000_000):
+        made = signals.char_lm_perplexity(odd, "source", lm, broadcast_rows=rows)
+        found.append(sorted((str(r[0]), str(r[1]), round(r[2] or 0, 9)) for r in made.collect()))
+    assert found[0] == found[1]
 
 
 def test_apply_translator(texts):
