@@ -25,6 +25,7 @@ import secrets
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from ..session import materialize
 
 DEPTH = 4
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
-CHUNK = 16 << 20
+CHUNK = 10 << 20
 #: Bytes whose grams are sorted at once.
 SEGMENT = 2 << 20
 #: Entries that one task answers, about.
@@ -67,10 +68,9 @@ def word_keys(texts: list[bytes], known: WordHashes) -> tuple[np.ndarray, np.nda
     out, sizes = [], []
     for text in texts:
         words = text.split()
-        out += map(known.__getitem__, words)
-        out.append(int(END))
+        out += [np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), np.array([END])]
         sizes.append(len(words) + 1)
-    return np.array(out, np.uint64), np.array(sizes, np.int64)
+    return np.concatenate(out), np.array(sizes, np.int64)
 
 
 def gram_keys(texts: list[bytes]):
@@ -120,8 +120,8 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 def needed(texts: list[bytes], train: np.ndarray, known: WordHashes) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Per kind the distinct keys of a chunk and their counts in its training texts."""
     words, sizes = word_keys(texts, known)
-    parts = [(words, np.repeat(train, sizes))]
-    word_part = summed([parts[0][0]], [parts[0][1].astype(np.int64)])
+    word_part = summed([words], [np.repeat(train, sizes).astype(np.int64)])
+    del words
     keys, counts = [], []
     for grams, owner in gram_keys(texts):
         found, place = np.unique(grams, return_inverse=True)
@@ -175,9 +175,8 @@ def chunk_parts(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         known, held, size = WordHashes(), [], 0
         for batch in batches:
-            lengths = np.diff(np.append(0, np.cumsum([len(t or "") for t in batch.column("text").to_pylist()])))
-            begin = 0
-            for i, length in enumerate(lengths.tolist()):
+            lengths, begin = pc.binary_length(batch.column("text")).to_pylist(), 0
+            for i, length in enumerate(x or 0 for x in lengths):
                 if size and size + length > CHUNK:
                     held.append(batch.slice(begin, i - begin))
                     yield from emit(pa.Table.from_batches([b for b in held if b.num_rows]), known)
@@ -349,7 +348,11 @@ def scored_chunk(texts: pa.Table, answers: pa.Table, buckets: int, tokens: int,
     first = np.cumsum(sizes) - sizes
     base = np.add.reduceat(logs[place], first)
     known = np.add.reduceat((counts > 0)[place].astype(np.int64), first)
-    pieces = [(*np.unique(grams, return_inverse=True), owner) for grams, owner in gram_keys(data)]
+    del words, place, logs, keys
+    pieces = []
+    for grams, owner in gram_keys(data):  # 8 bytes are held for each byte of text
+        found, where = np.unique(grams, return_inverse=True)
+        pieces.append((found, where.astype(np.int32), owner.astype(np.int32)))
     grams = np.unique(np.concatenate([p[0] for p in pieces]))
     lengths = aligned(GRAMS, grams, "<f4")
     score = np.zeros(len(data))
@@ -376,10 +379,10 @@ def score_texts(df: DataFrame, held_out: Column, text: str = "text") -> DataFram
     )
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = size // CHUNK + 1
-    # a chunk has about 600,000 entries; at least 16 buckets keep small runs parallel
-    buckets = max(16, chunks * 600_000 // ENTRIES)
+    # a chunk has about 400,000 entries; at least 16 buckets keep small runs parallel
+    buckets = max(16, chunks * 400_000 // ENTRIES)
     salts = -(-chunks // CHUNKS_TOGETHER)
-    stored = materialize(chunk_parts(docs.withColumnRenamed("text", "text"), buckets), "ctw-parts")
+    stored = materialize(chunk_parts(docs, buckets), "ctw-parts", "kind")
     asked = stored.where(F.col("kind") != TEXTS)
     salted = asked.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
     sums = salted
