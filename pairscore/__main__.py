@@ -36,7 +36,7 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--kinds", nargs="+", choices=jobs.KINDS, required=True)
 
     made = command("explain", "table", "models", "out")
-    made.add_argument("--kind", choices=["linear", "mlp", "residual_mlp"], required=True)
+    made.add_argument("--kind", choices=jobs.KINDS, required=True)
     made.add_argument("--sample-size", type=int, default=200)
 
     command("score", "pairs", "model", "out")

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (
+    GBTRegressor,
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +52,66 @@ class Fitted:
         lacking = F.exists(F.array(*[F.col(c).isNull() for c in self.features]), lambda x: x)
         return applied.withColumn(output, F.when(~lacking, back)).drop(VECTOR, SCALED_PREDICTION)
 
+    def scaled_function(self):
+        """The model as a numpy function of scaled features, for use inside tasks."""
+        if self.kind == "linear":
+            weights, intercept = self.model.coefficients.toArray(), self.model.intercept
+            return lambda x: x @ weights + intercept
+        return export_trees(self.model)
+
+
+@dataclass(frozen=True)
+class Trees:
+    """Fitted trees as arrays, one row per tree; a leaf has feature -1."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    weights: np.ndarray
+    depth: int
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """Weighted sum of the trees' predictions for the rows of ``x``."""
+        total = np.zeros(len(x))
+        rows = np.arange(len(x))
+        for t, weight in enumerate(self.weights):
+            at = np.zeros(len(x), dtype=int)
+            for _ in range(self.depth):
+                feature = self.feature[t, at]
+                low = x[rows, np.maximum(feature, 0)] <= self.threshold[t, at]
+                at = np.where(feature < 0, at, np.where(low, self.left[t, at], self.right[t, at]))
+            total += weight * self.value[t, at]
+        return total
+
+
+def _nodes(node, rows: list) -> int:
+    """Appends a node and all below it; returns its place."""
+    place = len(rows)
+    rows.append((-1, 0.0, place, place, node.prediction()))
+    if node.subtreeDepth():
+        split = node.split()
+        left, right = _nodes(node.leftChild(), rows), _nodes(node.rightChild(), rows)
+        rows[place] = (split.featureIndex(), split.threshold(), left, right, 0.0)
+    return place
+
+
+def export_trees(model: Model) -> Trees:
+    """A fitted forest (mean of its trees) or boosted ensemble (weighted sum) as arrays."""
+    tables = []
+    for tree in model.trees:
+        rows: list = []
+        _nodes(tree._call_java("rootNode"), rows)
+        tables.append(rows)
+    size = max(map(len, tables))
+    padded = [rows + [(-1, 0.0, 0, 0, 0.0)] * (size - len(rows)) for rows in tables]
+    columns = [np.array([[r[i] for r in rows] for rows in padded]) for i in range(5)]
+    weights = np.array(model.treeWeights, dtype=float)
+    if isinstance(model, RandomForestRegressionModel):
+        weights = weights / len(weights)
+    return Trees(*columns, weights, max(tree.depth for tree in model.trees))
+
 
 def assemble(
     df: DataFrame, scaler: Scaler, features: list[str], missing: float | None = None

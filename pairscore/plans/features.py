@@ -135,9 +135,10 @@ def training_table(
     lm: DataFrame,
     cols: PairColumns = PAIRS,
     features: list[str] = FEATURES,
+    split: str | None = None,
     **loaders,
 ) -> tuple[DataFrame, RatioRange]:
-    """Complete training rows ``(key, features, target)`` and the fitted ratio range.
+    """Complete rows ``(key, features, target)`` and the ratio range, fitted on those outside the test split.
 
     The row features are written first.  The range then comes from one stored
     column and not from another pass over the texts.  Incomplete rows are dropped
@@ -146,11 +147,17 @@ def training_table(
     """
     made = row_features(df, lm, cols, **loaders).withColumnRenamed(cols.score, TARGET)
     per_row = [f for f in features if f not in ("length_ratio", "length_ratio_normalized")]
-    stored = materialize(made.select(cols.key, "length_ratio", *per_row, TARGET), "features")
-    low, high = stored.agg(F.min("length_ratio"), F.max("length_ratio")).first()
+    keep = [cols.key, *([split] if split else [])]
+    stored = materialize(made.select(*keep, "length_ratio", *per_row, TARGET), "features")
+    low, high = fitting_rows(stored, split).agg(F.min("length_ratio"), F.max("length_ratio")).first()
     ratio_range = RatioRange(low, high)
     full = stored.withColumn("length_ratio_normalized", ratio_range.normalized())
-    return select_training(full, features, TARGET, keep=[cols.key]), ratio_range
+    return select_training(full, features, TARGET, keep=keep), ratio_range
+
+
+def fitting_rows(df: DataFrame, split: str | None) -> DataFrame:
+    """The rows that may be fitted on: all but those whose ``split`` is test."""
+    return df.filter(F.col(split) != "test") if split else df
 
 
 @dataclass(frozen=True)
@@ -168,18 +175,23 @@ def build_features(
     limit: float = COLLINEAR_LIMIT,
     features: list[str] = FEATURES,
     lm: DataFrame | None = None,
+    split: str | None = None,
     **loaders,
 ) -> FeatureJob:
     """Signals, features, cleaning and pruning.
 
+    ``split`` names a column that tells test rows: they get features like all others, but the
+    language model, the ratio range and the pruning never see them.
+
     The texts are read twice: the target side for the language model, both sides
     for the features.  The feature table is written once; the correlation pass,
     every later fit and the final selection read it.
     """
     if lm is None:
-        lm = materialize(signals.fit_char_lm(df, cols.target), "char-lm")
-    table, ratio_range = training_table(df, lm, cols, features, **loaders)
-    pruned = prune_collinear(table, features, limit)
+        lm = materialize(signals.fit_char_lm(fitting_rows(df, split), cols.target), "char-lm")
+    table, ratio_range = training_table(df, lm, cols, features, split, **loaders)
+    pruned = prune_collinear(fitting_rows(table, split), features, limit)
+    keep = [cols.key, *([split] if split else [])]
     return FeatureJob(
-        table.select(cols.key, *pruned.kept, TARGET), pruned.kept, pruned, lm, ratio_range
+        table.select(*keep, *pruned.kept, TARGET), pruned.kept, pruned, lm, ratio_range
     )

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairscore.operators import shapley
-from pairscore.operators.network import FittedNetwork
 from pairscore.operators.regress import ESTIMATORS
 from pairscore.operators.sampling import holdout, sample_n
 from pairscore.operators.tuning import fit_kind, grid_search
-from pairscore.plans.features import RatioRange, build_features
+from pairscore.plans.features import RatioRange, build_features, fitting_rows
 from pairscore.plans.scoring import evaluate, evaluation_metrics, score_pairs
 from pairscore.schema import CSV_SOURCE, CSV_TARGET, PAIRS, TARGET, PairColumns
 from pairscore.session import materialize
@@ -30,11 +29,12 @@ from pairscore.sources.tables import (
 )
 
 KEY = PAIRS.key
+SPLIT = "split"
 
 
 def feature_names(table: DataFrame) -> list[str]:
-    """Every column but the key and the target."""
-    return [c for c in table.columns if c not in (KEY, TARGET)]
+    """Every column but the key, the split and the target."""
+    return [c for c in table.columns if c not in (KEY, SPLIT, TARGET)]
 
 
 def run_features(
@@ -46,10 +46,16 @@ def run_features(
     sample_size: int | None = None,
     seed: int = 42,
     limit: float = 0.95,
+    test_ratio: float = 0.1,
 ) -> list[str]:
-    """Aligned text files in; feature table, language model and ratio range out."""
-    pairs = sample_n(read_aligned(spark, source, target, scores), sample_size, seed)
-    job = build_features(pairs, limit=limit)
+    """Aligned text files in; feature table, language model and ratio range out.
+
+    The pairs are aligned and stored once. The test rows are held out first, so nothing is
+    fitted on them; the column ``split`` of the feature table tells them.
+    """
+    pairs = materialize(read_aligned(spark, source, target, scores), "pairs")
+    split = materialize(holdout(sample_n(pairs, sample_size, seed), test_ratio, seed), "split-pairs")
+    job = build_features(split, limit=limit, split=SPLIT)
     write_table(job.table, f"{out}/features")
     write_table(job.lm, f"{out}/lm")
     spark.createDataFrame(
@@ -69,8 +75,13 @@ def run_search(
     seed: int = 42,
     parallelism: int = 4,
 ) -> dict:
-    """Holds the test rows back, searches on the rest, writes both and the best parameters."""
-    split = materialize(holdout(spark.read.parquet(features), test_ratio, seed), "holdout")
+    """Holds the test rows back, searches on the rest, writes both and the best parameters.
+
+    A feature table that has a split keeps it; ``test_ratio`` is for those without.
+    """
+    split = spark.read.parquet(features)
+    if SPLIT not in split.columns:
+        split = materialize(holdout(split, test_ratio, seed), "holdout")
     for part in ("test", "trainval"):
         write_table(split.filter(F.col("split") == part).drop("split"), f"{out}/{part}")
     trainval = spark.read.parquet(f"{out}/trainval")
@@ -93,6 +104,7 @@ def run_fit(
     if isinstance(params, str):
         params = read_params(spark, params)["best_params"]
     df = spark.read.parquet(table)
+    df = fitting_rows(df, SPLIT if SPLIT in df.columns else None)
     fitted = fit_kind(df, kind, feature_names(df), TARGET, params)
     bounds = spark.read.json(f"{prepared}/ratio_range").first()
     lm = spark.read.parquet(f"{prepared}/lm")
@@ -127,12 +139,10 @@ def run_explain(
     features, scaler = fitted.features, fitted.feature_scaler
     rows = sample_n(df, sample_size, shapley.SEED)
     background = shapley.background_rows(rows, features, scaler)
-    if isinstance(fitted, FittedNetwork):
-        explained = shapley.shapley(rows, fitted.scaled_function(), features, scaler, background)
-    elif kind == "linear":
+    if kind == "linear":
         explained = shapley.linear_shapley(rows, fitted, background)
     else:
-        raise ValueError(f"{kind} models are explained by tree_importance")
+        explained = shapley.shapley(rows, fitted.scaled_function(), features, scaler, background)
     stored = materialize(explained, "attributions")
     write_table(stored, f"{out}/shap_values_{kind}")
     write_table(shapley.importance(stored, features).coalesce(1), f"{out}/shap_importance_{kind}", "csv")

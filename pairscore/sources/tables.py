@@ -79,17 +79,16 @@ def write_params(
     spark: SparkSession, path: str, model: str, best_params: dict, best_cv_rmse: float
 ) -> None:
     """The result of a search as one JSON object."""
-    row = (model, json.dumps(best_params), float(best_cv_rmse))
-    schema = "model string, best_params string, best_cv_rmse double"
-    spark.createDataFrame([row], schema).coalesce(1).write.json(path)
+    found = {"model": model, "best_params": best_params, "best_cv_rmse": float(best_cv_rmse)}
+    spark.createDataFrame([(json.dumps(found),)], "value string").coalesce(1).write.text(path)
 
 
 def read_params(spark: SparkSession, path: str) -> dict:
     """A stored search: ``model``, ``best_params``, ``best_cv_rmse``.
 
-    ``best_params`` may be a nested object, as in a hand-written file.
+    ``best_params`` is an object; a string that holds one is read as well.
     """
-    found = spark.read.option("multiLine", True).json(path).first().asDict(recursive=True)
+    found = json.loads(spark.read.text(path, wholetext=True).where("trim(value) <> ''").first()["value"])
     params = found["best_params"]
     return {**found, "best_params": json.loads(params) if isinstance(params, str) else params}
 

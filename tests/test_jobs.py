@@ -2,10 +2,13 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairscore.__main__ import run
 from pairscore.operators.signals import similarity
+from pairscore.operators.sampling import holdout
 from pairscore.plans.explore import composite_scores, corpus_report, disagreement_report
+from pairscore.plans.features import build_features
 from pairscore.session import work_folder
 from pairscore.sources.aligned import write_aligned
 from pairscore.sources.tables import read_params, write_table
@@ -61,3 +64,15 @@ def test_reports(spark, pairs):
     found = disagreement_report(scored)
     assert found["share"].first()["rows"] == found["cases"].count() == 8
     assert [r["q"] for r in found["thresholds"].collect()] == [0.95, 0.99]
+
+
+def test_nothing_is_fitted_on_test_rows(spark, pairs):
+    split = holdout(pairs, 0.2, 42).withColumn("source", F.col("source"))
+    changed = split.withColumn(
+        "target", F.when(F.col("split") == "test", F.lit("完全不同的文字 999 !!!")).otherwise(F.col("target"))
+    )
+    made = [build_features(df, split="split") for df in (split, changed)]
+    assert made[0].ratio_range == made[1].ratio_range
+    assert made[0].features == made[1].features
+    assert sorted(map(tuple, made[0].lm.collect())) == sorted(map(tuple, made[1].lm.collect()))
+    assert made[0].table.where("split = 'test'").count() == int(pairs.count() * 0.2)

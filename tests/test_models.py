@@ -270,3 +270,26 @@ def test_tree_importance(table):
     fitted = regress.fit_regressor(table, "random_forest", NAMES, params={"numTrees": 5, "seed": 1})
     rows = regress.tree_importance(fitted, table, 2).collect()
     assert len(rows) == 2 and rows[0]["importance"] >= rows[1]["importance"]
+
+
+@pytest.mark.parametrize("kind", ["linear", "random_forest", "gbt"])
+def test_exported_models_predict_the_same(table, kind):
+    params = {"random_forest": {"numTrees": 5, "seed": 1}, "gbt": {"maxIter": 4, "seed": 1}}.get(kind)
+    fitted = regress.fit_regressor(table, kind, NAMES, params=params)
+    scaled = table.select(*[fitted.feature_scaler.scaled(c).alias(c) for c in NAMES]).toPandas().to_numpy()
+    own = fitted.scaled_function()(scaled)
+    spread, middle = fitted.target_scaler.scale[0], fitted.target_scaler.mean[0]
+    there = np.array([r[0] for r in fitted.predict(table, "p").select("p").collect()])
+    assert own * spread + middle == pytest.approx(there, abs=1e-9)
+
+
+def test_trees_are_explained_by_the_kernel(table):
+    fitted = regress.fit_regressor(table, "gbt", NAMES, params={"maxIter": 3, "seed": 1})
+    background = shapley.background_rows(table, NAMES, fitted.feature_scaler, n=8)
+    rows = table.filter("line_no < 4")
+    function = fitted.scaled_function()
+    got = shapley.shapley(rows, function, NAMES, fitted.feature_scaler, background).collect()
+    scaled = {r["line_no"]: np.array(r[1:]) for r in fitted.feature_scaler.transform(rows).select("line_no", *NAMES).collect()}
+    for r in got:
+        phi = np.array([r[c] for c in NAMES])
+        assert phi == pytest.approx(_exact_shapley(function, scaled[r["line_no"]], background), abs=1e-8)
