@@ -276,11 +276,11 @@ def fit_linear(spark, sf_dir):
 
 
 def fit_random_forest(spark, sf_dir):
-    return _fit_and_evaluate(spark, sf_dir, "random_forest", {"numTrees": 10, "seed": 42})
+    return _fit_and_evaluate(spark, sf_dir, "random_forest", {"seed": 42})
 
 
 def fit_gbt(spark, sf_dir):
-    return _fit_and_evaluate(spark, sf_dir, "gbt", {"maxIter": 5, "seed": 42})
+    return _fit_and_evaluate(spark, sf_dir, "gbt", {"seed": 42})
 
 
 def _fit_network(spark, sf_dir, residual):
