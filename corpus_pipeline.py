@@ -25,7 +25,8 @@ BROADCAST_IDS = 500_000
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the rule ensemble, fitted on the labelled ones among them, rejects."""
     model = rule_ensemble.fit(docs, queries.train_labels(spark, sf_dir, "quality", 4, 2))
-    judged = rule_ensemble.score(docs, model, into="_quality")
+    # stored before the filter, which would else be pushed below the score and compute every statistic twice
+    judged = materialize(rule_ensemble.score(docs, model, into="_quality"), "pipeline-quality")
     return judged.where(F.col("_quality") >= MIN_QUALITY).select(*docs.columns)
 
 
