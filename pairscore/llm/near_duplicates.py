@@ -9,11 +9,16 @@
    their components are families.
 3. Each family's full sets are compared, in blocks of bounded size where the family is large; links
    of similarity 0.75 or more are confirmed exactly, and their components are the result.
+4. Going deeper parts nodes that shared a prefix. All nodes that were in a region of more than
+   ``REGION`` are therefore compared again without signatures: each node's rarest shingles are keys,
+   as many as a pair at 0.75 cannot do without, and pairs of different components with a common key
+   that may still reach 0.75 are decided on their full sets. This step misses no pair.
 
 A pair at 0.75 shares a prefix in none of the orders with probability 2e-6, and agrees in too few
 places with 1e-5; above that both fall off fast. No candidate is dropped. A block sends back a
 spanning forest of its links, never all pairs. Work within one family grows with the square of the
-number of its different texts, spread over blocks; its rows grow with size * size / ``BLOCK``.
+number of its different texts, spread over blocks; its rows grow with size * size / ``BLOCK``. In
+step 4 the rows of a key grow with its nodes outside its largest component times all its nodes / ``SPLIT``.
 
 Texts without words (also null) have no shingles and are linked with nothing. A null id is linked
 with nothing and has no component. Every row has the component of its own text, repeated ids too.
@@ -39,6 +44,9 @@ DEPTHS = (3, 6, 12, 24, 48, 96)
 AGREE = 54
 REGION = 2000
 BLOCK = 500
+#: Buckets of the rough counts that order shingles, and nodes with a common key that are joined in one go.
+BUCKETS = 1 << 20
+SPLIT = 500
 #: Nodes whose ids are sent to all executors to fetch their texts; beyond it a shuffle fetches them.
 BROADCAST_NODES = 500_000
 REMEMBERED = 400_000
@@ -115,13 +123,14 @@ def prefix(depth: int) -> Column:
     return F.xxhash64("tree", F.substr(F.concat("sig", "sig"), begin, F.lit(depth * 4)))
 
 
-def regions(nodes: DataFrame) -> DataFrame:
-    """(region, node): per order the nodes with a common prefix, deeper where they are many.
+def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(region, node): per order the nodes with a common prefix, deeper where they are many; and the nodes of
+    which some order had too many, None without such.
 
     Only keys are shuffled here; signatures join the few nodes that have neighbours.
     """
     left = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    done = None
+    done = crowded = None
     for depth in DEPTHS:
         keyed = left.select("node", "tree", prefix(depth).alias("region"))
         sizes = keyed.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
@@ -131,8 +140,10 @@ def regions(nodes: DataFrame) -> DataFrame:
         part = chained(met) if last else met.where(F.col("size") <= REGION).select("region", "node")
         done = part if done is None else done.unionByName(part)
         if last or not sizes.where(F.col("size") > REGION).limit(1).count():
-            return done
-        left = met.where(F.col("size") > REGION).select("node", "tree").join(nodes, "node")
+            return done, crowded
+        deeper = met.where(F.col("size") > REGION).select("node", "tree")
+        crowded = deeper.select("node").distinct() if crowded is None else crowded
+        left = deeper.join(nodes, "node")
 
 
 def chained(met: DataFrame) -> DataFrame:
@@ -168,15 +179,16 @@ def join(root: np.ndarray, i: int, others: np.ndarray) -> None:
         root[np.isin(root, tops)] = tops[0]
 
 
-def families(nodes: DataFrame) -> DataFrame:
-    """(node, component): components of the candidate links of all orders."""
+def families(nodes: DataFrame, forest: DataFrame | None = None) -> DataFrame:
+    """(node, component): components of the candidate links of all orders, or of the regions ``forest``."""
 
     def run(table: pa.Table) -> pa.Table:
         a, b = candidate_links(table)
         real = a != b
         return pa.table({"a": a[real], "b": b[real]})
 
-    met = regions(nodes).join(nodes.hint("merge"), "node").select("region", "node", "sig")
+    forest = regions(nodes)[0] if forest is None else forest
+    met = forest.join(nodes.hint("merge"), "node").select("region", "node", "sig")
     links = met.groupBy("region").applyInArrow(run, "a bigint, b bigint")
     return connected(links, "forest-families")
 
@@ -262,17 +274,135 @@ def confirm(docs: DataFrame, nodes: DataFrame, found: DataFrame, text: str, doc_
     )
 
 
+def rough_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of ``sets`` fall into each of ``BUCKETS`` buckets."""
+    schema = pa.schema([("bucket", pa.int64()), ("count", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            held = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)
+            total += np.bincount((held % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], schema=schema)
+
+    counted = sets.select("shingles").mapInArrow(run, "bucket bigint, count bigint").groupBy("bucket").agg(F.sum("count").alias("count"))
+    rows, out = counted.toArrow(), np.zeros(BUCKETS, np.int64)
+    out[rows.column("bucket").to_numpy()] = rows.column("count").to_numpy()
+    return out
+
+
+def rare_keys(found: np.ndarray, counts: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a set that a pair may have as its first common one, and for each how large the other
+    set of the pair may be.
+
+    All sets are ordered alike, by rough count and then by hash. Sets of n and m shingles whose first common one
+    stands at place p have at most n - p in common; ``threshold`` percent needs (100 + threshold) (n - p) >= threshold (n + m).
+    Shingles that no other set has are left out.
+    """
+    common = counts[(found % np.uint64(BUCKETS)).astype(np.int64)]
+    order = np.lexsort((found, common))
+    reach = (100 * len(found) - (100 + threshold) * np.arange(len(found))) // threshold
+    wanted = (100 * reach >= threshold * len(found)) & (common[order] > 1)
+    return found[order[wanted]], reach[wanted]
+
+
+def keys_of(sets: DataFrame, counts: np.ndarray, threshold: int) -> DataFrame:
+    """(key, node, family, size, n, reach): the rare shingles of every set."""
+    names = ("key", "node", "family", "size", "n", "reach")
+    schema = pa.schema([(name, pa.int64()) for name in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(s, np.uint64) for s in batch.column("shingles").to_pylist()]
+            if not held:
+                continue
+            each = [rare_keys(s, counts, threshold) for s in held]
+            times = [len(k) for k, _ in each]
+            spread = [np.repeat(batch.column(c).to_numpy(), times) for c in ("node", "family", "size")]
+            n = np.repeat([len(s) for s in held], times)
+            keys, reach = np.concatenate([k for k, _ in each]).view(np.int64), np.concatenate([r for _, r in each])
+            columns = [pa.array(c, pa.int64()) for c in (keys, *spread, n, reach)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return sets.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
+
+
+def key_pairs(keys: DataFrame) -> DataFrame:
+    """(a, b): pairs of different families with a common key, each of a size that the other's place of it allows.
+
+    Nodes whose place allows no node of the key drop out first: a passage that all have stands late and goes
+    with them. A key's nodes outside its largest family are its minors; they meet all, in parts of about ``SPLIT``.
+    """
+    about = keys.groupBy("key").agg(
+        F.min("n").alias("least"), F.max(F.struct("size", "family"))["family"].alias("major"), F.min("family").alias("f"), F.max("family").alias("g")
+    )
+    about = about.where("f <> g").select("key", "least", "major")
+    met = keys.join(about.hint("merge"), "key").where("reach >= least")
+    met = materialize(met.select("key", "node", "family", "n", "reach", (F.col("family") != F.col("major")).alias("minor")), "forest-keys-met")
+    sizes = met.groupBy("key").agg(F.count_if("minor").alias("minors"), F.count("*").alias("all")).where("minors > 0 AND all > 1")
+    minors = F.ceil(F.col("minors") / SPLIT)
+    majors = F.ceil((F.col("all") - F.col("minors")) / SPLIT)
+    dealt = F.xxhash64("node")
+    part = F.when(F.col("minor"), F.pmod(dealt, minors)).otherwise(minors + F.pmod(dealt, F.greatest(majors, F.lit(1))))
+    placed = met.join(sizes.hint("merge"), "key").select("*", minors.alias("_minors"), (minors + majors).alias("_parts"), part.alias("_part"))
+    placed = materialize(placed, "forest-keys-placed")
+    first = placed.where("minor").select(
+        "key", F.col("_part").alias("i"), F.explode(F.sequence("_part", F.col("_parts") - 1)).alias("j"),
+        F.col("node").alias("a"), F.col("family").alias("fa"), F.col("n").alias("na"), F.col("reach").alias("ra"),
+    )
+    second = placed.select(
+        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.least("_part", F.col("_minors") - 1))).alias("i"), F.col("_part").alias("j"),
+        F.col("node").alias("b"), F.col("family").alias("fb"), F.col("n").alias("nb"), F.col("reach").alias("rb"),
+    )
+    pairs = first.join(second.hint("merge"), ["key", "i", "j"]).where("fa <> fb AND nb <= ra AND na <= rb AND (i < j OR a < b)")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def alike(x: bytes, y: bytes, threshold: int) -> bool:
+    """Whether two sets of shingles have a similarity of ``threshold`` percent or more."""
+    shared = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+    return 100 * shared >= threshold * (len(x) // 8 + len(y) // 8 - shared)
+
+
+def crowded_links(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, linked: DataFrame, text: str, doc_id: str, threshold: int) -> DataFrame:
+    """All links (a, b) between the nodes ``crowded`` that join different components of ``linked``."""
+    members = crowded.join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("family"))
+    sizes = members.groupBy("family").agg(F.count("*").alias("size"))
+    wanted = members.join(sizes.hint("merge"), "family").join(nodes.select("node", "key"), "node")
+    wanted = materialize(wanted, "forest-crowded")
+    counts = rough_counts(sets_of(docs, wanted, text, doc_id))
+    keys = materialize(keys_of(sets_of(docs, wanted, text, doc_id), counts, threshold), "forest-keys")
+    pairs = materialize(key_pairs(keys), "forest-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets_of(docs, materialize(wanted.join(ends, "node"), "forest-ends"), text, doc_id)
+    sets = materialize(sets.select("node", "shingles"), "forest-end-sets")
+    both = pairs.join(sets.toDF("a", "x").hint("merge"), "a").join(sets.toDF("b", "y").hint("merge"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            real = [alike(x, y, threshold) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(real, pa.bool_()))
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
 def find_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: int = 75) -> DataFrame:
     """Per row of ``docs`` its id, n_shingles, component_id (smallest linked id) and kept."""
     read = materialize(signatures(docs, text, doc_id), "forest-signatures")
     usable = read.where("n > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("key").agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"), F.count("*").alias("rows"))
     nodes = materialize(classes, "forest-nodes")
-    found = families(nodes.select("node", "sig"))
-    found = materialize(found, "forest-found")
+    signed = nodes.select("node", "sig")
+    forest, crowded = regions(signed)
+    found = materialize(families(signed, forest), "forest-found")
     linked = connected(confirm(docs, nodes, found, text, doc_id, threshold), "forest-links")
-    alike = nodes.where("rows > 1").select("key", F.col("node").alias("first"))
-    rows = read.select("doc_id", "n", "key").join(alike, "key", "left")
+    if crowded is not None:
+        linked = materialize(linked, "forest-linked")
+        more = crowded_links(docs, nodes, crowded, linked, text, doc_id, threshold)
+        linked = connected(linked.toDF("a", "b").unionByName(more), "forest-links")
+    repeated = nodes.where("rows > 1").select("key", F.col("node").alias("first"))
+    rows = read.select("doc_id", "n", "key").join(repeated, "key", "left")
     rows = rows.withColumn("node", F.coalesce("first", "doc_id")).join(linked, "node", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
     component = F.when(F.col("doc_id").isNotNull(), component)

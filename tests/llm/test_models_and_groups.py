@@ -72,6 +72,40 @@ def test_components_equal_brute_force(spark, monkeypatch, region, block):
     assert all(r["kept"] == (want[i] == i) for i, r in got.items())
 
 
+def test_pairs_within_one_passage_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "REGION", 20)
+    monkeypatch.setattr(near_duplicates, "SPLIT", 16)
+    draw = random.Random(5)
+    passage = words(draw, 84)
+    texts = []
+    for i in range(240):
+        own = [f"u{i}x{k}" for k in range(draw.randint(21, 27))]
+        texts.append(" ".join(passage + own))
+        if i < 60:  # a partner that shares some of its own words: 0.75 to 0.8 with it, 0.6 to 0.7 with all others
+            shared = draw.randint(8, 12)
+            texts.append(" ".join(passage + own[:shared] + [f"v{i}x{k}" for k in range(len(own) - shared)]))
+    draw.shuffle(texts)
+    rows = list(enumerate(texts))
+    want = slow_components(rows)
+    assert 30 < sum(want[i] != i for i in want) < 70
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates.find_near_duplicates(df).collect()} == want
+
+
+@pytest.mark.parametrize("counts", [1, 1 << 10])
+def test_rare_keys_meet_all_links(counts):
+    draw = random.Random(counts)
+    table = np.array([draw.randint(2, 9) for _ in range(counts)])
+    table = np.resize(table, near_duplicates.BUCKETS)
+    for _ in range(300):
+        every = draw.sample(range(1, 10**6), 60)
+        x, y = (np.array(sorted(draw.sample(every, draw.randint(45, 60))), np.uint64) for _ in range(2))
+        if near_duplicates.alike(x.tobytes(), y.tobytes(), 75):
+            (kx, rx), (ky, ry) = (near_duplicates.rare_keys(s, table, 75) for s in (x, y))
+            places = dict(zip(ky.tolist(), ry))
+            assert any(k in places and r >= len(y) and places[k] >= len(x) for k, r in zip(kx.tolist(), rx))
+
+
 def test_no_id_no_rows_and_equal_texts(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "A b c d e f"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
