@@ -4,7 +4,8 @@ Strong patterns (assign, access, hex) are always reported. Weak candidates (iden
 endpoint) are common in harmless text; they are reported where complementary parts stand within
 ``REACH`` characters of each other: an identifier with a secret, and an endpoint beside such a
 pair. Parts are interval-joined on (row, stretch of text): a stretch is as long as the reach,
-so the pairs per part are bounded by what fits into three stretches.
+so the pairs per part are bounded by what fits into its own stretches and one on either side.
+Values of any length match whole; a value may follow its sign directly (key=value).
 
 A pattern's matches and the gaps between them come from the same expression; the running sum of
 their lengths gives the offsets, in code points, ends exclusive. Null is searched as the empty text.
@@ -29,9 +30,9 @@ PATTERNS = {
     "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": r"AKIA[A-Z0-9]+",
     "hex": r"(?<![0-9a-f])[0-9a-f]{24,}+",
-    "identifier": r"""(?<![A-Za-z0-9])(?i:access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|app[_-]?id|user(?:name)?|login)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9_.@-]{4,128}""",
-    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])",
-    "endpoint": r"""(?<![A-Za-z0-9])(?:(?i:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9][^\x00-\x20"'<>]{3,500}|(?i:host(?:name)?|endpoint|server)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9][A-Za-z0-9.:-]{3,200})""",
+    "identifier": r"""(?<![A-Za-z0-9])(?i:access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|app[_-]?id|user(?:name)?|login)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9_.@-]{4,}+""",
+    "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])",
+    "endpoint": r"""(?<![A-Za-z0-9])(?:(?i:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9][^\x00-\x20"'<>]{3,}+|(?i:host(?:name)?|endpoint|server)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9][A-Za-z0-9.:-]{3,}+)""",
 }
 #: A cheap test that every match of a kind passes.
 HINTS = {
