@@ -5,7 +5,8 @@ transducers rewrites the text: look-alike characters become ASCII, invisible one
 spelled digits become digits, "(at)" and "[dot]" become signs. Each transducer records
 which source characters every part of its output came from. The plain detectors run on
 the rewritten text too; what they find there is mapped back through the chain and added
-unless it touches a plain span of its kind.
+unless a plain span of its kind covers it; one that is longer than what was found in
+plain form stands beside it.
 
 All offsets are code points, ends exclusive. Null is searched as the empty text. Every
 detector is linear in the length of the text, also on one word of any length.
@@ -255,7 +256,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
                 continue  # a part of a word in another script
             for tape in reversed(tapes):
                 start, end = tape.start(start), tape.end(end)
-            if not any(k == kind and s < end and start < e for k, s, e in base):
+            if not any(k == kind and s <= start and end <= e for k, s, e in base):
                 found.append((kind, start, end, False))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

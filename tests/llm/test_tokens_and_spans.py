@@ -113,6 +113,21 @@ def test_disguises_map_back_to_the_source(text, kind, part):
     assert [(k, text[s:e], base) for k, s, e, base in spans] == [(kind, part, False)]
 
 
+@pytest.mark.parametrize(
+    "part, kind, left",
+    [
+        ("jоhn.smith@example.com", "email", "hn.smith@example.com"),
+        ("john@mail.exаmple.com", "email", "john@mail.ex"),
+        ("john@mail.com​.br", "email", "john@mail.com"),
+    ],
+)
+def test_partly_disguised_parts_are_whole(part, kind, left):
+    text = f"write {part} now"
+    spans = [(k, text[s:e], base) for k, s, e, base in pii.find_spans(text)]
+    assert sorted(spans) == sorted([(kind, left, True), (kind, part, False)])
+    assert pii.redacted(text) == "write [EMAIL] now"
+
+
 @pytest.mark.parametrize(
     "text", ["look at example.com now", "meet at noon. Dot your i", "seven eight nine days", "one two, three four", "Привет, мир. Всё хорошо"]
 )
