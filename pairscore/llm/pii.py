@@ -134,22 +134,25 @@ ODD = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ſ]")
 DIGIT_OF = {name: str(d) for d, names in enumerate(DIGIT_NAMES) for name in names}
 NUMBER_WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 AT, DOT, PLUS = ("|".join(names) for names in (AT_NAMES, DOT_NAMES, PLUS_NAMES))
-NUMBER = rf"(?:(?:{NUMBER_WORD})(?!\w)|[0-9]++)"
+# Letters of scripts without blanks between words: an identifier may stand directly beside them.
+UNSPACED = "\u0e00-\u0eff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff"
+BEFORE, AFTER = rf"(?<![^\W{UNSPACED}])", rf"(?![^\W{UNSPACED}])"
+NUMBER = rf"(?:(?:{NUMBER_WORD}){AFTER}|[0-9]++)"
 # At least four numbers in a row with blanks, hyphens, points or spelled points between them.
-SPELLED = re.compile(rf"(?<!\w){NUMBER}(?:(?: (?:{DOT}) |[ -]{{1,2}}|\.){NUMBER}){{3,}}", re.I)
-SPELLED_HINT = re.compile(rf"(?<!\w)(?:(?:{NUMBER_WORD})[ .-]{{1,2}}(?:{NUMBER_WORD}|[0-9])|[0-9] (?:{DOT}) [0-9])", re.I)
+SPELLED = re.compile(rf"{BEFORE}{NUMBER}(?:(?: (?:{DOT}) |[ -]{{1,2}}|\.){NUMBER}){{3,}}", re.I)
+SPELLED_HINT = re.compile(rf"{BEFORE}(?:(?:{NUMBER_WORD})[ .-]{{1,2}}(?:{NUMBER_WORD}|[0-9])|[0-9] (?:{DOT}) [0-9])", re.I)
 SPELLED_PART = re.compile(r"[^\W\d]+|[0-9]+|[ -]+|\.")
 OPEN, CLOSE = r"[\[({<]", r"[\])}>]"
 BRACKET_SIGN = re.compile(rf" ?{OPEN} ?(?:(?P<at>{AT}|@)|(?P<dot>{DOT}|\.)) ?{CLOSE} ?|(?P<atref>&#0*64;|&commat;)|(?P<dotref>&#0*46;|&period;)", re.I)
 #: name at host dot tld, all signs spelled without brackets.
 SPOKEN = re.compile(
-    rf"(?<![\w.%+-])[A-Za-z0-9_%+-]{{1,64}}(?:(?:\.| (?:{DOT}) )[A-Za-z0-9_%+-]{{1,64}}){{0,8}}(?:@| (?:{AT}) )"
-    rf"[A-Za-z0-9-]{{1,63}}(?: (?:{DOT}) [A-Za-z0-9-]{{1,63}}|\.[A-Za-z0-9-]{{1,63}}){{0,8}} (?:{DOT}) [A-Za-z]{{2,24}}(?![\w@])",
+    rf"(?<![\w.%+-])[\w%+-]{{1,64}}(?:(?:\.| (?:{DOT}) )[\w%+-]{{1,64}}){{0,8}}(?:@| (?:{AT}) )"
+    rf"[A-Za-z0-9-]{{1,63}}(?: (?:{DOT}) [A-Za-z0-9-]{{1,63}}|\.[A-Za-z0-9-]{{1,63}}){{0,8}} (?:{DOT}) [A-Za-z]{{2,24}}(?!@){AFTER}",
     re.I,
 )
 SPOKEN_HINT = re.compile(rf" (?:{DOT}) [A-Za-z]", re.I)
 SPOKEN_SIGN = re.compile(rf" (?:(?P<at>{AT})|(?P<dot>{DOT})) ", re.I)
-PLUS_WORD = re.compile(rf"(?<![\w])(?<![0-9] )(?:{PLUS}) ?(?=[0-9])", re.I)
+PLUS_WORD = re.compile(rf"{BEFORE}(?<![0-9] )(?:{PLUS}) ?(?=[0-9])", re.I)
 
 
 class Tape:
@@ -237,6 +240,37 @@ def spoken(text: str) -> list[tuple[int, int, str]]:
 
 
 CHAIN = (characters, spelled_digits, signs, spoken)
+#: Scripts with blanks between words, whose letters belong to the address they touch.
+SPACED = ("LATIN ", "GREEK ", "CYRILLIC ", "ARMENIAN ")
+
+
+def joined(char: str) -> bool:
+    """Whether ``char`` is a letter beyond ASCII, or a mark on one, that continues a word."""
+    return char > "\x7f" and (unicodedata.combining(char) > 0 or char.isalpha() and unicodedata.name(char, "").startswith(SPACED))
+
+
+def widened(text: str, start: int, end: int) -> tuple[int, int]:
+    """An address with the rest of its first and of its last word, where letters beyond ASCII cut them off."""
+    if joined(text[start - 1 : start]):
+        while start and (text[start - 1] in LOCAL_SET or joined(text[start - 1])):
+            start -= 1
+    if joined(text[end : end + 1]):
+        goes_on = lambda c: c == "-" or c.isascii() and c.isalnum() or joined(c)
+        while goes_on(text[end : end + 1]) or text[end : end + 1] == "." and goes_on(text[end + 1 : end + 2]):
+            end += 1
+    return start, end
+
+
+def source(tapes: list[Tape], start: int, end: int) -> tuple[int, int]:
+    """Where a span of the rewritten text stood in the source."""
+    for tape in reversed(tapes):
+        start, end = tape.start(start), tape.end(end)
+    return start, end
+
+
+def foreign(part: str, new: str) -> bool:
+    """Whether a source text that became ``new`` is a word wholly of another script, with none of its signs rewritten."""
+    return not any(c.isascii() and c.isalnum() for c in part) and all(part.count(c) == new.count(c) for c in "@.")
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
@@ -252,12 +286,15 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     found = [(kind, s, e, True) for kind, s, e in base]
     if tapes:
         for kind, start, end in plain(now):
-            if now[start - 1 : start].isalnum() or now[end : end + 1].isalnum():
-                continue  # a part of a word in another script
-            for tape in reversed(tapes):
-                start, end = tape.start(start), tape.end(end)
-            if not any(k == kind and s <= start and end <= e for k, s, e in base):
-                found.append((kind, start, end, False))
+            first, last = source(tapes, start, end)
+            if any(k == kind and s <= first and last <= e for k, s, e in base):
+                continue
+            wide = widened(now, start, end) if kind == "email" else (start, end)
+            if wide != (start, end):
+                first, last = source(tapes, *wide)
+                if foreign(text[first:last], now[slice(*wide)]):
+                    continue
+            found.append((kind, first, last, False))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -128,6 +128,31 @@ def test_partly_disguised_parts_are_whole(part, kind, left):
     assert pii.redacted(text) == "write [EMAIL] now"
 
 
+@pytest.mark.parametrize(
+    "before, part, after, kind",
+    [
+        ("an ", "müller [at] example [dot] com", " bitte", "email"),
+        ("an ", "müller at example dot com", " bitte", "email"),
+        ("an ", "mu\u0308ller(at)example(dot)com", "", "email"),
+        ("à ", "rené.señor@mail.exаmple.com", "!", "email"),
+        ("an ", "bob [at] example [dot] kö [dot] de", " bitte", "email"),
+        ("联系", "bob [at] example [dot] com", "谢谢", "email"),
+        ("电话", "＋４９ 151 23456789", "谢谢", "phone"),
+        ("电话", "plus one six two five five five five seven one nine six", "谢谢", "phone"),
+        ("主机", "１２３.1.1.1", "是", "ip"),
+        ("", "вова [at] сорт [dot] рф", "", "email"),
+    ],
+)
+def test_disguises_beside_other_letters(before, part, after, kind):
+    spans = [(k, before + part == text[:e], text[s:e]) for text in [before + part + after] for k, s, e, base in pii.find_spans(text) if not base]
+    assert spans == [(kind, True, part)]
+    assert pii.redacted(before + part + after) == f"{before}[{kind.upper()}]{after}"
+
+
+def test_words_of_another_script_stay():
+    assert pii.find_spans("пишите вова@сорт.рф сегодня") == []
+
+
 @pytest.mark.parametrize(
     "text", ["look at example.com now", "meet at noon. Dot your i", "seven eight nine days", "one two, three four", "Привет, мир. Всё хорошо"]
 )
