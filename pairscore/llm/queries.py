@@ -7,7 +7,21 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, context_tree, decontaminate, line_rules, near_duplicates, pii, rule_ensemble, secrets, toxicity, warc_zip
+from . import (
+    bpe,
+    collocations,
+    context_tree,
+    decontaminate,
+    hard_negatives,
+    license_scan,
+    line_rules,
+    near_duplicates,
+    pii,
+    rule_ensemble,
+    secrets,
+    toxicity,
+    warc_zip,
+)
 from .columns import digest, span_text
 
 
@@ -147,6 +161,43 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir))
 
 
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+
+    def whole(x: Column) -> Column:  # null and non-finite components stay null
+        value = x.cast("double")
+        return F.when(F.abs(value) < float("inf"), F.floor(256 * value))
+
+    numbers = rows.select("vec_id", flipped.alias("label"), F.transform("embedding", whole).alias("embedding"))
+    return hard_negatives.mine(numbers, F.col("vec_id") % 50 == 0)
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    found = collocations.find_collocations(documents(spark, sf_dir, "text", "lang"), top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "before", "behind")
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every text."""
+    found = license_scan.scan(documents(spark, sf_dir))
+    words = F.transform("places", lambda p: p["word"])
+    base, own = (F.transform(c, lambda s: s["label"]) for c in ("places", "spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        license_scan.label_list(base).alias("base_labels"),
+        license_scan.label_list(base, own).alias("labels"),
+        license_scan.score().alias("score"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 ARCHIVES_SQL = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
@@ -249,6 +300,72 @@ SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules
 FROM t
 """
 
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INT) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
+"""
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row, piece, regexp_extract_all(text, '[^ \t]+') AS ws
+  FROM (
+    SELECT lang, row, unnest(ps) AS text, unnest(range(len(ps))) AS piece
+    FROM (
+      SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS row,
+        regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+      FROM documents WHERE text IS NOT NULL
+    )
+  )
+), places AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces
+), grams AS (
+  SELECT lang, k, ws[i : i + k - 1] AS gram, count(*) AS f
+  FROM places, (SELECT unnest(range(1, 5)) AS k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, count(*) AS n FROM places GROUP BY lang
+), cuts AS (
+  SELECT g.lang, g.gram, g.f AS a, c, CAST(x.f AS BIGINT) AS l, CAST(y.f AS BIGINT) AS r,
+    CAST(2000000 * CAST(g.f AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM grams WHERE k > 1) g
+  JOIN grams x ON x.lang = g.lang AND x.gram = g.gram[1 : c]
+  JOIN grams y ON y.lang = g.lang AND y.gram = g.gram[c + 1 : g.k]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, c) = 1
+), parts AS (
+  SELECT lang, f, k, gram, unnest(range(1, k)) AS i FROM grams WHERE k > 2
+), inside AS (
+  SELECT lang, f, k, gram[i : i + size - 1] AS gram, i, size
+  FROM (SELECT *, unnest(range(2, k)) AS size FROM parts) WHERE i + size - 1 <= k
+), around AS (
+  SELECT lang, gram, max(f) AS f, max(CASE WHEN k = size + 1 AND i = 2 THEN f END) AS before,
+    max(CASE WHEN k = size + 1 AND i = 1 THEN f END) AS behind
+  FROM inside GROUP BY lang, gram
+)
+SELECT lang, row_number() OVER best AS rank, array_to_string(gram, ' ') AS phrase, a, l, r, n, score, before, behind
+FROM lowest LEFT JOIN around USING (lang, gram) JOIN totals USING (lang)
+WHERE around.f IS NULL OR 100 * around.f < 80 * a
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(gram, ' '))
+QUALIFY rank <= 2000
+"""
+
 ENTRIES = {
     "op1_warc_zip": (archives, ARCHIVES_SQL),
     "op2_pii": (personal_data, None),
@@ -260,4 +377,7 @@ ENTRIES = {
     "op7_secrets": (credentials, None),
     "op9_line_rules": (cleaned_lines, CLEANED_SQL),
     "op10_bpe": (tokens, None),
+    "op11_hyperplane_tree": (hard_negative_rows, HARD_NEGATIVES_SQL),
+    "op12_fm_phrases": (phrases, PHRASES_SQL),
+    "op13_license_automaton": (licenses, None),
 }
