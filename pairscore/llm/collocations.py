@@ -25,6 +25,7 @@ empty result. Words of any length and bytes are kept; a text longer than a shard
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from ..session import materialize
 MAX_WORDS = 4
 MIN_COUNT = 30
 #: Bytes of text in a shard, about.
-SHARD = 32 << 20
+SHARD = 12 << 20
 #: Score of a phrase whose parts occur nowhere else.
 SCALE = 2_000_000
 #: A phrase is dropped if a longer one around it has this percentage of its count.
@@ -137,26 +138,33 @@ class Index:
     """
 
     def __init__(self, text: np.ndarray, depth: int):
-        padded = np.concatenate([[0], text, [0]])
-        self.size = int(padded.max(initial=0)) + 1
-        self.starts = np.searchsorted(np.sort(padded), np.arange(self.size + 1))
-        self.before = np.roll(padded, 1)[self.order(padded, depth)]
-        backwards = padded[::-1]
-        self.behind = np.roll(backwards, 1)[self.order(backwards, depth)]
-
-    @staticmethod
-    def order(text: np.ndarray, depth: int) -> np.ndarray:
+        self.text, self.depth = np.concatenate([[0], text, [0]]).astype(np.int32), depth
+        counts = np.bincount(self.text)
+        self.size = len(counts)
+        self.starts = np.concatenate([[0], np.cumsum(counts)])
+
+    @cached_property
+    def before(self) -> np.ndarray:
+        return np.roll(self.text, 1)[self.order(self.text)]
+
+    @cached_property
+    def behind(self) -> np.ndarray:
+        backwards = self.text[::-1]
+        return np.roll(backwards, 1)[self.order(backwards)]
+
+    def order(self, text: np.ndarray) -> np.ndarray:
         """Positions by the ``depth`` numbers from there on, by doubling."""
-        rank, width = text.astype(np.int64), 1
-        while width < depth:
-            step = min(width, depth - width)
-            pair = rank * (int(rank.max()) + 1) + np.roll(rank, -step)
+        rank, width = text, 1
+        while width < self.depth:
+            step = min(width, self.depth - width)
+            pair = rank.astype(np.int64) * (int(rank.max()) + 1) + np.roll(rank, -step)
             width += step
-            if width < depth:
-                rank = np.unique(pair, return_inverse=True)[1]
-            else:
-                return np.argsort(pair, kind="stable")
-        return np.argsort(rank, kind="stable")
+            places = np.argsort(pair, kind="stable")
+            if width < self.depth:
+                pair = pair[places]
+                rank = np.empty(len(pair), np.int32)
+                rank[places] = np.cumsum(np.concatenate([[False], pair[1:] != pair[:-1]]), dtype=np.int32)
+        return places if self.depth > 1 else np.argsort(rank, kind="stable")
 
     def words(self) -> tuple[np.ndarray, ...]:
         """Phrases of one word: (m, 1) numbers, their first places in both orders, and their counts."""
@@ -165,37 +173,33 @@ class Index:
         seen = count > 0
         return numbers[seen, None], first[seen], first[seen], count[seen]
 
-    def extend(self, phrases, left: bool) -> tuple[np.ndarray, ...]:
-        """All phrases with one number more on the left or the right side."""
+    def extend(self, phrases, left: bool, last: bool = False) -> tuple[np.ndarray, ...]:
+        """All phrases with one number more on the left or the right side; the ``last`` ones come without places."""
         numbers, suffix, prefix, count = phrases
         column, own, other = (self.before, suffix, prefix) if left else (self.behind, prefix, suffix)
-        if not len(numbers):
-            return np.zeros((0, numbers.shape[1] + 1), np.int64), *[np.zeros(0, np.int64)] * 3
-        owner = np.repeat(np.arange(len(own)), count)
-        inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        place = own[owner] + inside
-        symbol = column[place].astype(np.int64)
-        # occurrences of each symbol inside each interval, symbols rising
-        order = np.argsort(owner * self.size + symbol, kind="stable")
-        key = (owner * self.size + symbol)[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        before_group = np.cumsum(count) - count
+        # every occurrence: the phrase it belongs to and the symbol beside it; symbols rise within a phrase
+        place = np.arange(count.sum()) + np.repeat(own - before_group, count)
+        key = np.repeat(np.arange(len(own)) * self.size, count) + column[place]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
         found = np.diff(np.append(first, len(key)))
-        of, new = key[first] // self.size, key[first] % self.size
-        # the other order: occurrences with a smaller symbol come first in the interval
-        skipped = first - (np.cumsum(count) - count)[of]
-        cut = other[of] + skipped
-        # backward step: occurrences of the symbol above the interval, counted in its list of places
+        of, new = np.divmod(key[first], self.size)
+        del key
         real = new > 0
-        of, new, cut, found, first = of[real], new[real], cut[real], found[real], first[real]
-        stepped = self.starts[new] + self.rank(column, new, place[order[first]])
+        at, of, new, found = first[real], of[real], new[real], found[real]
         longer = np.column_stack([new, numbers[of]] if left else [numbers[of], new])
-        return (longer, stepped, cut, found) if left else (longer, cut, stepped, found)
-
-    def rank(self, column: np.ndarray, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Occurrences of each symbol in ``column`` above the place."""
+        if last:
+            return longer, None, None, found
+        # the other order: occurrences with a smaller symbol come first in the interval
+        cut = other[of] + at - before_group[of]
+        # backward step: the first occurrence of the symbol in the interval, counted among all of its occurrences
         by_symbol = np.argsort(column, kind="stable")
-        keys = column[by_symbol].astype(np.int64) * len(column) + by_symbol
-        return np.searchsorted(keys, symbols.astype(np.int64) * len(column) + places) - self.starts[symbols]
+        step = np.empty(len(column), np.int64)
+        step[by_symbol] = np.arange(len(column))
+        stepped = step[place[order[at]]]
+        return (longer, stepped, cut, found) if left else (longer, cut, stepped, found)
 
 
 def unpacked(shard: pa.Table, known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +219,7 @@ def pairs_of(shard: pa.Table, known: pa.Table) -> pa.Table:
         return PAIRS_ARROW.empty_table()
     text, numbers = unpacked(shard, known)
     index = Index(text, 2)
-    found, _, _, count = index.extend(index.words(), left=False)
+    found, _, _, count = index.extend(index.words(), left=False, last=True)
     shard_id = np.full(len(found), shard.column("shard")[0].as_py(), np.int64)
     return pa.table([shard_id, numbers[found[:, 0]], numbers[found[:, 1]], count.astype(np.int64)], schema=PAIRS_ARROW)
 
@@ -247,12 +251,12 @@ def longer_of(max_words: int):
             key = phrases[0][:, at] * index.size + phrases[0][:, at + 1]
             near = np.minimum(np.searchsorted(frequent, key), len(frequent) - 1)
             good = frequent[near] == key
-            return tuple(part[good] for part in phrases)
+            return tuple(part if part is None else part[good] for part in phrases)
 
         phrases, out = kept(index.extend(index.words(), left=False), 0), []
         for size in range(3, max_words + 1):
             left = size % 2 == 1
-            phrases = kept(index.extend(phrases, left), 0 if left else size - 2)
+            phrases = kept(index.extend(phrases, left, size == max_words), 0 if left else size - 2)
             flat = pa.array(numbers[phrases[0]].ravel())
             offsets = pa.array(np.arange(len(phrases[0]) + 1, dtype=np.int32) * size)
             out.append(pa.table([pa.ListArray.from_arrays(offsets, flat), phrases[3].astype(np.int64)], schema=GRAMS_ARROW))
