@@ -17,7 +17,8 @@ phrase and of its parts; the lowest cut is its score.
 4. A phrase inside a frequent longer one has a one-word extension that is at least as frequent; its largest left
    and right extension decide whether the longer phrase stands for it.
 
-A shard's index is rebuilt in the task that needs it, so what is stored is the words and counts. Null texts
+A shard's index is rebuilt in the task that needs it, so what is stored is the words and counts. Counted
+phrases travel packed by (shard, hash of the phrase), and a bucket of hashes is summed in one task. Null texts
 are empty; a null group is ``und``. Repeated rows count as often as they occur, an empty table gives an
 empty result. Words of any length and bytes are kept; a text longer than a shard is a shard of its own.
 """
@@ -29,6 +30,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ MAX_WORDS = 4
 MIN_COUNT = 30
 #: Bytes of text in a shard, about.
 SHARD = 12 << 20
+#: Words of text for each bucket of counted phrases.
+BUCKET = 2_000_000
 #: Score of a phrase whose parts occur nowhere else.
 SCALE = 2_000_000
 #: A phrase is dropped if a longer one around it has this percentage of its count.
@@ -202,10 +206,9 @@ class Index:
         return (longer, stepped, cut, found) if left else (longer, cut, stepped, found)
 
 
-def unpacked(shard: pa.Table, known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(shard: pa.Table, local: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A shard's words as ranks among its frequent words (0: gaps, in runs of one), and those words' global numbers."""
     text = np.frombuffer(pa.decompress(shard.column("data")[0].as_py(), decompressed_size=4 * shard.column("n")[0].as_py(), codec="zstd"), np.int32)
-    local, numbers = known.column("x").to_numpy(), known.column("y").to_numpy()
     table = np.zeros(max(int(text.max(initial=0)), int(local.max(initial=0))) + 1, np.int32)
     table[local] = np.arange(1, len(local) + 1)
     ranks = table[text]
@@ -213,37 +216,98 @@ def unpacked(shard: pa.Table, known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return ranks[keep], np.concatenate([[0], numbers])
 
 
-def pairs_of(shard: pa.Table, known: pa.Table) -> pa.Table:
-    """(shard, x, y, n): the pairs of frequent words in a shard, by the words' global numbers."""
-    if not shard.num_rows or not known.num_rows:
-        return PAIRS_ARROW.empty_table()
-    text, numbers = unpacked(shard, known)
-    index = Index(text, 2)
-    found, _, _, count = index.extend(index.words(), left=False, last=True)
-    shard_id = np.full(len(found), shard.column("shard")[0].as_py(), np.int64)
-    return pa.table([shard_id, numbers[found[:, 0]], numbers[found[:, 1]], count.astype(np.int64)], schema=PAIRS_ARROW)
+#: Counted phrases travel packed: ``n`` phrases of ``width`` words, column by column, then their counts.
+PARTS = "shard bigint, width int, bucket int, n bigint, data binary"
+PARTS_ARROW = pa.schema([("shard", pa.int64()), ("width", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
+#: Shard of the sums over all shards.
+ALL = -1
+
+
+def packed(numbers: np.ndarray, counts: np.ndarray) -> bytes:
+    flat = np.concatenate([*numbers.T, counts]).astype("<i8")
+    return pa.compress(flat.tobytes(), "zstd", asbytes=True)
+
+
+def phrases_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, counts and the shard of all phrases in rows of ``PARTS`` of one width."""
+    numbers, counts, shards = [], [], []
+    for shard, width, n, data in zip(*(table.column(c).to_pylist() for c in ("shard", "width", "n", "data"))):
+        flat = np.frombuffer(pa.decompress(data, decompressed_size=8 * n * (width + 1), codec="zstd"), "<i8").reshape(width + 1, n)
+        numbers.append(flat[:-1].T)
+        counts.append(flat[-1])
+        shards.append(np.full(n, shard))
+    return np.concatenate(numbers), np.concatenate(counts), np.concatenate(shards)
+
+
+def part_table(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, PARTS_ARROW)], schema=PARTS_ARROW)
+
+
+def dealt(shard: int, numbers: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
+    """The phrases of a shard by a hash of their words."""
+    mixed = np.zeros(len(numbers), np.uint64)
+    for column in numbers.T.astype(np.uint64):
+        mixed = (mixed ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    home = (mixed % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((*numbers.T[::-1], home))
+    ends = np.searchsorted(home[order], np.arange(buckets + 1))
+    rows = []
+    for bucket in np.flatnonzero(np.diff(ends)):
+        mine = order[ends[bucket] : ends[bucket + 1]]
+        rows.append((shard, numbers.shape[1], int(bucket), len(mine), packed(numbers[mine], counts[mine])))
+    return part_table(rows)
+
+
+def summed(min_count: int, back: bool):
+    """Of a bucket's phrases the frequent ones: with their sums, and with ``back`` also by shard."""
+
+    def run(table: pa.Table) -> pa.Table:
+        numbers, counts, shards = phrases_in(table)
+        width, bucket = numbers.shape[1], table.column("bucket")[0].as_py()
+        order = np.lexsort(numbers.T[::-1])
+        ordered = numbers[order]
+        first = np.flatnonzero(np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(1)]))
+        totals = np.add.reduceat(counts[order], first)
+        good = totals >= min_count
+        rows = [(ALL, width, bucket, int(good.sum()), packed(ordered[first[good]], totals[good]))]
+        if back:
+            kept = order[np.repeat(good, np.diff(np.append(first, len(order))))]
+            kept = kept[np.argsort(shards[kept], kind="stable")]
+            for mine in np.split(kept, np.flatnonzero(np.diff(shards[kept])) + 1):
+                if len(mine):
+                    rows.append((int(shards[mine[0]]), width, bucket, len(mine), packed(numbers[mine], counts[mine])))
+        return part_table([r for r in rows if r[3]])
 
+    return run
+
+
+def pairs_of(buckets: int):
+    """The pairs of frequent words in a shard."""
 
-PAIRS = "shard bigint, x bigint, y bigint, n bigint"
-PAIRS_ARROW = pa.schema([("shard", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int64())])
-GRAMS = "gram array<bigint>, n bigint"
-GRAMS_ARROW = pa.schema([("gram", pa.list_(pa.int64())), ("n", pa.int64())])
+    def run(shard: pa.Table, known: pa.Table) -> pa.Table:
+        if not shard.num_rows or not known.num_rows:
+            return PARTS_ARROW.empty_table()
+        text, numbers = unpacked(shard, *(known.column(c).to_numpy() for c in "xy"))
+        index = Index(text, 2)
+        found, _, _, count = index.extend(index.words(), left=False, last=True)
+        return dealt(shard.column("shard")[0].as_py(), numbers[found], count, buckets)
+
+    return run
 
 
-def longer_of(max_words: int):
+def longer_of(max_words: int, buckets: int):
     """Phrases of 3 to ``max_words`` words in a shard, all of whose neighbouring pairs are frequent."""
 
     def run(shard: pa.Table, known: pa.Table) -> pa.Table:
-        if not shard.num_rows:
-            return GRAMS_ARROW.empty_table()
-        is_pair = known.column("pair").to_numpy(zero_copy_only=False)
-        if not is_pair.any():
-            return GRAMS_ARROW.empty_table()
-        text, numbers = unpacked(shard, known.filter(pa.array(~is_pair)))
+        pairs = known.filter(pa.compute.is_valid(known.column("data")))
+        if not shard.num_rows or not pairs.num_rows:
+            return PARTS_ARROW.empty_table()
+        words = known.filter(pa.compute.is_null(known.column("data")))
+        text, numbers = unpacked(shard, *(words.column(c).to_numpy() for c in "xy"))
         index = Index(text, max_words)
         rank = np.argsort(numbers)
-        pairs = known.filter(pa.array(is_pair))
-        x, y = (rank[np.searchsorted(numbers[rank], pairs.column(c).to_numpy())] for c in "xy")
+        x, y = rank[np.searchsorted(numbers[rank], phrases_in(pairs)[0])].T
         frequent = np.sort(x * index.size + y)
 
         def kept(phrases, at: int):
@@ -257,39 +321,54 @@ def longer_of(max_words: int):
         for size in range(3, max_words + 1):
             left = size % 2 == 1
             phrases = kept(index.extend(phrases, left, size == max_words), 0 if left else size - 2)
-            flat = pa.array(numbers[phrases[0]].ravel())
-            offsets = pa.array(np.arange(len(phrases[0]) + 1, dtype=np.int32) * size)
-            out.append(pa.table([pa.ListArray.from_arrays(offsets, flat), phrases[3].astype(np.int64)], schema=GRAMS_ARROW))
+            out.append(dealt(shard.column("shard")[0].as_py(), numbers[phrases[0]], phrases[3], buckets))
         return pa.concat_tables(out)
 
     return run
 
 
+def spread_out(parts: DataFrame) -> DataFrame:
+    """(gram, a) of the sums over all shards."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                numbers, counts, _ = phrases_in(pa.Table.from_batches([batch.slice(i, 1)]))
+                offsets = pa.array(np.arange(len(numbers) + 1, dtype=np.int32) * numbers.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(numbers.ravel())), pa.array(counts)], names=["gram", "a"])
+
+    return parts.where(F.col("shard") == ALL).mapInArrow(run, "gram array<bigint>, a bigint")
+
+
 def count_phrases(df: DataFrame, text: str, lang: str, max_words: int, min_count: int, shard_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(gram, a) of all frequent phrases of 1 to ``max_words`` words, (number, lang, word) of their words, and (lang, total)."""
     texts = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
     shards = materialize(read_shards(texts, shard_bytes), "phrase-shards", "kind")
     entries = shards.where(F.col("kind") == WORDS)
     totals = entries.groupBy("lang").agg(F.sum("n").alias("total"))
+    size = shards.where(F.col("kind") == TEXTS).agg(F.sum("n")).first()[0] or 0
+    buckets = max(16, size // BUCKET)
     # a word's number is that of its first entry
     same = Window.partitionBy("lang", "word")
     own = F.shiftleft("shard", WORD_BITS).bitwiseOR(F.col("word_id").cast("bigint"))
     words = entries.select("shard", F.col("word_id").cast("bigint").alias("x"), "lang", "word", "n", own.alias("own"))
     words = words.withColumns({"a": F.sum("n").over(same), "y": F.min("own").over(same)}).where(F.col("a") >= min_count)
-    words = materialize(words.select("shard", "x", "y", "lang", "word", "a", (F.col("own") == F.col("y")).alias("first")), "phrase-words")
+    first = F.when(F.col("own") == F.col("y"), F.struct("lang", "word", "a")).alias("first")  # spelled out once only
+    words = materialize(words.select("shard", "x", "y", first), "phrase-words")
     sequences = shards.where(F.col("kind") == TEXTS).select("shard", "n", "data").groupBy("shard")
     known = words.select("shard", "x", "y")
-    pairs = sequences.cogroup(known.groupBy("shard")).applyInArrow(pairs_of, PAIRS)
-    pairs = pairs.withColumn("a", F.sum("n").over(Window.partitionBy("x", "y"))).where(F.col("a") >= min_count)
-    pairs = materialize(pairs, "phrase-pairs")
-    first = words.where("first")
-    grams = first.select(F.array("y").alias("gram"), "a").unionByName(pairs.select(F.array("x", "y").alias("gram"), "a").distinct())
+    pairs = sequences.cogroup(known.groupBy("shard")).applyInArrow(pairs_of(buckets), PARTS)
+    pairs = materialize(pairs.groupBy("bucket").applyInArrow(summed(min_count, max_words > 2), PARTS), "phrase-pairs")
+    parts = pairs.where(F.col("shard") == ALL)
     if max_words > 2:
-        both = known.withColumn("pair", F.lit(False)).unionByName(pairs.select("shard", "x", "y", F.lit(True).alias("pair")))
-        longer = sequences.cogroup(both.groupBy("shard")).applyInArrow(longer_of(max_words), GRAMS)
-        longer = longer.groupBy("gram").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
-        grams = grams.unionByName(longer)
-    return materialize(grams, "phrase-grams"), first.select(F.col("y").alias("number"), "lang", "word"), totals
+        nothing = [F.lit(None).cast(kind).alias(c) for c, kind in (("width", "int"), ("n", "bigint"), ("data", "binary"))]
+        mine = pairs.where(F.col("shard") != ALL).select("shard", *[F.lit(None).cast("bigint").alias(c) for c in "xy"], "width", "n", "data")
+        both = known.select("shard", "x", "y", *nothing).unionByName(mine)
+        longer = sequences.cogroup(both.groupBy("shard")).applyInArrow(longer_of(max_words, buckets), PARTS)
+        parts = parts.unionByName(longer.groupBy("width", "bucket").applyInArrow(summed(min_count, False), PARTS))
+    first = words.where("first IS NOT NULL").select(F.col("y").alias("number"), "first.*")
+    grams = first.select(F.array("number").alias("gram"), "a").unionByName(spread_out(parts))
+    return materialize(grams, "phrase-grams"), first.select("number", "lang", "word"), totals
 
 
 def scored(grams: DataFrame, max_words: int) -> DataFrame:
