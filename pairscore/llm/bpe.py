@@ -18,6 +18,7 @@ give repeated results, an empty table an empty one.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 
 import numpy as np
@@ -28,26 +29,29 @@ from .columns import add_columns
 
 #: Parts of at most this many bytes are merged directly.
 LEAF = 24
+#: Longer parts are cut at a multiple of so many bytes.
+ALIGNED = 64
 #: Bytes up to which merging searches a list instead of keeping a queue.
 SHORT = 96
-#: Encoded pieces that a worker remembers: a new and an old generation of so many each.
-REMEMBERED = 250_000
+#: Bytes that a task remembers of encoded pieces, and as many of neighbouring tokens, about.
+REMEMBERED = 16 << 20
 
 
 class Remembered(dict):
-    """Results by piece. When it is full, it becomes the old generation; what is used again moves on."""
+    """Results by piece in two generations of half of ``REMEMBERED`` each; what is used again moves to the new one."""
 
     def __init__(self, value):
         super().__init__()
-        self.value, self.old = value, {}
+        self.value, self.old, self.size = value, {}, 0
 
     def __missing__(self, piece):
         found = self.old.get(piece)
         if found is None:
             found = self.value(piece)
         if len(piece) <= 64:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
+            self.size += 220 + len(piece) + len(found)  # two objects and a place in the table
+            if 2 * self.size > REMEMBERED:
+                self.old, self.size = self.copy(), 0
                 self.clear()
             self[piece] = found
         return found
@@ -118,8 +122,8 @@ class Coder:
         """Whether these neighbours stay as they are when encoded together."""
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
+            if 180 * len(self.pairs) > REMEMBERED:
+                self.pairs = {}
             known = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
             self.pairs[left, right] = known
         return known
@@ -142,6 +146,8 @@ class Coder:
         if len(data) <= LEAF:
             return self.merge(data)
         half = len(data) // 2
+        if half >= 4 * ALIGNED:  # in a run of one letter the parts then end where a token ends
+            half -= half % ALIGNED
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
     def piece(self, piece: str) -> bytes:
@@ -176,17 +182,9 @@ def share_coder(spark: SparkSession, path: str, pattern: str):
     return spark.sparkContext.broadcast((read_ranks(path), pattern))
 
 
-_coders: dict[tuple, Coder] = {}
-
-
 def coder_of(shared) -> Coder:
-    """The worker's coder for this vocabulary; it outlives a task, and with it what it remembers."""
-    ranks, pattern = shared.value
-    key = (pattern, len(ranks), hash(frozenset(ranks.items())))
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(ranks, pattern)
-    return _coders[key]
+    """A coder for one task: what it remembers goes when the task ends."""
+    return Coder(*shared.value)
 
 
 def encode(df: DataFrame, shared, text: str = "text", into: str = "ids") -> DataFrame:
@@ -207,3 +205,24 @@ def decode(df: DataFrame, shared, ids: str = "ids", into: str = "decoded") -> Da
         return lambda rows: {into: [coder.decode(r) for r in rows]}
 
     return add_columns(df, f"`{into}` binary", ids, make)
+
+
+def digests(df: DataFrame, shared, text: str = "text") -> DataFrame:
+    """``df`` plus n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit integers) and decoded_sha256
+    (of the bytes they decode to), both lowercase hex; ids and bytes don't leave the task."""
+
+    def make():
+        coder = coder_of(shared)
+
+        def compute(texts):
+            out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            for value in texts:
+                ids = coder.encode(value)
+                out["n_tokens"].append(len(ids) // 4)
+                out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(coder.decode(ids)).hexdigest())
+            return out
+
+        return compute
+
+    return add_columns(df, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", text, make)

@@ -44,6 +44,14 @@ def add_columns(
     return wanted.mapInArrow(run, full)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def bounded(batch: pa.RecordBatch, source: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices whose ``source`` column holds about ``limit`` bytes, at least one row each."""
     size = batch.column(source).nbytes

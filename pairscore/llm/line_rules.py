@@ -125,7 +125,7 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
     passed = [c for c in df.columns if c not in names]
     body = F.coalesce(F.col(text), F.lit(""))
     first = df.select(
-        *passed,
+        F.struct(*passed).alias("_doc"),  # so that no column of ``df`` meets the names below
         body.alias("_body"),
         F.array_remove(F.split(body, GAP), "").alias("_words"),
         F.filter(F.split(body, "\n"), lambda line: F.regexp_like(line, F.lit(WORD))).alias("_lines"),
@@ -160,7 +160,7 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return fourth.withColumn("base_failed", failed).select(
-        *passed,
+        "_doc.*",
         *names[:-1],
         (~failed & (100 * F.col("kept_chars") >= MIN_KEPT * F.col("word_chars"))).alias("kept"),
     )

@@ -21,7 +21,7 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import add_columns
+from .columns import add_columns, free_name
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -324,7 +324,8 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     def make():
         return lambda texts: {text: [redacted(t) for t in texts]}
 
-    return add_columns(df.withColumn("_source", F.col(text)), f"`{text}` string", "_source", make).select(*df.columns)
+    source = free_name(df, "_source")
+    return add_columns(df.withColumn(source, F.col(text)), f"`{text}` string", source, make).select(*df.columns)
 
 
 def count_of(spans: Column, kind: str) -> Column:

@@ -147,13 +147,7 @@ def vocabulary() -> tuple[str, str]:
 def token_digests(docs: DataFrame) -> DataFrame:
     """doc_id with the count and digest of a text's tokens, and the digest of the bytes they decode to."""
     coder = bpe.share_coder(docs.sparkSession, *vocabulary())
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), coder).drop("text"), coder)
-    return coded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        digest(F.col("ids")).alias("ids_sha256"),
-        digest(F.col("decoded")).alias("decoded_sha256"),
-    )
+    return bpe.digests(docs.select("doc_id", "text"), coder).drop("text")
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

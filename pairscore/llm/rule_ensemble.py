@@ -41,7 +41,7 @@ def with_statistics(df: DataFrame, text: str = "text", into: str = "statistics")
     kept = [c for c in df.columns if c != into]
     body = F.coalesce(F.col(text), F.lit(""))
     parts = df.select(
-        *kept,
+        F.struct(*kept).alias("_doc"),  # so that no column of ``df`` meets the names below
         body.alias("_body"),
         F.array_remove(F.split(body, GAP), "").alias("_words"),
         F.filter(F.split(body, "\n"), lambda line: F.regexp_like(line, F.lit(WORD))).alias("_lines"),
@@ -72,7 +72,7 @@ def with_statistics(df: DataFrame, text: str = "text", into: str = "statistics")
         "ended_lines": share(F.size(F.filter("_lines", lambda x: F.regexp_like(x, F.lit(r"[.!?]\s*$")))), lines),
     }
     struct = F.struct(*[values[name].cast("double").alias(name) for name in STATISTICS])
-    return parts.select(*kept, struct.alias(into))
+    return parts.select("_doc.*", struct.alias(into))
 
 
 @dataclass(frozen=True)
@@ -180,5 +180,6 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_rows: int =
 
 def score(df: DataFrame, model: RuleModel, text: str = "text", into: str = "score") -> DataFrame:
     """``df`` plus ``into``: the probability of label 1."""
-    kept = [c for c in df.columns if c not in (into, "statistics")]
-    return with_statistics(df.select(*kept), text).select(*kept, model.score().alias(into))
+    kept = [c for c in df.columns if c != into]
+    judged = with_statistics(df.select(F.struct(*kept).alias("doc"), F.col(text).alias("text")), "text")
+    return judged.select("doc.*", model.score().alias(into))

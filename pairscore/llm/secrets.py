@@ -39,7 +39,7 @@ HINTS = {
     "assign": r"(?i)password|passwd|secret|token|api_?key",
     "access": "AKIA",
     "hex": r"[0-9a-f]{24}",
-    "identifier": r"(?i)(?:key|id|user|username|login)[_a-z\"' -]*[:=]",
+    "identifier": r"(?i)(?:key|id|user|username|login)[_a-z\"' -]{0,24}[:=]",
     "secret": r"[A-Za-z0-9+/_-]{32}",
     "endpoint": r"(?i)://|host|endpoint|server",
 }

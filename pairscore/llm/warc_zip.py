@@ -37,6 +37,8 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 PACKAGE_BYTES = 32 << 20
 #: Index entries that travel as one unit of reading.
 RUN = 256
+#: Stored bytes that one task reads back, about.
+READ_BYTES = 8 << 20
 
 RECORDS = "record_id bigint, uri string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
 PLACES = "package string, start bigint, places array<struct<start:bigint,length:bigint>>"
@@ -349,8 +351,11 @@ def read_records(places: DataFrame) -> DataFrame:
 
 def read_packages(packages: DataFrame) -> DataFrame:
     """All records of the packages; the places are dealt out anew so that large packages are read by many tasks."""
-    places = list_records(packages)
-    return read_records(places.repartition("package", "start"))
+    places = materialize(list_records(packages), "warc-places")
+    stored = F.aggregate("places", F.lit(0).cast("bigint"), lambda acc, p: acc + p["length"])
+    size = places.agg(F.sum(stored)).first()[0] or 0
+    # places are small and would be put into one task; what they stand for decides
+    return read_records(places.repartition(size // READ_BYTES + 1, "package", "start"))
 
 
 def find_packages(spark: SparkSession, folder: str) -> DataFrame:

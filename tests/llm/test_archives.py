@@ -100,3 +100,12 @@ def test_refusals():
     record = w.record_bytes(1, "u", "response", None, b"payload")
     with pytest.raises(ValueError, match="digest"):
         w.parse_record(record.replace(b"payload\r\n", b"paxload\r\n"))
+
+
+def test_archives_are_read_back_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(w, "READ_BYTES", 20_000)
+    noise = F.sha2(F.concat(F.col("id").cast("string"), F.lit("x")), 512)
+    records = spark.range(2000).select(F.col("id").alias("record_id"), F.lit("http://a").alias("uri"), F.encode(noise, "UTF-8").alias("payload"))
+    read = w.read_packages(w.store(records))
+    by_task = read.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in by_task) == 2000 and len(by_task) >= 4

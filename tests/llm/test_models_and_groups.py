@@ -360,6 +360,7 @@ def test_pipeline_survives_odd_documents(spark):
 
     rows = [(1, None), (2, ""), (None, "some words here"), (3, "word " * 30_000), (4, "a b c d e f"), (4, "a b c d e f"), (5, "A b c d e f")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"_doc": F.lit(1), "hits": F.lit(2), "n_words": F.lit(3)})
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, docs, SMALL).collect()} <= {None, 1, 2, 3, 4, 5}
     for name, stage in corpus_pipeline.STAGES[1:]:
         docs = corpus_pipeline.materialize(stage(spark, docs, SMALL), "test-odd")
         if name == "near_duplicates":

@@ -316,3 +316,76 @@ def test_weak_parts_of_settings_files_are_whole(spark):
 
 def test_span_digests():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+# names that the operators use themselves -----------------------------------
+
+HELPERS = ("_source", "_words", "_lines", "_body", "_keys", "_good", "_starts", "_doc", "_kept", "_row", "_spans", "_quality", "doc", "values", "statistics")
+
+
+def test_columns_of_any_name_pass_through(spark):
+    from pairscore.llm import rule_ensemble
+
+    texts = ["mail a@b.de now", "word " * 60, None]
+    df = frame(spark, texts).withColumns({name: F.concat(F.lit(name), F.col("doc_id")) for name in HELPERS})
+    model = rule_ensemble.RuleModel((rule_ensemble.Rule((("words", ">", 2.0),), 1.5),), -0.5)
+    for run in (
+        pii.redact,
+        pii.detect,
+        line_rules.clean,
+        secrets.scan,
+        lambda d: rule_ensemble.score(d, model),
+        lambda d: bpe.digests(d, bpe.share_coder(spark, *queries.vocabulary())),
+        lambda d: decontaminate.find_contamination(d, spark.createDataFrame([(1, "a b"), (2, "c d")], "item_id bigint, text string")),
+    ):
+        rows = run(df).collect()
+        assert len(rows) == 3
+        for row in rows:
+            assert all(row[name] == f"{name}{row['doc_id']}" for name in HELPERS)
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert redacted == {0: "mail [EMAIL] now", 1: texts[1], 2: None}
+
+
+@pytest.mark.parametrize("unit", ["id ", "key ", "user name ", "login-", "secret ", "host ", "a" * 31 + " ", "= : "])
+def test_secret_scan_of_a_megabyte_is_quick(spark, unit):
+    import time
+
+    df = frame(spark, [unit * (1_000_000 // len(unit))])
+    secrets.scan(frame(spark, ["warm"])).collect()
+    begin = time.time()
+    assert len(secrets.scan(df).collect()) == 1
+    assert time.time() - begin < 15
+
+
+def test_hints_accept_every_identifier(spark):
+    texts = [f'{name}{quote}{" " * k}{sign} AbCd_12345' for name in ("access_key_id", "access-key", "clientid", "account-id", "app_id", "user", "username", "login") for quote in ("", '"') for k in (0, 4) for sign in ":="]
+    found = frame(spark, texts).select("text", F.regexp_like("text", F.lit(secrets.PATTERNS["identifier"])).alias("a"), F.regexp_like("text", F.lit(secrets.HINTS["identifier"])).alias("b"))
+    assert all(r["a"] and r["b"] for r in found.collect())
+
+
+def test_runs_of_one_letter_are_quick(coder, reference):
+    import time
+
+    for text in ("a" * 100_000, "ab" * 50_000, "é" * 30_001, " " * 99_999):
+        begin = time.time()
+        assert ids(coder, text) == reference.encode_ordinary(text)
+        assert time.time() - begin < 3
+    assert bpe.Coder(coder.ranks, public_tokenizers.PATTERN).pieces.size == 0
+
+
+def test_digests_equal_encoding_and_decoding(spark, reference):
+    df = frame(spark, AWKWARD, n_tokens="old")
+    rows = bpe.digests(df, bpe.share_coder(spark, *queries.vocabulary())).collect()
+    for row in rows:
+        want = reference.encode_ordinary(row["text"] or "")
+        data = b"".join(i.to_bytes(4, "little") for i in want)
+        assert (row["n_tokens"], row["ids_sha256"]) == (len(want), hashlib.sha256(data).hexdigest())
+        assert row["decoded_sha256"] == hashlib.sha256((row["text"] or "").encode()).hexdigest()
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20_000)
+    known = bpe.Remembered(lambda piece: piece.encode())
+    for i in range(5000):
+        assert known[f"piece{i % 700}"] == f"piece{i % 700}".encode()
+    assert len(known) + len(known.old) < 100
