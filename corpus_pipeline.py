@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairscore.llm import decontaminate, near_duplicates, pii, queries, rule_ensemble
+from pairscore.llm.columns import free_name
 from pairscore.session import materialize, ship_package
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -26,8 +27,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the rule ensemble, fitted on the labelled ones among them, rejects."""
     model = rule_ensemble.fit(docs, queries.train_labels(spark, sf_dir, "quality", 4, 2))
     # stored before the filter, which would else be pushed below the score and compute every statistic twice
-    judged = materialize(rule_ensemble.score(docs, model, into="_quality"), "pipeline-quality")
-    return judged.where(F.col("_quality") >= MIN_QUALITY).select(*docs.columns)
+    quality = free_name(docs, "_quality")
+    judged = materialize(rule_ensemble.score(docs, model, into=quality), "pipeline-quality")
+    return judged.where(F.col(quality) >= MIN_QUALITY).select(*docs.columns)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
