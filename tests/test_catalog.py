@@ -1,6 +1,10 @@
 """Every registered query runs, and equals its SQL where it has one."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -52,3 +56,15 @@ def test_query(spark, duck, name):
         columns = [c[0] for c in result.description]
         assert sorted(columns) == sorted(df.columns)
         assert _table(df.columns, rows) == _table(columns, result.fetchall())
+
+
+def test_the_rest_imports_without_the_optional_folders(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for kept in ("pipeline", "nothing"):
+        copy = tmp_path / kept
+        ignore = shutil.ignore_patterns(".git", "__pycache__", "llm", *([] if kept == "pipeline" else ["corpus_pipeline.py"]))
+        shutil.copytree(root, copy, ignore=ignore)
+        code = "import __spark_entry__ as e; print(len(e.queries()), [n for n in e.queries() if n.startswith('op') or n == 'pipeline'])"
+        done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=False)
+        assert done.returncode == 0, done.stderr
+        assert done.stdout.strip().endswith("[]")
