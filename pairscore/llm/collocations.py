@@ -43,7 +43,9 @@ MIN_COUNT = 30
 #: Bytes of text in a shard, about.
 SHARD = 12 << 20
 #: Words of text for each bucket of counted phrases.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
+#: Occurrences of phrases that are extended at a time, about.
+OCCURRENCES = 250_000
 #: Score of a phrase whose parts occur nowhere else.
 SCALE = 2_000_000
 #: A phrase is dropped if a longer one around it has this percentage of its count.
@@ -177,8 +179,33 @@ class Index:
         seen = count > 0
         return numbers[seen, None], first[seen], first[seen], count[seen]
 
+    @cached_property
+    def step_before(self) -> np.ndarray:
+        return self.steps(self.before)
+
+    @cached_property
+    def step_behind(self) -> np.ndarray:
+        return self.steps(self.behind)
+
+    @staticmethod
+    def steps(column: np.ndarray) -> np.ndarray:
+        """The backward step of every place: its occurrence, counted among all occurrences of smaller and equal symbols."""
+        step = np.empty(len(column), np.int32)
+        step[np.argsort(column, kind="stable")] = np.arange(len(column), dtype=np.int32)
+        return step
+
     def extend(self, phrases, left: bool, last: bool = False) -> tuple[np.ndarray, ...]:
         """All phrases with one number more on the left or the right side; the ``last`` ones come without places."""
+        numbers, count = phrases[0], phrases[3]
+        ends = np.cumsum(count)
+        block = np.searchsorted(ends, np.arange(0, int(ends[-1]) if len(ends) else 0, OCCURRENCES), side="right")
+        bounds = np.unique([0, *block, len(count)])
+        parts = [self.extend_block([p[a:b] for p in phrases], left, last) for a, b in zip(bounds[:-1], bounds[1:])]
+        if not parts:
+            return np.zeros((0, numbers.shape[1] + 1), np.int64), *[None if last else np.zeros(0, np.int64)] * 2, np.zeros(0, np.int64)
+        return tuple(None if c[0] is None else np.concatenate(c) for c in zip(*parts))
+
+    def extend_block(self, phrases, left: bool, last: bool) -> tuple[np.ndarray, ...]:
         numbers, suffix, prefix, count = phrases
         column, own, other = (self.before, suffix, prefix) if left else (self.behind, prefix, suffix)
         before_group = np.cumsum(count) - count
@@ -190,7 +217,6 @@ class Index:
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
         found = np.diff(np.append(first, len(key)))
         of, new = np.divmod(key[first], self.size)
-        del key
         real = new > 0
         at, of, new, found = first[real], of[real], new[real], found[real]
         longer = np.column_stack([new, numbers[of]] if left else [numbers[of], new])
@@ -198,11 +224,8 @@ class Index:
             return longer, None, None, found
         # the other order: occurrences with a smaller symbol come first in the interval
         cut = other[of] + at - before_group[of]
-        # backward step: the first occurrence of the symbol in the interval, counted among all of its occurrences
-        by_symbol = np.argsort(column, kind="stable")
-        step = np.empty(len(column), np.int64)
-        step[by_symbol] = np.arange(len(column))
-        stepped = step[place[order[at]]]
+        # backward step of the symbol's first occurrence in the interval
+        stepped = (self.step_before if left else self.step_behind)[place[order[at]]].astype(np.int64)
         return (longer, stepped, cut, found) if left else (longer, cut, stepped, found)
 
 
@@ -351,10 +374,12 @@ def count_phrases(df: DataFrame, text: str, lang: str, max_words: int, min_count
     # a word's number is that of its first entry
     same = Window.partitionBy("lang", "word")
     own = F.shiftleft("shard", WORD_BITS).bitwiseOR(F.col("word_id").cast("bigint"))
-    words = entries.select("shard", F.col("word_id").cast("bigint").alias("x"), "lang", "word", "n", own.alias("own"))
+    # the shuffle carries each word's number only, which holds its shard and its number there
+    words = entries.select("lang", "word", "n", own.alias("own"))
     words = words.withColumns({"a": F.sum("n").over(same), "y": F.min("own").over(same)}).where(F.col("a") >= min_count)
     first = F.when(F.col("own") == F.col("y"), F.struct("lang", "word", "a")).alias("first")  # spelled out once only
-    words = materialize(words.select("shard", "x", "y", first), "phrase-words")
+    parts = F.shiftright("own", WORD_BITS).alias("shard"), F.col("own").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).alias("x")
+    words = materialize(words.select(*parts, "y", first), "phrase-words")
     sequences = shards.where(F.col("kind") == TEXTS).select("shard", "n", "data").groupBy("shard")
     known = words.select("shard", "x", "y")
     pairs = sequences.cogroup(known.groupBy("shard")).applyInArrow(pairs_of(buckets), PARTS)
