@@ -21,7 +21,7 @@ from catalog.views import (
     vec_pairs,
     with_sql,
 )
-from pairscore.operators import collinear, metrics, ranks, regress, sampling, scaling, shapley
+from pairscore.operators import collinear, foldstats, metrics, ranks, regress, sampling, scaling, shapley
 from pairscore.operators.filters import filter_low_quality
 from pairscore.operators.network import fit_mlp
 from pairscore.operators.tuning import grid_search
@@ -114,12 +114,7 @@ def fold_scaling(spark, sf_dir):
     made = materialize(
         sampling.kfold(text_table(spark, sf_dir).select("line_no", "length_ratio")), "folds"
     )
-    parts = None
-    for fold in range(5):
-        scaler = scaling.fit_scaler(made.filter(F.col("fold") != fold), ["length_ratio"])
-        part = scaler.transform(made.filter(F.col("fold") == fold))
-        parts = part if parts is None else parts.unionByName(part)
-    return rounded(parts)
+    return rounded(foldstats.scale_folds(made, ["length_ratio"]))
 
 
 def pruned_features(spark, sf_dir):
@@ -285,20 +280,20 @@ def fit_gbt(spark, sf_dir):
 
 def _fit_network(spark, sf_dir, residual):
     job, split = feature_split(spark, sf_dir)
+    # the published settings: 60 epochs in batches of 128 are the defaults
     fitted = fit_mlp(
-        _train(split), job.features, hidden_dim=32, num_layers=2, dropout=0.0,
-        learning_rate=0.01, residual=residual, epochs=15,
+        _train(split), job.features, hidden_dim=256, num_layers=3, dropout=0.2, learning_rate=5e-4, residual=residual
     )
-    return fitted, job, split
+    return fitted, split
 
 
 def fit_network(spark, sf_dir):
-    fitted, _, split = _fit_network(spark, sf_dir, False)
+    fitted, split = _fit_network(spark, sf_dir, False)
     return evaluation_metrics(evaluate(_test(split), {"mlp": fitted}), ["mlp"])
 
 
 def fit_residual_network(spark, sf_dir):
-    fitted, _, split = _fit_network(spark, sf_dir, True)
+    fitted, split = _fit_network(spark, sf_dir, True)
     return fitted.history_table(split)
 
 
@@ -327,10 +322,26 @@ def line_search(spark, sf_dir):
     return rounded(grid_search(made, "linear", ["length_ratio"], space, k=3).averages)
 
 
+PENALTIES = {"regParam": [0.0, 0.01, 0.1, 0.5], "elasticNetParam": [0.0, 0.5, 1.0]}
+
+
+def path_search(spark, sf_dir):
+    """Every penalty over five folds from one scan; over one feature SQL can solve it too."""
+    made = text_table(spark, sf_dir).select("line_no", "length_ratio", TARGET)
+    found = foldstats.search_linear_path(made, ["length_ratio"], *PENALTIES.values())
+    return rounded(found.averages)
+
+
+def path_search_features(spark, sf_dir):
+    """The same over all features of the feature job: RMSE by combination and fold."""
+    job = build_features(doc_pairs(spark, sf_dir))
+    return foldstats.search_linear_path(job.table, job.features, *PENALTIES.values()).folds
+
+
 def tree_importance(spark, sf_dir):
     job, split = feature_split(spark, sf_dir)
     fitted = regress.fit_regressor(
-        _train(split), "random_forest", job.features, params={"numTrees": 10, "seed": 42}
+        _train(split), "random_forest", job.features, params={"seed": 42}
     )
     return regress.tree_importance(fitted, split)
 
@@ -348,16 +359,29 @@ def linear_attributions(spark, sf_dir):
 
 def shapley_importance(spark, sf_dir):
     """Mean absolute attribution of a network's features over the sampled rows."""
-    fitted, job, split = _fit_network(spark, sf_dir, False)
+    job, split = feature_split(spark, sf_dir)
     train = _train(split)
+    # the smallest network of the grid: 200 rows x 2,100 coalitions x 50 background rows go through it
+    fitted = fit_mlp(train, job.features, hidden_dim=64, num_layers=2, dropout=0.2, learning_rate=1e-3)
     background = shapley.background_rows(train, job.features, fitted.feature_scaler)
     rows = sampling.sample_n(train, shapley.EXPLAINED_ROWS, shapley.SEED)
+    rows = rows.repartition(spark.sparkContext.defaultParallelism, "line_no")
     explained = shapley.shapley(
         rows, fitted.scaled_function(), job.features, fitted.feature_scaler, background
     )
     return shapley.importance(explained, job.features)
 
 
+def tree_attributions(spark, sf_dir):
+    """Exact attributions of boosted trees for the sampled rows."""
+    job, split = feature_split(spark, sf_dir)
+    train = _train(split)
+    fitted = regress.fit_regressor(train, "gbt", job.features, params={"seed": 42})
+    background = shapley.background_rows(train, job.features, fitted.feature_scaler)
+    rows = sampling.sample_n(train, shapley.EXPLAINED_ROWS, shapley.SEED)
+    return shapley.tree_shapley(rows, fitted, background)
+
+
 def importance(spark, sf_dir):
     """The importance table of given per-row values: here centred text features."""
     made = text_table(spark, sf_dir)
@@ -773,7 +797,28 @@ FROM text_table, (SELECT regr_slope({TARGET}, length_ratio) AS slope, regr_inter
     "fit_residual_network": (fit_residual_network, None),
     "fit_embedding_regressor": (fit_embedding_regressor, None),
     "grid_search": (search, None),
+    "grid_search_path_features": (path_search_features, None),
+    "tree_attributions": (tree_attributions, None),
     "tree_importance": (tree_importance, None),
+    "grid_search_path": (
+        path_search,
+        with_sql(
+            *TEXT_TABLE,
+            f"f AS (SELECT length_ratio AS x, {TARGET} AS y, {_bucket_sql('line_no', 'fold42')} % 5 AS fold FROM text_table)",
+            """t AS (SELECT k.fold, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS dx, stddev_pop(y) AS dy, covar_pop(x, y) AS c
+  FROM (SELECT DISTINCT fold FROM f) k JOIN f ON f.fold <> k.fold GROUP BY k.fold)""",
+            "p(params, a, b) AS (VALUES "
+            + ", ".join(
+                f"""('{{"regParam": {r}, "elasticNetParam": {e}}}', {r * e}::DOUBLE, {r * (1 - e)}::DOUBLE)"""
+                for r in PENALTIES["regParam"]
+                for e in PENALTIES["elasticNetParam"]
+            )
+            + ")",
+            """l AS (SELECT params, fold, mx, my, dy / dx * sign(c) * greatest(abs(c / (dx * dy)) - a, 0) / (1 + b) AS slope FROM t, p)""",
+            "e AS (SELECT params, fold, sqrt(avg((my + slope * (x - mx) - y) ** 2)) AS rmse FROM f JOIN l USING (fold) GROUP BY params, fold)",
+            select="SELECT params, round(avg(rmse), 6) AS mean_rmse, count(*) AS folds FROM e GROUP BY params",
+        ),
+    ),
     "linear_attributions": (linear_attributions, None),
     "shapley_importance": (shapley_importance, None),
     "score_pairs": (scored_pairs, None),

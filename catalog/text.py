@@ -151,7 +151,6 @@ def translate_lookup_shuffled(spark, sf_dir):
     known = table(spark, sf_dir, "nation").select(
         F.concat(F.lit("src"), "n_nationkey").alias("source"), F.col("n_name").alias("translation")
     )
-    known = known.filter(F.length("translation") > 6)
     return translate(docs, known, "翻译", "source", "translation", broadcast_rows=0)
 
 
@@ -286,7 +285,7 @@ ENTRIES = {
     "translate_lookup_shuffled": (
         translate_lookup_shuffled,
         "SELECT doc_id, d.source, coalesce(n_name, '翻译') AS translation FROM documents d "
-        "LEFT JOIN nation n ON d.source = 'src' || n.n_nationkey AND length(n_name) > 6",
+        "LEFT JOIN nation n ON d.source = 'src' || n.n_nationkey",
     ),
     "apply_translator": (
         apply_translator,

@@ -1,9 +1,14 @@
 """Small feed-forward networks fitted data-parallel.
 
-Every step sends the weights to the tasks, adds up the gradients of all rows and
-moves the weights once.  The sum does not depend on how the rows are divided, so
-the fit does not either (without dropout).  The network has at most a few hundred
-thousand weights; rows never leave their tasks.
+With a batch size, rows are dealt once into shards of bounded size by a hash of their
+key and stored packed.  An epoch is one job: every shard starts from the common
+weights, takes its mini-batch steps by itself, and the shards' weights and moments are
+averaged up a tree.  Shards, their order and the dropout depend on keys, epoch and step
+only, so the fit is the same for any partitioning, with dropout too.
+
+Without a batch size every step sends the weights to the tasks, adds up the gradients
+of all rows and moves the weights once.  Rows never leave their tasks in either way;
+the network has at most a few hundred thousand weights.
 """
 
 from __future__ import annotations
@@ -28,6 +33,11 @@ ADAM_EPSILON = 1e-7
 MIN_DELTA = 1e-4
 
 ROW_CHUNK = 4_096
+#: Rows of a shard, about.
+SHARD_ROWS = 2_048
+#: Files of packed shards, at most, and shards whose weights are added in one task.
+MOST_FILES = 4_096
+FAN_IN = 32
 TASKS_PER_CORE = 4
 
 
@@ -190,6 +200,95 @@ def _sums(part: DataFrame, shape: Shape, weights: np.ndarray, dropout: float, se
     return total[:size], *map(float, total[size:])
 
 
+class Optimizer:
+    """Weights with their Adam moments and the number of steps taken."""
+
+    def __init__(self, weights: np.ndarray, first: np.ndarray, second: np.ndarray, steps: int):
+        self.weights, self.first, self.second, self.steps = weights, first, second, steps
+
+    @classmethod
+    def start(cls, weights: np.ndarray) -> Optimizer:
+        return cls(weights, np.zeros_like(weights), np.zeros_like(weights), 0)
+
+    def step(self, gradient: np.ndarray, learning_rate: float) -> None:
+        self.steps += 1
+        self.first = ADAM_BETA1 * self.first + (1 - ADAM_BETA1) * gradient
+        self.second = ADAM_BETA2 * self.second + (1 - ADAM_BETA2) * gradient * gradient
+        rate = learning_rate * math.sqrt(1 - ADAM_BETA2**self.steps) / (1 - ADAM_BETA1**self.steps)
+        self.weights = self.weights - rate * self.first / (np.sqrt(self.second) + ADAM_EPSILON)
+
+
+def pack_shards(rows: DataFrame, key: str, count: int, seed: int) -> DataFrame:
+    """One stored row for each of ``count`` shards of (key, held, x, y): its number, rows, and numbers in order of the
+    key's hash. Shards of rows that are held back for validation have numbers from ``count`` on."""
+    dealt = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(f"shard{seed}")), F.lit(count))
+    keyed = rows.select(
+        (dealt + F.col("held").cast("int") * count).alias("shard"),
+        F.xxhash64(F.col(key).cast("string"), F.lit(f"order{seed}")).alias("place"), "x", "y",
+    )
+
+    def pack(table: pa.Table) -> pa.Table:
+        y = table["y"].to_numpy()
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+        order = np.lexsort((y, *x.T[::-1], table["place"].to_numpy()))  # rows that share a key: by their values
+        return pa.table(
+            {"shard": table["shard"][:1], "rows": [len(y)], "x": [x[order].tobytes()], "y": [y[order].tobytes()]},
+            schema=pa.schema([("shard", pa.int64()), ("rows", pa.int64()), ("x", pa.binary()), ("y", pa.binary())]),
+        )
+
+    grouped = keyed.repartition(min(count, MOST_FILES), "shard").groupBy("shard")
+    return materialize(grouped.applyInArrow(pack, "shard long, rows long, x binary, y binary"), "mlp-shards")
+
+
+def run_epoch(shards: DataFrame, count: int, shape: Shape, state: Optimizer, epoch: int | None, batch_size: int, dropout: float, learning_rate: float, seed: int):
+    """The averaged state after every shard's steps, and the summed squared error, absolute error and rows: of the
+    steps, and of the weights that came in on the rows held back. Without an ``epoch`` no steps are taken."""
+    sent = shards.sparkSession.sparkContext.broadcast(state)
+    size = len(state.weights)
+    width = shape.inputs
+
+    def steps(batches):
+        for b in batches:
+            for shard, rows, x, y in zip(*(b.column(c).to_pylist() for c in ("shard", "rows", "x", "y"))):
+                x, y = np.frombuffer(x).reshape(rows, width), np.frombuffer(y)
+                common = sent.value
+                if shard >= count:
+                    error = np.concatenate([shape.forward(common.weights, x[at : at + ROW_CHUNK]) - y[at : at + ROW_CHUNK] for at in range(0, rows, ROW_CHUNK)])
+                    total = np.concatenate([np.zeros(3 * size + 4), [error @ error, np.abs(error).sum(), rows]])
+                    yield pa.RecordBatch.from_pydict({"shard": [shard], "total": [total.tobytes()]})
+                    continue
+                if epoch is None:
+                    continue
+                own = Optimizer(common.weights, common.first, common.second, common.steps)
+                rng = np.random.default_rng([seed, epoch, shard])
+                order, squared, absolute = rng.permutation(rows), 0.0, 0.0
+                for at in range(0, rows, batch_size):
+                    mine = order[at : at + batch_size]
+                    gradient, sq, ab = shape.gradient(own.weights, x[mine], y[mine], dropout, rng)
+                    own.step(gradient / len(mine), learning_rate)
+                    squared, absolute = squared + sq, absolute + ab
+                total = np.concatenate([own.weights * rows, own.first * rows, own.second * rows, [squared, absolute, rows, own.steps * rows, 0, 0, 0]])
+                yield pa.RecordBatch.from_pydict({"shard": [shard], "total": [total.tobytes()]})
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("shard")  # a fixed order of adding
+        total = np.sum([np.frombuffer(t) for t in table["total"].to_pylist()], axis=0)
+        return pa.table({"shard": [table["shard"][0].as_py() // FAN_IN], "total": [total.tobytes()]})
+
+    made, left = shards.mapInArrow(steps, "shard long, total binary"), 2 * count
+    while left > FAN_IN:
+        made = made.groupBy(F.floor(F.col("shard") / FAN_IN).alias("group")).applyInArrow(add, "shard long, total binary")
+        left = -(-left // FAN_IN)
+    totals = [np.frombuffer(r["total"]) for r in sorted(made.collect(), key=lambda r: r["shard"])]
+    sent.destroy()
+    total = np.sum([np.zeros(3 * size + 7), *totals], axis=0)
+    squared, absolute, rows, taken, *held = total[3 * size :].tolist()
+    if rows:
+        mean = total[: 3 * size] / rows
+        state = Optimizer(mean[:size], mean[size : 2 * size], mean[2 * size :], max(round(taken / rows), state.steps + 1))
+    return state, (squared, absolute, rows), tuple(held)
+
+
 def fit_mlp(
     df: DataFrame,
     features: list[str],
@@ -201,17 +300,18 @@ def fit_mlp(
     learning_rate: float = 1e-3,
     residual: bool = False,
     epochs: int = 60,
-    batches: int = 1,
+    batch_size: int | None = 128,
     patience: int = 6,
     validation: DataFrame | None = None,
     validation_share: float = 0.1,
     seed: int = 42,
+    shard_rows: int = SHARD_ROWS,
 ) -> FittedNetwork:
     """Dense-ReLU-dropout layers, squared error, Adam, early stopping on the validation loss.
 
-    Rows fall into ``batches`` mini-batches by a hash of their key; every batch
-    is one step.  Without a ``validation`` table a hash share of the rows is
-    held back.  The best weights are the ones returned.
+    Steps are taken over ``batch_size`` rows at a time within shards of about ``shard_rows``
+    rows; None is one step an epoch over all rows.  Without a ``validation`` table a hash
+    share of the rows is held back.  The best weights are the ones returned.
     """
     shape = Shape(len(features), hidden_dim, num_layers, residual)
     share = int(validation_share * 10_000)
@@ -221,55 +321,49 @@ def fit_mlp(
     feature_scaler = Scaler(list(features), both.mean[:-1], both.scale[:-1])
     target_scaler = Scaler([target], both.mean[-1:], both.scale[-1:])
 
-    def ready(rows: DataFrame, label: str) -> DataFrame:
+    def ready(rows: DataFrame, held) -> DataFrame:
         x = F.array(*[feature_scaler.scaled(c) for c in features]).alias("x")
         y = target_scaler.scaled(target).alias("y")
-        step = (bucket(F.col(key), f"batch{seed}") % batches).cast("int").alias("step")
-        # one folder per mini-batch, so that a step reads only its own rows
-        return materialize(rows.select(x, y, step), label, partition_by="step")
+        return rows.select(key, held.alias("held"), x, y)
 
-    train = ready(train_rows, "mlp-train")
     held_back = validation if validation is not None else df.filter(place < share)
-    check = ready(held_back, "mlp-validation")
-
-    weights = shape.start(seed)
-    first, second, steps = np.zeros_like(weights), np.zeros_like(weights), 0
-    best, best_loss, waited = weights, math.inf, 0
+    both_parts = ready(train_rows, F.lit(False)).unionByName(ready(held_back, F.lit(True)))
+    rows = materialize(both_parts, "mlp-rows")
+    train, check = (rows.filter(part).select("x", "y") for part in (~F.col("held"), F.col("held")))
+    if batch_size:
+        shards = -(-train.count() // shard_rows) or 1
+        packed = pack_shards(rows, key, shards, seed)
+
+    def advance(state: Optimizer, epoch: int | None):
+        """The state after an epoch, its training errors, and the validation errors of the state before it."""
+        if batch_size:
+            return run_epoch(packed, shards, shape, state, epoch, batch_size, dropout, learning_rate, seed)
+        _, *held = _sums(check, shape, state.weights, 0.0, seed, False)
+        if epoch is None:
+            return state, None, held
+        grad, *errors = _sums(train, shape, state.weights, dropout, seed + epoch, True)
+        after = Optimizer(state.weights, state.first, state.second, state.steps)
+        after.step(grad / max(errors[2], 1), learning_rate)
+        return after, errors, held
+
+    state = Optimizer.start(shape.start(seed))
+    best, best_loss, waited = state.weights, math.inf, 0
+    errors: tuple = ()
     history: list[dict] = []
-    for epoch in range(epochs):
-        squared = absolute = seen = 0.0
-        for step in range(batches):
-            part = train.filter(F.col("step") == step) if batches > 1 else train
-            grad, sq, ab, n = _sums(
-                part.select("x", "y"), shape, weights, dropout, seed + steps, True
+    for epoch in [*range(epochs), None]:  # an epoch is judged by the next one's job
+        after, new_errors, (v_sq, v_ab, v_n) = advance(state, epoch)
+        if errors:
+            val_loss = v_sq / max(v_n, 1)
+            squared, absolute, seen = (errors[0], errors[1], max(errors[2], 1))
+            history.append(
+                {"loss": squared / seen, "mae": absolute / seen, "val_loss": val_loss, "val_mae": v_ab / max(v_n, 1)}
             )
-            if not n:
-                continue
-            steps += 1
-            squared, absolute, seen = squared + sq, absolute + ab, seen + n
-            grad = grad / n
-            first = ADAM_BETA1 * first + (1 - ADAM_BETA1) * grad
-            second = ADAM_BETA2 * second + (1 - ADAM_BETA2) * grad * grad
-            rate = (
-                learning_rate * math.sqrt(1 - ADAM_BETA2**steps) / (1 - ADAM_BETA1**steps)
-            )
-            weights = weights - rate * first / (np.sqrt(second) + ADAM_EPSILON)
-        _, v_sq, v_ab, v_n = _sums(check.select("x", "y"), shape, weights, 0.0, seed, False)
-        val_loss = v_sq / max(v_n, 1)
-        history.append(
-            {
-                "loss": squared / max(seen, 1),
-                "mae": absolute / max(seen, 1),
-                "val_loss": val_loss,
-                "val_mae": v_ab / max(v_n, 1),
-            }
-        )
-        if val_loss < best_loss - MIN_DELTA:
-            best, best_loss, waited = weights, val_loss, 0
-        else:
             waited += 1
+            if val_loss < best_loss - MIN_DELTA:
+                best, best_loss, waited = state.weights, val_loss, 0
             if waited >= patience:
                 break
+        state, errors = after, new_errors
     return FittedNetwork(
         shape, list(features), feature_scaler, target_scaler, best, history, target
     )

@@ -11,11 +11,11 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairscore.operators.foldstats import fold_scalers
 from pairscore.operators.metrics import fold_average, regression_metrics
 from pairscore.operators.network import fit_mlp
 from pairscore.operators.regress import ESTIMATORS, fit_regressor
 from pairscore.operators.sampling import kfold
-from pairscore.operators.scaling import fit_scaler
 from pairscore.schema import TARGET
 
 # The grids of the two network kinds.
@@ -53,6 +53,12 @@ def grid(space: dict[str, Iterable]) -> list[dict]:
     return [dict(zip(space, values)) for values in product(*space.values())]
 
 
+def first_least(values: list[float]) -> int:
+    """Place of the smallest value; values that differ by rounding only are equal, and the first of those counts."""
+    least = min(values)
+    return next(i for i, v in enumerate(values) if v <= least + 1e-12 * abs(least))
+
+
 def fit_kind(df, kind, features, target, params, scaler=None, validation=None, key="line_no"):
     """Fit any known kind of model with one parameter set."""
     if kind in ESTIMATORS:
@@ -85,10 +91,8 @@ def grid_search(
     combinations = grid(space or SEARCH_SPACES[kind])
     limits = {} if kind in ESTIMATORS else {"epochs": CV_EPOCHS, "patience": CV_PATIENCE}
 
-    def scaler_of(fold: int):
-        if kind not in ESTIMATORS:
-            return None
-        return fit_scaler(folded.filter(F.col("fold") != fold), [*features, target])
+    # one scan for the scalers of all folds; networks hold back rows of their own and scale within
+    scalers = fold_scalers(folded, [*features, target]) if kind in ESTIMATORS else {}
 
     def run(job: tuple[int, int]):
         at, fold = job
@@ -96,13 +100,12 @@ def grid_search(
         check = folded.filter(F.col("fold") == fold)
         params = combinations[at]
         model = fit_kind(
-            train, kind, features, target, {**limits, **params}, scalers[fold], check, key
+            train, kind, features, target, {**limits, **params}, scalers.get(fold), check, key
         )
         row = regression_metrics(model.predict(check, "_predicted"), target, "_predicted").first()
         return at, json.dumps(params), fold, row["rmse"], row["mae"]
 
     with ThreadPoolExecutor(parallelism) as pool:
-        scalers = list(pool.map(scaler_of, range(k)))
         rows = list(pool.map(run, product(range(len(combinations)), range(k))))
     folds = df.sparkSession.createDataFrame(
         rows, "ordinal int, params string, fold int, rmse double, mae double"
@@ -110,5 +113,5 @@ def grid_search(
     means = {
         at: sum(r[3] for r in rows if r[0] == at) / k for at in range(len(combinations))
     }
-    best = min(means, key=means.get)
+    best = first_least(list(means.values()))
     return Search(kind, folds, fold_average(folds), combinations[best], means[best])

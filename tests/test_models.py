@@ -72,10 +72,10 @@ def test_gradient_against_differences(residual):
         assert grad[i] == pytest.approx((up - down) / 2e-6, rel=1e-4, abs=1e-5)
 
 
-@pytest.mark.parametrize("batches", [1, 2])
-def test_network_does_not_depend_on_partitions(table, batches):
+@pytest.mark.parametrize("batch_size", [None, 16])
+def test_network_does_not_depend_on_partitions(table, batch_size):
     options = dict(
-        hidden_dim=8, num_layers=2, dropout=0.0, learning_rate=0.01, epochs=4, batches=batches
+        hidden_dim=8, num_layers=2, dropout=0.2 if batch_size else 0.0, learning_rate=0.01, epochs=4, batch_size=batch_size, shard_rows=60
     )
     one = fit_mlp(table.coalesce(1), NAMES, **options)
     many = fit_mlp(table.repartition(4), NAMES, **options)
@@ -293,3 +293,88 @@ def test_trees_are_explained_by_the_kernel(table):
     for r in got:
         phi = np.array([r[c] for c in NAMES])
         assert phi == pytest.approx(_exact_shapley(function, scaled[r["line_no"]], background), abs=1e-8)
+
+
+def test_tree_attributions_equal_the_sum_over_all_coalitions(spark):
+    rng = np.random.default_rng(5)
+    names = [f"g{i}" for i in range(6)]
+    x = rng.normal(size=(300, 6))
+    y = x[:, 0] * (x[:, 1] > 0) + np.abs(x[:, 2]) - x[:, 3] * x[:, 4]
+    table = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(line_no=range(300), ccmatrix_score=y))
+    for kind, params in (("gbt", {"seed": 1, "maxIter": 6, "maxDepth": 4}), ("random_forest", {"seed": 1, "numTrees": 5}), ("gbt", {"maxDepth": 0, "maxIter": 1})):
+        fitted = regress.fit_regressor(table, kind, names, params=params)
+        function = fitted.scaled_function()
+        background = shapley.background_rows(table, names, fitted.feature_scaler, n=12)
+        rows = table.filter("line_no < 15").repartition(3)
+        got = shapley.tree_shapley(rows, fitted, background).collect()
+        scaled = {r["line_no"]: [r[c] for c in names] for r in fitted.feature_scaler.transform(rows).collect()}
+        assert len(got) == 15
+        for r in got:
+            phi = np.array([r[c] for c in names])
+            assert phi == pytest.approx(_exact_shapley(function, np.array(scaled[r["line_no"]]), background), abs=1e-9)
+            assert phi.sum() == pytest.approx(r["prediction"] - r["base_value"], abs=1e-9)
+
+
+def test_fold_statistics_merge_to_those_of_the_rows(table):
+    from pairscore.operators import foldstats, sampling
+    from pairscore.operators.scaling import fit_scaler
+
+    columns = [*NAMES, "ccmatrix_score"]
+    folded = sampling.kfold(table, 4)
+    scalers = foldstats.fold_scalers(folded.repartition(7), columns)
+    for fold, scaler in scalers.items():
+        want = fit_scaler(folded.filter(F.col("fold") != fold), columns)
+        assert scaler.mean == pytest.approx(want.mean, abs=1e-12) and scaler.scale == pytest.approx(want.scale, abs=1e-12)
+    still = folded.withColumn("f0", F.lit(3.0)).withColumn("f1", F.when(F.col("line_no") % 5 > 0, F.col("f1")))
+    made = foldstats.fold_moments(still, columns)
+    assert sum(m.n for m in made.values()) == 480
+    assert made[0].scaler(columns).scale[0] == 1.0
+    assert foldstats.fold_moments(folded.limit(0), columns) == {}
+
+
+@pytest.mark.parametrize("strength, mix", [(0.0, 0.0), (0.1, 0.0), (0.05, 1.0), (0.02, 0.5)])
+def test_linear_path_equals_the_fitted_model(table, strength, mix):
+    from pairscore.operators import foldstats
+    from pairscore.operators.metrics import regression_metrics
+
+    columns = [*NAMES, "ccmatrix_score"]
+    whole = foldstats.fold_moments(table.withColumn("fold", F.lit(0)), columns)[0]
+    line = foldstats.linear_path(whole, columns, [(1.0, mix), (strength, mix)])[1]
+    fitted = regress.fit_regressor(table, "linear", NAMES, params={"regParam": strength, "elasticNetParam": mix, "tol": 1e-10})
+    assert line.coefficients == pytest.approx(fitted.model.coefficients.toArray(), abs=1e-6)
+    found = regression_metrics(fitted.predict(table, "p"), "ccmatrix_score", "p").first()["rmse"]
+    assert (line.squared_error(whole) / whole.n) ** 0.5 == pytest.approx(found, rel=1e-6)
+
+
+def test_path_search_equals_the_grid_search(table):
+    from pairscore.operators import foldstats
+
+    found = foldstats.search_linear_path(table, NAMES, [0.0, 0.2], [0.0], k=3)
+    slow = grid_search(table, "linear", NAMES, {"regParam": [0.0, 0.2], "elasticNetParam": [0.0]}, k=3)
+    assert found.best_params == slow.best_params
+    assert found.best_cv_rmse == pytest.approx(slow.best_cv_rmse, rel=1e-8)
+    want = {(json.loads(r["params"])["regParam"], r["fold"]): r["rmse"] for r in slow.folds.collect()}
+    assert len(want) == 6
+    for r in found.folds.collect():
+        assert r["rmse"] == pytest.approx(want[json.loads(r["params"])["regParam"], r["fold"]], rel=1e-8)
+
+
+def test_mini_batches_beat_a_line_on_a_curve(table):
+    from pairscore.plans.scoring import evaluation_metrics
+
+    train, test = table.filter("line_no % 5 > 0"), table.filter("line_no % 5 = 0")
+    models = {
+        "line": regress.fit_regressor(train, "linear", NAMES),
+        "mlp": fit_mlp(train, NAMES, hidden_dim=32, num_layers=2, dropout=0.05, learning_rate=5e-3, batch_size=32, shard_rows=200, epochs=40),
+    }
+    r2 = {r["model"]: r["value"] for r in evaluation_metrics(evaluate(test, models), list(models)).collect() if r["metric"] == "r2"}
+    assert r2["mlp"] > max(r2["line"], 0.8)
+
+
+def test_many_shards_are_averaged_up_a_tree(table, monkeypatch):
+    from pairscore.operators import network
+
+    options = dict(hidden_dim=4, num_layers=1, dropout=0.1, epochs=2, batch_size=8, shard_rows=25)
+    flat = fit_mlp(table, NAMES, **options)
+    monkeypatch.setattr(network, "FAN_IN", 3)
+    assert np.allclose(fit_mlp(table, NAMES, **options).weights, flat.weights, atol=1e-12)
