@@ -41,7 +41,7 @@ from ..session import materialize
 MAX_WORDS = 4
 MIN_COUNT = 30
 #: Bytes of text in a shard, about.
-SHARD = 12 << 20
+SHARD = 6 << 20
 #: Words of text for each bucket of counted phrases.
 BUCKET = 1_000_000
 #: Occurrences of phrases that are extended at a time, about.
@@ -132,6 +132,8 @@ def read_shards(texts: DataFrame, shard_bytes: int) -> DataFrame:
                         raise ValueError("too many shards in one task: read the texts in more partitions")
                     writer = ShardWriter((task << SHARD_BITS) + number)
         yield from writer.rows()
+        del writer
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return texts.mapInArrow(run, SHARDS)
 
@@ -366,7 +368,7 @@ def spread_out(parts: DataFrame) -> DataFrame:
 def count_phrases(df: DataFrame, text: str, lang: str, max_words: int, min_count: int, shard_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(gram, a) of all frequent phrases of 1 to ``max_words`` words, (number, lang, word) of their words, and (lang, total)."""
     texts = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
-    shards = materialize(read_shards(texts, shard_bytes), "phrase-shards", "kind")
+    shards = materialize(read_shards(texts, shard_bytes), "phrase-shards")  # in one folder: dealing rows out would sort them
     entries = shards.where(F.col("kind") == WORDS)
     totals = entries.groupBy("lang").agg(F.sum("n").alias("total"))
     size = shards.where(F.col("kind") == TEXTS).agg(F.sum("n")).first()[0] or 0
