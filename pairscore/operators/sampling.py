@@ -6,13 +6,12 @@ any partitioning, after a lost executor, and for any later run.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 HASH_BITS = 60
+#: Ranges of the hash that are counted at a time.
+RANGES = 4_096
 BUCKETS = 10_000
 
 
@@ -32,25 +31,32 @@ def boundary(df: DataFrame, h: Column, n: int, total: int) -> tuple[int, int, in
     """``(value, need, tied)``: the first ``n`` of ``total`` rows by ``h`` are those below
     ``value`` and ``need`` of the ``tied`` rows at it.
 
-    The hash is evenly spread over the keys, so the n-th place mostly lies in a narrow
-    known zone.  Rows below the zone are only counted; the distinct values in it (about
-    20 * sqrt(n)) are counted and added up in order.  Where keys repeat, the zone widens
-    until it holds the place, at last to everything.
+    A radix selection: rows are counted in ``RANGES`` equal ranges of the hash, then again
+    within the range that holds the n-th place, until that is a single value or holds few
+    rows.  Only range counts reach the driver, whatever repeats; a few scans at most.
     """
-    slack = 10.0 * math.sqrt(n) + 100.0
-    full = 1 << HASH_BITS
+    low, high, before = 0, 1 << HASH_BITS, 0
+    hashed = df.select(h.alias("h"))
     while True:
-        low = max(int((n - slack) / total * full), 0)
-        high = min(int((n + slack) / total * full), full)
-        below, upto = df.agg(F.count_if(h < low), F.count_if(h < high)).first()
-        if below < n <= upto:
-            break
-        slack *= 2.0
-    zone = df.filter((h >= low) & (h < high)).groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("tied"))
-    upto = F.sum("tied").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0))
-    reached = zone.withColumn("upto", upto + below).filter(F.col("upto") >= n)
-    last = reached.agg(F.min(F.struct("h", "tied", "upto")).alias("p")).first()["p"]
-    return last["h"], n - (last["upto"] - last["tied"]), last["tied"]
+        width = max((high - low) // RANGES, 1)
+        inside = hashed.filter((F.col("h") >= low) & (F.col("h") < high))
+        place = F.expr(f"(h - {low}L) DIV {width}L")
+        ranges = inside.groupBy(place.alias("place")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min("h").alias("first"), F.max("h").alias("last")
+        )
+        for found in sorted(ranges.collect(), key=lambda r: r["place"]):
+            if before + found["rows"] >= n:
+                break
+            before += found["rows"]
+        if found["first"] == found["last"]:
+            return found["first"], n - before, found["rows"]
+        low, high = found["first"], found["last"] + 1
+        if found["rows"] <= RANGES:
+            values = hashed.filter((F.col("h") >= low) & (F.col("h") < high)).groupBy("h").count().collect()
+            for value, rows in sorted(map(tuple, values)):
+                if before + rows >= n:
+                    return value, n - before, rows
+                before += rows
 
 
 def mark_first(df: DataFrame, key: str, n: int, total: int, seed: int | str, output: str) -> DataFrame:

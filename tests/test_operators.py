@@ -247,3 +247,20 @@ def test_best_model_takes_the_first_of_a_tie(spark):
     rows = [("b", "test", "mae", 0.1), ("a", "test", "mae", 0.1), ("c", "test", "mae", 0.2)]
     df = spark.createDataFrame(rows, "model string, split string, metric string, value double")
     assert metrics.best_model(df, ["c", "b", "a"]).first()["model"] == "b"
+
+
+def test_selection_finds_the_place_among_many_keys_and_a_hot_one(spark):
+    """A key with a third of the rows beside many others; every place is found without a window."""
+    hot = spark.range(30_000).select(F.lit(7).cast("long").alias("k"))
+    df = hot.unionByName(spark.range(60_000).select((F.col("id") + 100).alias("k"))).cache()
+    h = sampling.key_hash(F.col("k"), 3)
+    counts = sorted((r["h"], r["count"]) for r in df.groupBy(h.alias("h")).count().collect())
+    edges, total = [], 0
+    for value, rows in counts:
+        edges.append((total, value, rows))
+        total += rows
+    at = next(i for i, e in enumerate(edges) if e[2] == 30_000)
+    for n in (1, 45_000, 90_000, edges[at][0], edges[at][0] + 1, edges[at][0] + 30_000, edges[at][0] + 30_001):
+        want = next((v, n - below, rows) for below, v, rows in edges if below < n <= below + rows)
+        assert sampling.boundary(df, h, n, 90_000) == want
+    df.unpersist()
