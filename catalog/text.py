@@ -24,7 +24,7 @@ from catalog.views import (
     with_sql,
 )
 from pairscore.functions import text, vectors
-from pairscore.operators import signals
+from pairscore.operators import ngram_lm, signals
 from pairscore.operators.joins import translate
 from pairscore.operators.profile import embedding_shape
 from pairscore.plans.features import text_features, training_table
@@ -115,6 +115,57 @@ def char_lm_perplexity_large_model(spark, sf_dir):
     return _perplexity(spark, sf_dir, broadcast_rows=0)
 
 
+def _order3(spark, sf_dir, **options):
+    """Turns of conversations under a model of three characters learned from all documents."""
+    lm = ngram_lm.fit_ngram_lm(table(spark, sf_dir, "documents"), "text", 3)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    scored = ngram_lm.ngram_perplexity(turns, "text", lm, "perplexity", **options)
+    return rounded(scored.select("conv_id", "turn", "perplexity"))
+
+
+def char_lm_order3(spark, sf_dir):
+    return _order3(spark, sf_dir)
+
+
+def char_lm_order3_large_model(spark, sf_dir):
+    """The path for a model too large to send to every worker."""
+    return _order3(spark, sf_dir, broadcast_rows=0)
+
+
+# A context passes d / (t + d) on to the next shorter one; the empty one passes it to 1 / (d + 1).
+ORDER3_SQL = """WITH chars AS (
+  SELECT row_no, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS pos
+  FROM (SELECT text, row_number() OVER () AS row_no FROM documents WHERE text <> '')),
+learned AS (
+  SELECT unicode(ch) AS c, coalesce(lag(unicode(ch)) OVER w, 1114112) AS b, coalesce(lag(unicode(ch), 2) OVER w, 1114112) AS a
+  FROM chars WINDOW w AS (PARTITION BY row_no ORDER BY pos)),
+n3 AS (SELECT a, b, c, count(*) AS n FROM learned GROUP BY ALL),
+n2 AS (SELECT b, c, sum(n) AS n FROM n3 GROUP BY ALL),
+n1 AS (SELECT c, sum(n) AS n FROM n2 GROUP BY ALL),
+s2 AS (SELECT a, b, sum(n) AS t, count(*) AS d FROM n3 GROUP BY ALL),
+s1 AS (SELECT b, sum(n) AS t, count(*) AS d FROM n2 GROUP BY ALL),
+s0 AS (SELECT sum(n) AS t, count(*) AS d FROM n1),
+turns AS (SELECT conv_id, turn, text, row_number() OVER () AS turn_no FROM conversations),
+turn_chars AS (
+  SELECT turn_no, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS pos
+  FROM turns WHERE text <> ''),
+met AS (
+  SELECT turn_no, unicode(ch) AS c, coalesce(lag(unicode(ch)) OVER w, 1114112) AS b, coalesce(lag(unicode(ch), 2) OVER w, 1114112) AS a
+  FROM turn_chars WINDOW w AS (PARTITION BY turn_no ORDER BY pos)),
+cases AS (SELECT a, b, c, turn_no, count(*) AS times FROM met GROUP BY ALL),
+p1 AS (
+  SELECT m.*, (coalesce(n1.n, 0) + s0.d / (s0.d + 1)::DOUBLE) / (s0.t + s0.d)::DOUBLE AS p
+  FROM cases m CROSS JOIN s0 LEFT JOIN n1 USING (c)),
+p2 AS (
+  SELECT m.* REPLACE (CASE WHEN s1.t IS NULL THEN m.p ELSE (coalesce(n2.n, 0) + s1.d * m.p) / (s1.t + s1.d) END AS p)
+  FROM p1 m LEFT JOIN s1 USING (b) LEFT JOIN n2 USING (b, c)),
+p3 AS (
+  SELECT m.* REPLACE (CASE WHEN s2.t IS NULL THEN m.p ELSE (coalesce(n3.n, 0) + s2.d * m.p) / (s2.t + s2.d) END AS p)
+  FROM p2 m LEFT JOIN s2 USING (a, b) LEFT JOIN n3 USING (a, b, c)),
+per_turn AS (SELECT turn_no, exp(-sum(times * ln(p)) / sum(times)) AS ppl FROM p3 GROUP BY turn_no)
+SELECT conv_id, turn, round(ppl, 6) AS perplexity FROM turns LEFT JOIN per_turn USING (turn_no)"""
+
+
 def spread_of_letters():
     """A scorer: the share of a text's characters that are letters."""
     import numpy as np
@@ -267,6 +318,8 @@ ENTRIES = {
             select="SELECT line_no, round(ppl, 6) AS chinese_perplexity FROM perplexity",
         ),
     ),
+    "char_lm_order3": (char_lm_order3, ORDER3_SQL),
+    "char_lm_order3_large_model": (char_lm_order3_large_model, ORDER3_SQL),
     "score_text": (
         score_text,
         with_sql(
