@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairscore.operators.profile import pearson
-from pairscore.operators.ranks import spearman
+from pairscore.operators.ranks import spearman, spearman_by
 
 REGRESSION_METRICS = ["mae", "rmse", "r2"]
 
@@ -55,7 +55,7 @@ def metrics_by_split(
     """Metrics of several models per split, with correlations for the test split.
 
     ``predictions`` maps a model name to its prediction column.  All models and
-    splits come out of one aggregation over the data.
+    splits come out of one aggregation over the data, and one rank pass.
     """
     aggs = [
         e.alias(f"{model}:{m}")
@@ -70,13 +70,14 @@ def metrics_by_split(
         parts[0].alias("model"), F.col(split).alias("split"), parts[1].alias("metric"), "value"
     )
     test = df.filter(F.col(split) == "test")
-    for model, pred in predictions.items():
-        ranked = rank_metrics(test, y, pred)
-        result = result.unionByName(
-            ranked.unpivot([], ["pearson", "spearman"], "metric", "value").select(
-                F.lit(model).alias("model"), F.lit("test").alias("split"), "metric", "value"
-            )
-        )
+    linear = test.agg(*[pearson(F.col(y), F.col(pred)).alias(model) for model, pred in predictions.items()])
+    linear = linear.unpivot([], list(predictions), "model", "pearson")
+    # all models are ranked together, as one long table
+    each = [F.struct(F.lit(m).alias("model"), F.col(p).cast("double").alias("pred")) for m, p in predictions.items()]
+    long = test.select(F.col(y).alias("y"), F.explode(F.array(*each)).alias("m")).select("m.model", "y", "m.pred")
+    ranked = linear.join(spearman_by(long, "model", "y", "pred"), "model", "left")
+    correlations = ranked.unpivot(["model"], ["pearson", "spearman"], "metric", "value")
+    result = result.unionByName(correlations.select("model", F.lit("test").alias("split"), "metric", "value"))
     return result
 
 

@@ -107,6 +107,38 @@ def test_spearman(numbers, per_bucket):
     assert got == pytest.approx(frame["x"].rank().corr(frame["tied"].rank()), abs=1e-12)
 
 
+def test_ranks_of_many_series_with_three_values_a_range(spark):
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({"model": rng.choice(["m", "n", "o"], 900), "y": rng.integers(0, 80, 900) / 8.0})
+    frame["pred"] = np.where(rng.random(900) < 0.4, 1.0, frame["y"] + rng.normal(0, 2, 900))
+    frame.loc[::50, "pred"] = None
+    df = spark.createDataFrame(frame).withColumn("pred", F.nanvl("pred", F.lit(None).cast("double")))
+    counts = df.groupBy("model", "y").agg(F.count("*").alias("n"))
+    got = ranks.value_ranks(counts, "y", "n", counts.count(), 3, ["model"]).collect()
+    expected = frame.groupby("model")["y"].rank(method="average").groupby([frame["model"], frame["y"]]).first()
+    assert {(r["model"], r["y"]): r["rank"] for r in got} == expected.to_dict()
+    whole = frame.dropna()
+    for per_bucket in (3, 500_000):
+        found = {r["model"]: r["spearman"] for r in ranks.spearman_by(df, "model", "y", "pred", per_bucket=per_bucket).collect()}
+        assert found == pytest.approx({m: g["y"].rank().corr(g["pred"].rank()) for m, g in whole.groupby("model")}, abs=1e-12)
+
+
+def test_starts_of_ranges_need_no_window_over_all_of_them(spark):
+    held = spark.range(2_000).selectExpr("id % 2 AS series", "id AS range_no", "id % 7 + 1 AS held")
+    found = {(r["series"], r["range_no"]): r["start"] for r in ranks.range_starts(held, 2_000, ["series"]).collect()}
+    run = {0: 0, 1: 0}
+    for i in range(2_000):
+        assert found[i % 2, i] == run[i % 2]
+        run[i % 2] += i % 7 + 1
+
+
+def test_spearman_of_nothing_is_null_and_null_groups_count(spark):
+    df = spark.createDataFrame([(None, 1.0, 2.0), (None, 2.0, 1.0), ("a", 1.0, None), ("-", 1.0, 1.0), ("-", 2.0, 3.0)], "g string, a double, b double")
+    assert ranks.spearman(df.limit(0), "a", "b").collect() == [(None,)]
+    found = {r["g"]: r["spearman"] for r in ranks.spearman_by(df, "g", "a", "b").collect()}
+    assert found == pytest.approx({None: -1.0, "-": 1.0})
+
+
 def test_spearman_of_a_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "a double, b double")
     assert ranks.spearman(df, "a", "b").first()[0] is None
