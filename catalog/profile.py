@@ -46,11 +46,11 @@ def score_quantiles(spark, sf_dir):
 
 
 def events_quantiles(spark, sf_dir):
-    """Quantiles of a column with many distinct values, found by bracketing."""
+    """Quantiles of a column with many distinct values, from wide brackets of a small sketch, ranked in many ranges."""
     from pairscore.operators.quantiles import quantile_values
 
     events = table(spark, sf_dir, "events")
-    values = quantile_values(events, {"value": REPORT_QUANTILES}, distinct_bound=100)
+    values = quantile_values(events, {"value": REPORT_QUANTILES}, sketch=100, per_bucket=200)
     rows = [(q, values["value", q]) for q in REPORT_QUANTILES]
     return rounded(spark.createDataFrame(rows, "q double, value double"), skip=("q",))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairscore.operators.joins import scalar
-from pairscore.operators.quantiles import quantile_values
+from pairscore.operators.quantiles import quantiles_and_more
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -20,20 +20,17 @@ def number(c: str) -> Column:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, quartiles, max: one row per column."""
-    aggs = []
+    aggs = {}
     for c in columns:
         x = number(c)
-        aggs += [
-            F.count(x).alias(f"count_{c}"),
-            F.avg(x).alias(f"mean_{c}"),
-            F.stddev_samp(x).alias(f"std_{c}"),
-            F.min(x).alias(f"min_{c}"),
-            F.max(x).alias(f"max_{c}"),
-            F.approx_count_distinct(x).alias(f"distinct_{c}"),
-        ]
-    row = df.agg(*aggs).first()
-    distinct = {c: row[f"distinct_{c}"] for c in columns}
-    quartiles = quantile_values(df, {c: QUARTILES for c in columns}, distinct=distinct)
+        aggs |= {
+            f"count_{c}": F.count(x),
+            f"mean_{c}": F.avg(x),
+            f"std_{c}": F.stddev_samp(x),
+            f"min_{c}": F.min(x),
+            f"max_{c}": F.max(x),
+        }
+    quartiles, row = quantiles_and_more(df, {c: QUARTILES for c in columns}, aggs)
     rows = [
         (
             c,

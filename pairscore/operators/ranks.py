@@ -22,14 +22,15 @@ def value_ranks(
     values: int,
     per_bucket: int = VALUES_PER_BUCKET,
     series: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Average rank of every value of a ``(*series, value, weight)`` table, within its series, one row per value.
+    """Average rank of every value of a ``(*series, value, weight)`` table, within its series, one row per value, beside columns to ``keep``.
 
     The distinct ``values`` are sorted into ranges of about ``per_bucket``, however many that takes.  The running count is
     taken inside a range; ranges start where the ranges before them in the series end.  Those starts are
     running counts too, within blocks of ranges and over the blocks, so no task sees all ranges.
     """
-    series = list(series)
+    series, kept = list(series), list(keep)
     upto, own = F.col("upto"), F.col(weight)
     rank = (upto - (own - F.lit(1)) / F.lit(2.0)).alias("rank")
     n_ranges = max(1, math.ceil(values / per_bucket))
@@ -37,7 +38,7 @@ def value_ranks(
         # all values together are within the bound of one range
         placed = counts.withColumn("range_no", F.lit(0))
         running = Window.partitionBy(*series, "range_no").orderBy(value).rowsBetween(*RUNNING)
-        return placed.withColumn("upto", F.sum(weight).over(running)).select(*series, value, rank)
+        return placed.withColumn("upto", F.sum(weight).over(running)).select(*series, value, *kept, rank)
     placed = materialize(
         counts.repartitionByRange(n_ranges, *series, value).withColumn("range_no", F.spark_partition_id()),
         "rank-ranges",
@@ -49,7 +50,7 @@ def value_ranks(
         placed.withColumn("upto", F.sum(weight).over(running))
         .join(starts, [*series, "range_no"])
         .withColumn("upto", F.col("start") + upto)
-        .select(*series, value, rank)
+        .select(*series, value, *kept, rank)
     )
 
 

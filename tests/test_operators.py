@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairscore.functions import derived, vectors
 from pairscore.operators import collinear, filters, joins, metrics, profile, ranks, sampling, scaling
+from pairscore.operators import quantiles as quantiles_module
 from pairscore.operators.quantiles import quantile_values
 
 
@@ -28,10 +29,11 @@ def numbers(spark):
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("bound", [20, 1_000_000])
-def test_quantiles_match_linear_interpolation(numbers, bound):
+@pytest.mark.parametrize("options", [{}, {"sketch": 8, "per_bucket": 300}, {"sketch": 400}])
+def test_quantiles_match_linear_interpolation(numbers, options):
     frame, df = numbers
-    got = quantile_values(df, {c: PROBS for c in ("x", "tied", "wide")}, distinct_bound=bound)
+    got = quantile_values(df, {c: PROBS for c in ("x", "tied", "wide")}, **options)
+    assert len(got) == 3 * len(PROBS)
     for (c, q), value in got.items():
         assert value == pytest.approx(frame[c].quantile(q), rel=1e-9, abs=1e-12), (c, q)
 
@@ -42,6 +44,34 @@ def test_quantiles_skip_missing_values(spark):
     assert got["x", 0.5] == 2.0
 
 
+def test_a_bracket_that_misses_is_widened(numbers, monkeypatch):
+    frame, df = numbers
+    wrong = {("_column_0", 0.5): (-math.inf, -1.0), ("_column_0", 0.9): (50.0, 60.0), ("_column_1", 0.2): (7.5, 7.6)}
+    monkeypatch.setattr(quantiles_module, "_sketched", lambda *args: wrong)
+    got = quantile_values(df, {"x": [0.5, 0.9], "tied": [0.2]})
+    assert got == pytest.approx({("x", 0.5): frame["x"].quantile(0.5), ("x", 0.9): frame["x"].quantile(0.9), ("tied", 0.2): frame["tied"].quantile(0.2)})
+
+
+def test_quantiles_of_few_odd_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(inf, -0.0, 1, None), (-inf, 0.0, 2, None), (1.0, 0.0, 4, None)], "a double, b double, `_column_0` int, d double")
+    got = quantile_values(df.repartition(3), {"a": [0.0, 0.5, 1.0], "b": [0.5], "_column_0": [0.25, 1.0], "d": [0.5]})
+    assert got == {("a", 0.0): -inf, ("a", 0.5): 1.0, ("a", 1.0): inf, ("b", 0.5): 0.0, ("_column_0", 0.25): 1.5, ("_column_0", 1.0): 4.0, ("d", 0.5): None}
+
+
+def test_describe_reads_a_stored_projection(numbers, monkeypatch):
+    frame, df = numbers
+    reads = []
+    kept = quantiles_module.materialize
+    monkeypatch.setattr(quantiles_module, "materialize", lambda d, label: reads.append(label) or kept(d, label))
+    rows = {r["column"]: r for r in profile.describe(df, ["x", "tied", "wide"]).collect()}
+    assert reads == ["quantile-columns"]
+    for c, r in rows.items():
+        d = frame[c].describe()
+        wanted = [d["count"], d["mean"], d["std"], d["min"], d["25%"], d["50%"], d["75%"], d["max"]]
+        assert list(r[1:]) == pytest.approx(wanted, rel=1e-9)
+
+
 def test_quantile_of_nothing(spark):
     empty = spark.createDataFrame([], "x double")
     assert quantile_values(empty, {"x": [0.5]})["x", 0.5] is None
