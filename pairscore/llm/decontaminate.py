@@ -6,9 +6,10 @@ pattern (an item of fewer words is one pattern); the automaton finds all of them
 of a text. Matches give the covered words, and their offsets in the original text.
 
 Null or wordless texts have no words and are clean; null or wordless items have no windows.
-Items with equal windows are all reported. The automaton's patterns are item windows, whose
-characters are counted first: a set beyond ``MAX_CHARS`` goes through in blocks, one scan for
-each, and the covered words are united per row.
+Items with equal windows are all reported. The characters of the items are counted first: a set
+beyond ``MAX_CHARS`` is cut into its distinct windows, which go through in blocks of bounded size, one scan for
+each; the covered words are united per row, and the windows' items are joined. Copies of an
+item or a window then add nothing to any automaton; only their ids are kept, in one array per text.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from __future__ import annotations
 import re
 
 import ahocorasick
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup
 from ..session import materialize
 from .columns import add_columns
 
@@ -33,7 +36,12 @@ FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
     for b in range(256)
 )
-HITS = "n_words bigint, hits array<struct<first:int,last:int,start:int,end:int>>, items array<bigint>"
+HIT_COLUMNS = {
+    "n_words": "bigint",
+    "hits": "array<struct<first:int,last:int,start:int,end:int>>",
+    "items": "array<bigint>",
+}
+HITS = ", ".join(f"{name} {kind}" for name, kind in HIT_COLUMNS.items())
 
 
 def words(text: str | None) -> list[bytes]:
@@ -109,6 +117,11 @@ def scan_block(df: DataFrame, items: list[tuple], text: str, size: int) -> DataF
     return add_columns(df, HITS, text, make)
 
 
+def window_texts(text: str | None, size: int) -> list[str]:
+    """The windows of an item as texts of their own."""
+    return [w.strip().decode("utf-8", "replace") for w in windows(text, size)]
+
+
 def find_contamination(
     df: DataFrame,
     benchmark: DataFrame,
@@ -122,49 +135,100 @@ def find_contamination(
 
     Columns of ``df`` with these names are replaced.
     """
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL")
+    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("t <> ''")
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = -(-total // max_chars) or 1
-    if blocks == 1:
+    if total <= max_chars:
         return scan_block(df, [tuple(r) for r in items.collect()], text, size)
-    # more items than one automaton should hold: one scan per block, united by row
-    keyed = df.drop("n_words", "hits", "items").withColumn("_row", F.monotonically_increasing_id())
-    kept = materialize(keyed, "decontaminate-rows")
+    return scan_blocks(df, items, text, size, max_chars)
+
+
+def distinct_windows(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Item texts ``(text_no, ids)``, their windows ``(window_no, text_nos)``, and ``(window_no, window)``, each once.
+
+    A text that many items repeat is one row with their ids; so is a window that many texts share.
+    """
+
+    def cut(batches):
+        for b in batches:
+            for number, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found = list(dict.fromkeys(window_texts(body, size)))
+                for at in range(0, len(found), 10_000):
+                    part = found[at : at + 10_000]
+                    yield pa.RecordBatch.from_pydict({"text_no": pa.array([number] * len(part), pa.int64()), "window": part})
+
+    texts = items.groupBy("t").agg(F.array_sort(F.collect_set("i")).alias("ids"))
+    texts = materialize(texts.withColumn("text_no", F.monotonically_increasing_id()), "benchmark-texts")
+    cuts = texts.select("text_no", "t").mapInArrow(cut, "text_no long, window string")
+    owned = cuts.groupBy("window").agg(F.collect_list("text_no").alias("text_nos"))
+    owned = materialize(owned.withColumn("window_no", F.monotonically_increasing_id()), "benchmark-windows")
+    return texts.select("text_no", "ids"), owned.select("window_no", "text_nos"), owned.select("window_no", "window")
+
+
+def block_count(patterns: DataFrame, max_chars: int) -> int:
+    """Blocks that a hash deals the patterns to, so that none holds over ``max_chars`` but one with a single pattern."""
+    total, count = patterns.agg(F.sum(F.length("window")), F.count("window")).first()
+    blocks = max(1, -(-(total or 0) // max_chars))
+    while True:
+        sizes = patterns.groupBy(block_of(blocks).alias("block")).agg(
+            F.sum(F.length("window")).alias("chars"), F.count("window").alias("n")
+        )
+        if blocks > 64 * max(count, 1) or not sizes.where((F.col("chars") > max_chars) & (F.col("n") > 1)).limit(1).count():
+            return blocks
+        blocks *= 2
+
+
+def block_of(blocks: int):
+    return F.pmod(F.xxhash64("window"), F.lit(blocks))
+
+
+def scan_blocks(df: DataFrame, items: DataFrame, text: str, size: int, max_chars: int) -> DataFrame:
+    """The same with more item windows than one automaton should hold: one scan per block, united by row.
+
+    Only the windows of a block are collected; whose they are is joined afterwards.
+    """
+    texts, owners, patterns = distinct_windows(items, size)
+    # a window repeats the words of its neighbours, so a block of windows may hold as much as those of ``max_chars`` of text
+    blocks = block_count(patterns, size * max_chars)
+    columns = [c for c in df.columns if c not in HIT_COLUMNS]
+    kept = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+        F.col(text).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    kept = materialize(kept, "decontaminate-rows")
+    used = [r[0] for r in patterns.select(block_of(blocks).alias("b")).distinct().collect()] if blocks > 1 else [0]
     parts = None
-    for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block)
-        found = scan_block(kept.select("_row", text), [tuple(r) for r in mine.collect()], text, size).drop(text)
+    for block in used or [0]:
+        mine = patterns.where(block_of(blocks) == block).select("window_no", "window")
+        found = scan_block(kept.select("row", "text"), [tuple(r) for r in mine.collect()], "text", size)
+        found = found.select("row", "n_words", "hits", F.col("items").alias("windows"))
         parts = found if parts is None else parts.unionByName(found)
-    united = parts.groupBy("_row").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("hits"))).alias("_hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    found = materialize(parts, "decontaminate-found")
+    counted = found.groupBy("row").agg(F.max("n_words").alias("n_words"))
+    runs = merged(found.select("row", F.inline("hits")), "row")
+    met = found.select("row", F.explode("windows").alias("window_no"))
+    met = lookup(met, owners, "window_no", "inner").select("row", F.explode("text_nos").alias("text_no")).distinct()
+    met = lookup(met, texts, "text_no", "inner").select("row", F.explode("ids").alias("i")).distinct()
+    ids = met.groupBy("row").agg(F.array_sort(F.collect_list("i")).alias("items"))
+    joined = kept.join(counted, "row").join(runs, "row", "left").join(ids, "row", "left")
+    return joined.select(
+        "doc.*",
+        "n_words",
+        F.coalesce("hits", F.array().cast(HIT_COLUMNS["hits"])).alias("hits"),
+        F.coalesce("items", F.array().cast(HIT_COLUMNS["items"])).alias("items"),
     )
-    united = united.withColumn("hits", merged("_hits")).drop("_hits")
-    joined = kept.join(united, "_row").drop("_row")
-    return joined.select(*kept.drop("_row").columns, "n_words", "hits", "items")
-
-
-def merged(name: str):
-    """Sorted runs with overlapping and adjoining ones made one."""
-    return F.aggregate(
-        F.col(name),
-        F.slice(F.col(name), 1, 0),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["last"] >= x["first"] - 1),
-            F.concat(
-                F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(acc, F.lit(-1))["first"].alias("first"),
-                        F.greatest(F.try_element_at(acc, F.lit(-1))["last"], x["last"]).alias("last"),
-                        F.try_element_at(acc, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(acc, F.lit(-1))["end"], x["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(acc, F.array(x))),
+
+
+def merged(runs: DataFrame, row: str) -> DataFrame:
+    """``(row, hits)``: the runs of each row in order, with overlapping and adjoining ones made one."""
+    before = Window.partitionBy(row).orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(row).orderBy("first", "last").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("first") > F.max("last").over(before) + 1, F.lit(True))
+    numbered = runs.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(upto))
+    united = numbered.groupBy(row, "run").agg(
+        F.struct(F.min("first").alias("first"), F.max("last").alias("last"), F.min("start").alias("start"), F.max("end").alias("end")).alias("hit")
     )
+    return united.groupBy(row).agg(F.array_sort(F.collect_list("hit")).alias("hits"))
 
 
 def hit_words(hits="hits"):

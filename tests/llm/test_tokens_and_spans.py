@@ -211,17 +211,36 @@ def test_blocks_of_items_give_the_same(spark):
     word = lambda: draw.choice(["red", "Blue", "green", "é", "x1"])
     texts = [" ".join(word() for _ in range(draw.randint(0, 40))) for _ in range(60)] + AWKWARD
     items = [(i, " ".join(word() for _ in range(draw.randint(0, 6)))) for i in range(12)] + [(None, "red red"), (5, None), (3, "red green")]
-    docs = frame(spark, texts, n_words=7, hits="h", items="i")
+    items += [(100 + i, "red blue green é") for i in range(30)] + [(200, "x1 " * 400)]
+    docs = frame(spark, texts, n_words=7, hits="h", items="i", _row=1, doc=2, row=3, run=4)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     want = {i: slow_hits(t, items, 3) for i, t in enumerate(texts)}
-    for limit in (10**6, 40):
+    runs = []
+    for limit in (10**6, 40, 3):
         found = decontaminate.find_contamination(docs, bench, size=3, max_chars=limit)
+        assert found.columns == [*[c for c in docs.columns if c not in decontaminate.HIT_COLUMNS], *decontaminate.HIT_COLUMNS]
+        assert found.where("_row = 1 AND doc = 2 AND row = 3 AND run = 4").count() == len(texts)
+        runs.append({r["doc_id"]: r["hits"] for r in found.collect()})
         rows = found.select("doc_id", "n_words", decontaminate.hit_words().alias("n"), "items").collect()
         assert {r["doc_id"]: (r["n_words"], r["n"], r["items"]) for r in rows} == {i: (n, len(h), ids) for i, (n, h, ids) in want.items()}
+    assert runs[0] == runs[1] == runs[2]
     assert decontaminate.find_contamination(docs, bench.limit(0)).where("size(hits) > 0").count() == 0
     assert decontaminate.find_contamination(docs.limit(0), bench).count() == 0
 
 
+def test_blocks_hold_distinct_windows_of_a_bounded_size(spark):
+    items = spark.createDataFrame([(i, "one two three four") for i in range(500)] + [(600 + i, f"a{i} b c") for i in range(60)], "i bigint, t string")
+    texts, owners, patterns = decontaminate.distinct_windows(items, 3)
+    assert texts.count() == 61 and patterns.count() == owners.count() == 62
+    assert max(len(r["ids"]) for r in texts.collect()) == 500
+    blocks = decontaminate.block_count(patterns, 50)
+    sizes = patterns.groupBy(decontaminate.block_of(blocks)).agg({"window": "count"}).collect()
+    held = {}
+    for r in patterns.select(decontaminate.block_of(blocks).alias("b"), "window").collect():
+        held.setdefault(r["b"], []).append(r["window"])
+    assert len(held) == len(sizes) and all(sum(map(len, h)) <= 50 or len(h) == 1 for h in held.values())
+
+
 # lines and secrets ---------------------------------------------------------
 
 
