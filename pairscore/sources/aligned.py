@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from pairscore.functions.text import strip
 from pairscore.operators.joins import BROADCAST_ROWS, zip_by_line
 from pairscore.session import materialize
+from pairscore.sources.line_index import can_index, list_files, zip_files
 
 
 class AlignmentError(ValueError):
@@ -58,21 +59,27 @@ def read_aligned(
     """``(line_no, source, target, score)`` from two or three aligned text files.
 
     Lines are stripped of Unicode white space.  Unequal lengths and a score that
-    is not a number are errors.
+    is not a number are errors.  Each task reads its lines from all files by an index of
+    offsets; only if a file is compressed are the sides numbered and joined.
     """
     paths = {"source": source_path, "target": target_path}
     if score_path is not None:
         paths["score"] = score_path
-    sides, lengths = [], {}
-    for name, path in paths.items():
-        lines, lengths[name] = read_lines(spark, path)
-        value = strip(F.col("value"))
-        if name == "score":
-            value = _strict_double(value)
-        sides.append(lines.select("line_no", value.alias(name)))
+    files = {name: list_files(spark, path) for name, path in paths.items()}
+    if can_index(list(files.values())):
+        pairs, lengths = zip_files(spark, files)
+    else:
+        sides, lengths = [], {}
+        for name, path in paths.items():
+            lines, lengths[name] = read_lines(spark, path)
+            sides.append(lines.withColumnRenamed("value", name))
+        pairs = zip_by_line(sides)
     if len(set(lengths.values())) > 1:
         raise AlignmentError(f"line counts differ: {lengths}")
-    return zip_by_line(sides)
+    texts = {name: strip(F.col(name)) for name in paths}
+    if "score" in texts:
+        texts["score"] = _strict_double(texts["score"])
+    return pairs.select("line_no", *[text.alias(name) for name, text in texts.items()])
 
 
 def _strict_double(value):

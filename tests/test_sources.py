@@ -1,9 +1,12 @@
 import json
 import os
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from pairscore.sources import tables
+from pairscore.sources import line_index, tables
 from pairscore.sources.aligned import AlignmentError, read_aligned, read_lines, write_aligned
 
 PAIRS = [(f"　स्रोत {i} ", f"目标 {i}", 1.0 + i / 100) for i in range(500)]
@@ -35,6 +38,78 @@ def test_lines_keep_their_numbers_over_many_splits(spark, files):
     ]
 
 
+ENDS = ["\n", "\r\n", "\r"]
+
+
+@pytest.mark.parametrize("range_bytes, stride, block", [(7, 1, 2), (64, 3, 5), (1000, 10, 64), (1 << 20, 1000, 16384)])
+def test_files_side_by_side_like_the_text_reader(spark, tmp_path, range_bytes, stride, block):
+    draw = random.Random(range_bytes)
+    word = lambda: draw.choice(["", "a", "数据 b", " नम ", "x" * 30, "\u0085 é"])
+    total, paths = 150, []
+    for side in ("left", "right side"):
+        folder = tmp_path / side
+        folder.mkdir()
+        left = total
+        for part, n in enumerate([40, 0, 1, 60, 49]):
+            left -= n
+            lines = [word() for _ in range(n)]
+            ends = [draw.choice(ENDS) for _ in range(n)]
+            # "\r" before an empty line that ends with "\n" would be one end, not two
+            body = "".join(a + ("\n" if e == "\r" and nxt == "" else e) for a, e, nxt in zip(lines, ends, [*lines[1:], "z"]))
+            (folder / f"part-{part}").write_bytes((b"\xef\xbb\xbf" if part == 3 else b"") + body.encode() + (b"\xff open" if part == 4 else b""))
+        (folder / "_SUCCESS").write_bytes(b"no line")
+        paths.append(str(folder))
+    files = {name: line_index.list_files(spark, path) for name, path in zip(("a", "b c"), paths)}
+    zipped, lengths = line_index.zip_files(spark, files, range_bytes, stride, block)
+    wanted = [[r["value"] for r in read_lines(spark, path)[0].orderBy("line_no").collect()] for path in paths]
+    assert lengths == {"a": len(wanted[0]), "b c": len(wanted[1])} and len(wanted[0]) == total + 1
+    rows = zipped.orderBy("line_no").collect()
+    assert [r["line_no"] for r in rows] == list(range(total + 1))
+    assert [r["a"] for r in rows] == wanted[0] and [r["b c"] for r in rows] == wanted[1]
+    plan = zipped._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
+def test_lines_and_their_starts_in_small_reads(monkeypatch):
+    draw = random.Random(8)
+    for size in (1, 2, 5, 64):
+        monkeypatch.setattr(line_index, "READ_BYTES", size)
+        for _ in range(60):
+            body = "".join(draw.choice(["a", "é", "\n", "\r", "\r\n", "数"]) for _ in range(draw.randint(0, 25))).encode()
+            lines = line_index.LINE_END.split(body)
+            lines = lines if lines[-1] else lines[:-1]
+            assert list(line_index.lines_at(pa.BufferReader(body), 0)) == lines
+            starts = []
+            for low in range(0, len(body), size):
+                before = max(low - 1, 0)
+                data = np.frombuffer(body[before : low + size], dtype=np.uint8)
+                starts += (line_index.line_starts(data, low == 0) + 1 + before).tolist()
+            assert len(starts) == len(lines)
+            for number, start in enumerate(starts):
+                assert list(line_index.lines_at(pa.BufferReader(body), start)) == lines[number:]
+
+
+def test_a_long_line_and_sides_without_lines(spark, tmp_path):
+    long = "y" * 3_000_000
+    (tmp_path / "a").write_text(f"{long}\nend")
+    (tmp_path / "b").write_text("1\n2\n")
+    (tmp_path / "none").write_text("")
+    files = {n: line_index.list_files(spark, str(tmp_path / n)) for n in ("a", "b", "none")}
+    zipped, lengths = line_index.zip_files(spark, files, 1 << 20)
+    assert lengths == {"a": 2, "b": 2, "none": 0}
+    assert [tuple(r) for r in zipped.orderBy("line_no").collect()] == [(0, long, "1", None), (1, "end", "2", None)]
+    nothing = read_aligned(spark, str(tmp_path / "none"), str(tmp_path / "none"))
+    assert nothing.columns == ["line_no", "source", "target"] and nothing.count() == 0
+
+
+def test_compressed_sides_are_joined(spark, tmp_path):
+    made = spark.createDataFrame([(i, f"line {i}") for i in range(50)], "i int, value string").orderBy("i").select("value")
+    made.write.text(str(tmp_path / "packed"), compression="gzip")
+    made.write.text(str(tmp_path / "plain"))
+    rows = read_aligned(spark, str(tmp_path / "packed"), str(tmp_path / "plain")).collect()
+    assert len(rows) == 50 and all(r["source"] == r["target"] == f"line {r['line_no']}" for r in rows)
+
+
 def test_parts_are_read_in_name_order(spark, tmp_path):
     folder = tmp_path / "parts"
     folder.mkdir()
