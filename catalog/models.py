@@ -21,7 +21,8 @@ from catalog.views import (
     vec_pairs,
     with_sql,
 )
-from pairscore.operators import collinear, foldstats, metrics, ranks, regress, sampling, scaling, shapley
+from pairscore.functions import vectors
+from pairscore.operators import bilinear, collinear, foldstats, metrics, ranks, regress, sampling, scaling, shapley
 from pairscore.operators.filters import filter_low_quality
 from pairscore.operators.network import fit_mlp
 from pairscore.operators.tuning import grid_search
@@ -34,7 +35,13 @@ from pairscore.plans.scoring import (
 )
 from pairscore.schema import FEATURES, TARGET, PairColumns
 from pairscore.session import materialize, work_folder
-from pairscore.sources.store import ScoringPipeline, load_pipeline, save_pipeline
+from pairscore.sources.store import (
+    ScoringPipeline,
+    load_pipeline,
+    load_vector_model,
+    save_pipeline,
+    save_vector_model,
+)
 from pairscore.sources.tables import read_params, write_params
 from pairscore.streaming.scoring import read_pair_stream, score_stream
 
@@ -308,6 +315,25 @@ def fit_embedding_regressor(spark, sf_dir):
     return metrics.regression_metrics(scored, "label", "predicted_score")
 
 
+def fit_bilinear(spark, sf_dir):
+    """The cosine of two vectors, regressed on both with and without their interaction; models saved and read back."""
+    made = vec_pairs(spark, sf_dir).withColumn("similarity", vectors.cosine("a", "b"))
+    made = sampling.split_train_val_test(made, key="vec_id")
+    train, test = made.filter(F.col("split") == "train"), made.filter(F.col("split") == "test")
+    folder = work_folder(spark, "vector-models")
+    fits = {
+        "linear": regress.fit_embedding_regressor(train, "a", "b", "similarity", params={"regParam": 0.01}),
+        "bilinear": bilinear.fit_bilinear(train, "a", "b", "similarity", rank=16, ridge=0.01),
+    }
+    rows = None
+    for name, fitted in fits.items():
+        save_vector_model(spark, fitted, f"{folder}/{name}")
+        scored = load_vector_model(spark, f"{folder}/{name}").predict(test, "pred")
+        own = metrics.regression_metrics(scored, "similarity", "pred").withColumn("model", F.lit(name))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
+
+
 def search(spark, sf_dir):
     job = build_features(doc_pairs(spark, sf_dir))
     space = {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}
@@ -796,6 +822,7 @@ FROM text_table, (SELECT regr_slope({TARGET}, length_ratio) AS slope, regr_inter
     "fit_network": (fit_network, None),
     "fit_residual_network": (fit_residual_network, None),
     "fit_embedding_regressor": (fit_embedding_regressor, None),
+    "fit_bilinear": (fit_bilinear, None),
     "grid_search": (search, None),
     "grid_search_path_features": (path_search_features, None),
     "tree_attributions": (tree_attributions, None),

@@ -61,7 +61,7 @@ class Moments:
         return Scaler(list(columns), self.mean.tolist(), np.where(still, 1.0, deviation).tolist())
 
 
-def _row(fold: int, part: int, moments: Moments) -> dict:
+def packed(fold: int, part: int, moments: Moments) -> dict:
     return {"fold": fold, "part": part, "n": moments.n, "mean": moments.mean.tobytes(), "gram": moments.gram.tobytes()}
 
 
@@ -87,14 +87,19 @@ def fold_moments(folded: DataFrame, columns: list[str]) -> dict[int, Moments]:
                 made = Moments.of(x[folds == fold])
                 found[fold] = found[fold].merge(made) if fold in found else made
         part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pylist([_row(fold, part, m) for fold, m in found.items()], PARTS_ARROW)
+        yield pa.RecordBatch.from_pylist([packed(fold, part, m) for fold, m in found.items()], PARTS_ARROW)
+
+    return merged_parts(whole.mapInArrow(gather, PARTS))
+
+
+def merged_parts(parts: DataFrame) -> dict[int, Moments]:
+    """The moments of each fold from those of its parts, merged in a tree."""
 
     def merge(table: pa.Table) -> pa.Table:
         rows = table.sort_by("part").to_pylist()
         total = reduce(Moments.merge, map(_moments, rows))
-        return pa.Table.from_pylist([_row(rows[0]["fold"], rows[0]["part"] // FAN_IN, total)], PARTS_ARROW)
+        return pa.Table.from_pylist([packed(rows[0]["fold"], rows[0]["part"] // FAN_IN, total)], PARTS_ARROW)
 
-    parts = whole.mapInArrow(gather, PARTS)
     parts = parts.groupBy("fold", F.floor(F.col("part") / FAN_IN).alias("group")).applyInArrow(merge, PARTS)
     parts = parts.groupBy("fold").applyInArrow(merge, PARTS)
     return {r["fold"]: _moments(r.asDict()) for r in parts.collect()}

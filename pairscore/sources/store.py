@@ -14,8 +14,9 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairscore.operators.bilinear import FittedBilinear
 from pairscore.operators.network import FittedNetwork, Shape
-from pairscore.operators.regress import Fitted
+from pairscore.operators.regress import Fitted, FittedOnVectors
 from pairscore.operators.scaling import Scaler
 from pairscore.plans.features import RatioRange
 
@@ -26,6 +27,9 @@ MODELS = {
 }
 
 
+VECTOR_PARTS = ("linear", "left", "right", "mean", "scale")
+
+
 @dataclass(frozen=True)
 class ScoringPipeline:
     """All that scoring needs, kept together."""
@@ -110,3 +114,42 @@ def load_pipeline(spark: SparkSession, path: str) -> ScoringPipeline:
         part("lm", spark.read.parquet),
         RatioRange(about["ratio_low"], about["ratio_high"]),
     )
+
+
+NUMBERS = "part string, i int, j int, value double"
+
+
+def save_vector_model(spark: SparkSession, fitted: FittedBilinear | FittedOnVectors, path: str) -> None:
+    """A model over two vectors, with its scalers."""
+    about = {"source_vector": fitted.source_vector, "target_vector": fitted.target_vector}
+    if isinstance(fitted, FittedBilinear):
+        about |= {"kind": fitted.kind, "target": fitted.target, "bias": fitted.bias, "errors": fitted.errors}
+        parts = {name: np.atleast_2d(getattr(fitted, name)) for name in VECTOR_PARTS}
+        rows = [(n, i, j, float(v)) for n, part in parts.items() for (i, j), v in np.ndenumerate(part)]
+        spark.createDataFrame(rows, NUMBERS).write.parquet(f"{path}/model")
+    else:
+        about["kind"] = next(kind for kind, made in MODELS.items() if isinstance(fitted.model, made))
+        fitted.model.write().save(f"{path}/model")
+    # written last: a folder without it is an unfinished save
+    spark.createDataFrame([(json.dumps(about),)], "value string").write.text(f"{path}/about")
+
+
+def load_vector_model(spark: SparkSession, path: str) -> FittedBilinear | FittedOnVectors:
+    """The saved model; a folder without a finished save is an error."""
+    try:
+        about = json.loads("".join(r[0] for r in spark.read.text(f"{path}/about").collect()))
+    except Exception as reason:
+        raise FileNotFoundError(f"{path} has no usable 'about'") from reason
+    vectors = about["source_vector"], about["target_vector"]
+    if about["kind"] != FittedBilinear.kind:
+        return FittedOnVectors(MODELS[about["kind"]].load(f"{path}/model"), *vectors)
+    found: dict[str, dict] = {name: {} for name in VECTOR_PARTS}
+    for r in spark.read.schema(NUMBERS).parquet(f"{path}/model").collect():
+        found[r["part"]][r["i"], r["j"]] = r["value"]
+    parts = {}
+    for name, cells in found.items():
+        part = np.zeros([1 + max(at) for at in zip(*cells)])
+        for at, value in cells.items():
+            part[at] = value
+        parts[name] = part if name in ("left", "right") else part[0]
+    return FittedBilinear(*vectors, about["target"], about["bias"], **parts, errors=tuple(about["errors"]))

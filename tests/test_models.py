@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pairscore.operators import regress, shapley
+from pairscore.operators import bilinear, metrics, regress, shapley
 from pairscore.operators.network import Shape, fit_mlp
 from pairscore.operators.scaling import Scaler
 from pairscore.operators.tuning import grid, grid_search
@@ -15,6 +15,7 @@ from pairscore.plans.features import RatioRange, all_features, build_features
 from pairscore.plans.scoring import compare_systems, evaluate, evaluate_splits, score_pairs
 from pairscore.schema import FEATURES
 from pairscore.session import work_folder
+from pairscore.sources import store
 from pairscore.sources.store import ScoringPipeline, load_pipeline, save_pipeline
 from pairscore.sources.tables import write_table
 from pairscore.streaming.scoring import read_pair_stream, score_stream
@@ -266,6 +267,50 @@ def test_embedding_regressor(spark):
         assert r["predicted_score"] == pytest.approx(r["ccmatrix_score"], abs=1e-5)
 
 
+def _interacting(spark, n=600):
+    rng = np.random.default_rng(4)
+    u, w = rng.normal(2, 3, (n, 6)), rng.normal(-1, 0.5, (n, 5))
+    p, q = rng.normal(size=(2, 6)), rng.normal(size=(2, 5))
+    y = 3 + u @ np.arange(6) / 9 + ((u - 2) @ p.T * ((w + 1) @ q.T)).sum(axis=1)
+    rows = [(i, a.tolist(), b.tolist(), float(v)) for i, (a, b, v) in enumerate(zip(u, w, y))]
+    return spark.createDataFrame(rows, "id long, a array<double>, b array<double>, y double").repartition(7)
+
+
+def test_bilinear_finds_a_product_that_a_line_cannot(spark, tmp_path):
+    df = _interacting(spark)
+    train, test = df.filter("id < 450"), df.filter("id >= 450")
+    line = regress.fit_embedding_regressor(train, "a", "b", "y")
+    fitted = bilinear.fit_bilinear(train, "a", "b", "y", rank=2, ridge=1e-9)
+    r2 = {m: metrics.regression_metrics(f.predict(test, "p"), "y", "p").first()["r2"] for m, f in (("line", line), ("product", fitted))}
+    assert r2["product"] > 0.999 and r2["product"] > r2["line"] + 0.2
+    assert all(b <= a + 1e-9 for a, b in zip(fitted.errors, fitted.errors[1:]))
+    for name, model in (("line", line), ("product", fitted)):
+        store.save_vector_model(spark, model, str(tmp_path / name))
+        back = store.load_vector_model(spark, str(tmp_path / name))
+        there = {r["id"]: r["p"] for r in back.predict(test, "p").collect()}
+        assert there == {r["id"]: pytest.approx(r["p"], rel=1e-12) for r in model.predict(test, "p").collect()}
+    with pytest.raises(FileNotFoundError):
+        store.load_vector_model(spark, str(tmp_path / "none"))
+
+
+def test_bilinear_does_not_depend_on_partitions_or_odd_rows(spark):
+    df = _interacting(spark, 120)
+    odd = spark.createDataFrame(
+        [(900, None, [1.0] * 5, 1.0), (901, [1.0] * 6, [1.0] * 4 + [None], 1.0), (902, [float("nan")] * 6, [1.0] * 5, 1.0), (903, [1.0] * 6, [1.0] * 5, None)],
+        df.schema,
+    )
+    one = bilinear.fit_bilinear(df.coalesce(1), "a", "b", "y", rank=2, rounds=3)
+    many = bilinear.fit_bilinear(df.repartition(9).unionByName(odd), "a", "b", "y", rank=2, rounds=3)
+    wide = spark.createDataFrame([(904, [1.0] * 7, [1.0] * 5, 1.0)], df.schema)
+    made = [{r["id"]: r["p"] for r in m.predict(df.unionByName(odd).unionByName(wide), "p").collect()} for m in (one, many)]
+    assert [made[0][i] for i in (900, 901, 902, 904)] == [None] * 4 and made[0][903] is not None
+    assert made[0] == {i: v if v is None else pytest.approx(v, rel=1e-6) for i, v in made[1].items()}
+    with pytest.raises(ValueError, match="several lengths"):
+        bilinear.fit_bilinear(df.unionByName(wide), "a", "b", "y")
+    with pytest.raises(ValueError, match="no row"):
+        bilinear.fit_bilinear(df.limit(0), "a", "b", "y")
+
+
 def test_tree_importance(table):
     fitted = regress.fit_regressor(table, "random_forest", NAMES, params={"numTrees": 5, "seed": 1})
     rows = regress.tree_importance(fitted, table, 2).collect()
