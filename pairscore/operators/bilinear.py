@@ -26,8 +26,8 @@ from pairscore.session import materialize
 RANK = 4
 ROUNDS = 20
 RIDGE = 1e-3
-#: A half-step that lowers the error by less than this share is the last.
-ENOUGH = 1e-6
+#: A round that lowers the error by less than this share of the first is the last.
+ENOUGH = 1e-4
 
 
 @dataclass(frozen=True)

@@ -82,7 +82,7 @@ def quantiles_and_more(
         for i, *_ in places:
             _, column, q = wanted[i]
             result[column, q] = found[i]
-    return result, more
+    return {(column, q): result[column, q] for _, column, q in wanted}, more
 
 
 def _sketched(stored: DataFrame, probs: dict[str, list[float]], size: int) -> dict[tuple[str, float], tuple[float, float]]:
