@@ -29,6 +29,9 @@ SCORER_BATCH = 8
 EMBEDDING_DIM = 384
 LABSE_DIM = 768
 
+# Texts that are ordered by length together before they are cut into batches.
+REORDERED = 2048
+
 LM_BROADCAST_ROWS = 2_000_000
 CODE_BITS = 21
 START = 0x110000
@@ -86,6 +89,26 @@ def _batches(texts: list, size: int):
         yield [t if t is not None else "" for t in texts[at : at + size]]
 
 
+def by_length(texts: list, size: int, run: Callable[[list[str]], list], together: int = REORDERED) -> list:
+    """What ``run`` gives for every text, in the order of the texts; NULL counts as empty.
+
+    ``run`` takes up to ``size`` texts. ``together`` texts at a time are put in order of length
+    first, so those of a batch are of like length and a model that pads them pads little. The
+    order of equal lengths is kept, and ``together`` bounds what is held.
+    """
+    out: list = []
+    for at in range(0, len(texts), together):
+        part = [t if t is not None else "" for t in texts[at : at + together]]
+        order = np.argsort([len(t) for t in part], kind="stable")
+        values: list = [None] * len(part)
+        for start in range(0, len(part), size):
+            places = order[start : start + size]
+            for place, value in zip(places, run([part[i] for i in places]), strict=True):
+                values[place] = value
+        out.extend(values)
+    return out
+
+
 def encode(
     df: DataFrame,
     column: str,
@@ -98,9 +121,7 @@ def encode(
     @F.arrow_udf("array<float>")
     def vectors(texts: pa.Array) -> pa.Array:
         values = texts.to_pylist()
-        out = []
-        for part in _batches(values, batch):
-            out.extend(np.asarray(loaded(loader)(part), dtype=np.float32))
+        out = by_length(values, batch, lambda part: np.asarray(loaded(loader)(part), dtype=np.float32))
         rows = [v if t is not None else None for t, v in zip(values, out)]
         return pa.array(rows, type=pa.list_(pa.float32()))
 
@@ -121,13 +142,16 @@ def similarity(
     def cosines(a: pa.Array, b: pa.Array) -> pa.Array:
         left, right = a.to_pylist(), b.to_pylist()
         model = loaded(loader)
-        parts = [
-            (np.asarray(model(x)) * np.asarray(model(y))).sum(axis=1)
-            for x, y in zip(_batches(left, batch), _batches(right, batch))
-        ]
-        sims = np.concatenate(parts).astype(np.float64) if parts else np.zeros(0)
+        sims: list[float] = []
+        for at in range(0, len(left), REORDERED):
+            # each side in its own order of length
+            x, y = (
+                by_length(side[at : at + REORDERED], batch, lambda part: np.asarray(model(part)))
+                for side in (left, right)
+            )
+            sims.extend(float((u * v).sum()) for u, v in zip(x, y))
         missing = np.array([x is None or y is None for x, y in zip(left, right)], dtype=bool)
-        return pa.array(sims, mask=missing)
+        return pa.array(np.array(sims, dtype=np.float64), mask=missing)
 
     return df.withColumn(output, cosines(F.col(source), F.col(target)))
 
@@ -164,7 +188,7 @@ def score_text(
     def scores(texts: pa.Array) -> pa.Array:
         scorer = loaded(loader)
         present = [t for t in texts.to_pylist() if t is not None]
-        found = iter([pair for part in _batches(present, batch) for pair in of_batch(scorer, part)])
+        found = iter(by_length(present, batch, lambda part: of_batch(scorer, part)))
         rows = [next(found) if known else (None, False) for known in texts.is_valid().to_pylist()]
         return pa.array([{"value": v, "failed": f} for v, f in rows], type=scored)
 
@@ -338,10 +362,7 @@ def apply_translator(
 
     @F.arrow_udf("string")
     def translations(texts: pa.Array) -> pa.Array:
-        translator = loaded(loader)
-        out: list = []
-        for part in _batches(texts.to_pylist(), batch):
-            out.extend(translator(part))
+        out = by_length(texts.to_pylist(), batch, loaded(loader))
         return pa.array(out, type=pa.string())
 
     return df.withColumn(output, translations(F.col(source)))

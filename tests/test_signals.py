@@ -142,3 +142,43 @@ def test_apply_translator(texts):
 
     rows = signals.apply_translator(texts.na.drop(), doubled, "source", "made").collect()
     assert rows and all(r["made"] == r["source"] * 2 for r in rows)
+
+
+def test_batches_of_like_length_keep_values_and_order():
+    rng = np.random.default_rng(3)
+    texts = ["x" * n if n else None for n in rng.integers(0, 400, size=700)]
+    lengths = [len(t or "") for t in texts]
+
+    def padding(together):
+        batches = []
+
+        def run(part):
+            batches.append([len(t) for t in part])
+            return [f"{len(t)}!" for t in part]
+
+        made = signals.by_length(texts, 16, run, together)
+        assert made == [f"{n}!" for n in lengths]
+        assert max(map(len, batches)) == 16
+        return sum(max(b) * len(b) for b in batches) - sum(lengths)
+
+    # windows of one batch are batches in the order of the rows
+    assert padding(700) * 10 < padding(16)
+    assert signals.by_length([], 16, len) == []
+
+
+def test_a_plug_in_must_answer_every_text():
+    with pytest.raises(ValueError):
+        signals.by_length(["a", "b"], 2, lambda part: part[:1])
+
+
+def test_plug_ins_meet_like_lengths_and_rows_keep_theirs(spark):
+    rows = [(i, "ab" * (i * 37 % 90)) for i in range(400)]
+    df = spark.createDataFrame(rows, "line_no long, source string").coalesce(1)
+
+    def widest():
+        return lambda batch: [f"{max(map(len, batch))} {t}" for t in batch]
+
+    made = signals.apply_translator(df, widest, batch=8).collect()
+    assert {r["line_no"]: r["target"].split(" ", 1)[1] for r in made} == dict(rows)
+    padded = sum(int(r["target"].split(" ", 1)[0]) for r in made)
+    assert padded < 1.1 * sum(len(t) for _, t in rows)
