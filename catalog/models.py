@@ -29,6 +29,7 @@ from pairscore.operators.tuning import grid_search
 from pairscore.plans.features import build_features, text_features
 from pairscore.plans.scoring import (
     evaluate,
+    evaluate_splits,
     evaluation_metrics,
     evaluate_translator,
     score_pairs,
@@ -285,6 +286,13 @@ def fit_gbt(spark, sf_dir):
     return _fit_and_evaluate(spark, sf_dir, "gbt", {"seed": 42})
 
 
+def evaluation_line(spark, sf_dir):
+    """Errors of a line, fitted on the training rows, in all three parts."""
+    split = materialize(sampling.split_train_val_test(text_table(spark, sf_dir)), "line-split")
+    fitted = regress.fit_regressor(split.where("split = 'train'"), "linear", ["length_ratio"])
+    return rounded(evaluate_splits(split, {"linear": fitted}).where("metric <> 'spearman'"))
+
+
 def _fit_network(spark, sf_dir, residual):
     job, split = feature_split(spark, sf_dir)
     # the published settings: 60 epochs in batches of 128 are the defaults
@@ -788,6 +796,19 @@ UNION ALL SELECT 'best model', round(value, 6), model FROM metrics WHERE metric
             select="SELECT model, metric, round(value, 6) AS value FROM (UNPIVOT w ON mae, rmse, r2 INTO NAME metric VALUE value)",
         ),
     ),
+    "evaluation_line": (
+        evaluation_line,
+        with_sql(
+            *TEXT_TABLE,
+            f"t AS (SELECT {_split_sql('line_no')} AS split, length_ratio AS x, {TARGET} AS y FROM text_table)",
+            "fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS start FROM t WHERE split = 'train')",
+            """w AS (SELECT 'linear' AS model, split, avg(abs(p - y)) AS mae, sqrt(avg((p - y) ** 2)) AS rmse,
+  1 - sum((p - y) ** 2) / (var_pop(y) * count(*)) AS r2, corr(y, p) AS pearson
+  FROM (SELECT split, y, start + slope * x AS p FROM t, fit) GROUP BY split)""",
+            select="""SELECT model, split, metric, round(value, 6) AS value FROM (
+  UNPIVOT w ON mae, rmse, r2, pearson INTO NAME metric VALUE value) WHERE split = 'test' OR metric <> 'pearson'""",
+        ),
+    ),
     "system_compare": (
         system_compare,
         with_sql(

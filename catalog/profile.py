@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from catalog.derived import PREDICTIONS, similar_pairs, simple_predictions
 from catalog.views import (
     DOC_PAIRS,
+    SCRIPT_PAIRS,
     SIMILARITY_CTES,
     conv_pairs,
     CONV_PAIRS,
     doc_pairs,
     rounded,
+    script_pairs,
     table,
     with_sql,
 )
@@ -66,6 +68,11 @@ def empty_counts(spark, sf_dir):
     return profile.empty_counts(doc_pairs(spark, sf_dir), ["source", "target"])
 
 
+def empty_counts_scripts(spark, sf_dir):
+    """Empty texts among pairs of which some have them."""
+    return profile.empty_counts(script_pairs(spark, sf_dir), ["source", "target"])
+
+
 def duplicate_counts(spark, sf_dir):
     return profile.duplicate_counts(doc_pairs(spark, sf_dir))
 
@@ -184,6 +191,17 @@ ENTRIES = {
             ),
         ),
     ),
+    "empty_counts_scripts": (
+        empty_counts_scripts,
+        with_sql(
+            DOC_PAIRS,
+            SCRIPT_PAIRS,
+            select=" UNION ALL ".join(
+                f"""SELECT '{c}' AS "column", count(*) FILTER ({c} = '') AS empty FROM script_pairs"""
+                for c in ("source", "target")
+            ),
+        ),
+    ),
     "duplicate_counts": (
         duplicate_counts,
         with_sql(

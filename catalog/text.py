@@ -12,12 +12,14 @@ from catalog.views import (
     EMBEDDING,
     FEATURE_CTES,
     LABSE,
+    SCRIPT_PAIRS,
     VEC_PAIRS,
     conv_pairs,
     doc_pairs,
     rounded,
     rounded_features,
     rounded_sql,
+    script_pairs,
     table,
     text_features_sql,
     vec_pairs,
@@ -52,6 +54,11 @@ def text_features_documents(spark, sf_dir):
     return text_features(doc_pairs(spark, sf_dir)).drop("source", "target", "score")
 
 
+def text_features_scripts(spark, sf_dir):
+    """Features of texts in two other scripts, some of them empty."""
+    return text_features(script_pairs(spark, sf_dir)).drop("source", "target")
+
+
 def char_ngram_overlap(spark, sf_dir):
     pairs = doc_pairs(spark, sf_dir)
     return text.char_ngram_overlap(pairs, "source", "target", 3, "overlap").select(
@@ -261,6 +268,15 @@ ENTRIES = {
             select="SELECT * EXCLUDE (source, target, score) FROM text_features",
         ),
     ),
+    "text_features_scripts": (
+        text_features_scripts,
+        with_sql(
+            DOC_PAIRS,
+            SCRIPT_PAIRS,
+            text_features_sql("script_pairs"),
+            select="SELECT * EXCLUDE (source, target) FROM text_features",
+        ),
+    ),
     "char_ngram_overlap": (
         char_ngram_overlap,
         with_sql(DOC_PAIRS, _TRIGRAM_LISTS, select=_overlap(3)),

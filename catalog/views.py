@@ -30,6 +30,20 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Each of these letters becomes the letter or digit at its place in the list of a side.
+LATIN = "etaoinshrdlubfgm"
+DEVANAGARI = "कखगघचछजझटठडढ०३५७"
+HAN = "雨停商店九点开门的书看人１２４８"
+
+
+def script_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document pairs in Devanagari and Han letters and digits; one side of some is empty, of some both."""
+    pairs = doc_pairs(spark, sf_dir)
+    source = F.when(F.col("line_no") % 11 == 0, "").otherwise(F.translate("source", LATIN, DEVANAGARI))
+    target = F.when(F.col("line_no") % 13 == 0, "").otherwise(F.translate("target", LATIN, HAN))
+    return pairs.select("line_no", source.alias("source"), target.alias("target"))
+
+
 def conv_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns next to the assistant turns that answer them."""
     turns = table(spark, sf_dir, "conversations")
@@ -66,6 +80,10 @@ DOC_PAIRS = """doc_pairs AS (
          1.06::DOUBLE + 0.18::DOUBLE * (least(a.n_chars, b.n_chars) / greatest(a.n_chars, b.n_chars)) AS score
   FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)"""
 
+SCRIPT_PAIRS = f"""script_pairs AS (
+  SELECT line_no, CASE WHEN line_no % 11 = 0 THEN '' ELSE translate(source, '{LATIN}', '{DEVANAGARI}') END AS source,
+         CASE WHEN line_no % 13 = 0 THEN '' ELSE translate(target, '{LATIN}', '{HAN}') END AS target FROM doc_pairs)"""
+
 CONV_PAIRS = """conv_pairs AS (
   SELECT a.conv_id || '/' || a.turn AS pair_id, a.text AS source, b.text AS target
   FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
