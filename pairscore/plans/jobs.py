@@ -1,21 +1,29 @@
-"""The jobs as they are submitted: features, search, fit, evaluate, explain, score.
+"""The jobs as they are submitted: explore, features, search, fit, evaluate, explain, score, compare, translate, stream.
 
 Each reads stored tables and writes stored tables, so they can run on their own.
 """
 
 from __future__ import annotations
 
+import importlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairscore.operators import shapley
+from pairscore.operators import shapley, signals
 from pairscore.operators.regress import ESTIMATORS
 from pairscore.operators.sampling import holdout, sample_n
 from pairscore.operators.tuning import fit_kind, grid_search
+from pairscore.plans.explore import composite_scores, corpus_report, disagreement_report
 from pairscore.plans.features import RatioRange, build_features, fitting_rows
-from pairscore.plans.scoring import evaluate, evaluation_metrics, score_pairs
+from pairscore.plans.scoring import (
+    compare_systems,
+    evaluate,
+    evaluate_translator,
+    evaluation_metrics,
+    score_pairs,
+)
 from pairscore.schema import CSV_SOURCE, CSV_TARGET, PAIRS, TARGET, PairColumns
 from pairscore.session import materialize
 from pairscore.sources.aligned import read_aligned
@@ -23,10 +31,12 @@ from pairscore.sources.store import ScoringPipeline, load_pipeline, save_pipelin
 from pairscore.sources.tables import (
     read_pairs,
     read_params,
+    read_table,
     write_metrics,
     write_params,
     write_table,
 )
+from pairscore.streaming.scoring import read_pair_stream, score_stream
 
 KEY = PAIRS.key
 SPLIT = "split"
@@ -37,6 +47,17 @@ def feature_names(table: DataFrame) -> list[str]:
     return [c for c in table.columns if c not in (KEY, SPLIT, TARGET)]
 
 
+def run_explore(spark: SparkSession, source: str, target: str, scores: str, out: str, bins: int = 50) -> list[str]:
+    """Aligned text files in; the tables of a first look, and of how far score and similarity disagree, out."""
+    pairs = materialize(read_aligned(spark, source, target, scores), "pairs")
+    tables = corpus_report(pairs, bins=bins)
+    scored = materialize(composite_scores(signals.similarity(pairs)), "composite")
+    tables |= {f"disagreement_{name}": table for name, table in disagreement_report(scored).items()}
+    for name, table in tables.items():
+        write_table(table, f"{out}/{name}")
+    return list(tables)
+
+
 def run_features(
     spark: SparkSession,
     source: str,
@@ -159,6 +180,40 @@ def run_score(spark: SparkSession, pairs: str, model: str, out: str) -> None:
     write_table(scored, out, "csv")
 
 
+def run_compare(
+    spark: SparkSession, outputs: str, model: str, out: str, system: str = "system", group: str | None = None
+) -> None:
+    """Outputs of several systems in; their mean scores, and their ranks for every source, out."""
+    cols = PairColumns(source=CSV_SOURCE, target=CSV_TARGET)
+    df = read_pairs(spark, outputs)
+    for needed in (system, group or cols.source):
+        if needed not in df.columns:
+            raise ValueError(f"the outputs have no column {needed!r}")
+    means, ranked = compare_systems(df, load_pipeline(spark, model), cols, system, group)
+    write_table(means, f"{out}/systems", "csv")
+    write_table(ranked, f"{out}/ranked")
+
+
+def named_loader(name: str):
+    """The function that ``module:function`` names; send its module with ``--py-files``."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def run_translate(spark: SparkSession, sources: str, translator: str, model: str, out: str) -> None:
+    """A table with a source column in; its translations by a user's function, with their scores, out."""
+    cols = PairColumns(source=CSV_SOURCE, target=CSV_TARGET)
+    df = read_table(spark, sources)
+    scored = evaluate_translator(df, named_loader(translator), load_pipeline(spark, model), cols)
+    write_table(scored.drop("signals_filled"), out)
+
+
+def run_stream(spark: SparkSession, pairs: str, model: str, out: str, checkpoint: str, once: bool = False) -> None:
+    """Pairs scored as their files arrive, until stopped; with ``once`` those that are there."""
+    query = score_stream(read_pair_stream(spark, pairs), load_pipeline(spark, model), out, checkpoint, once=once)
+    query.awaitTermination()
+
+
 def parse_space(text: str | None) -> dict | None:
     """A search space given as JSON, ``{"name": [values]}``."""
     return json.loads(text) if text else None

@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,10 +30,32 @@ def build_session(app_name: str = "pairscore", master: str | None = None, **conf
 
 
 _local_folders: dict[str, str] = {}
+# the folder of the job that runs in an application, while one does
+_job_folders: dict[str, str] = {}
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Everything stored inside the block goes into one folder, which is removed at its end, after an error too.
+
+    What is to be kept has to be written elsewhere by then. One job of an application at a time:
+    a block inside another one belongs to the outer one.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _job_folders:
+        yield _job_folders[app]
+        return
+    folder = _job_folders[app] = work_folder(spark, "job")
+    try:
+        yield folder
+    finally:
+        del _job_folders[app]
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors can reach.
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors can reach; a job's are below its own.
 
     Only a local session may run without that setting; it then gets a temporary
     folder for the rest of the session.
@@ -45,6 +69,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
         if app not in _local_folders:
             _local_folders[app] = tempfile.mkdtemp(prefix="run-")
         base = _local_folders[app]
+    base = _job_folders.get(spark.sparkContext.applicationId, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

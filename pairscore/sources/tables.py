@@ -48,6 +48,13 @@ def read_features(
     return df, names
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet if the path says so, else CSV whose columns are all text."""
+    if path.rstrip("/").endswith(".parquet"):
+        return spark.read.parquet(path)
+    return spark.read.options(**CSV_TEXT_OPTIONS).csv(path)
+
+
 def read_pairs(
     spark: SparkSession, path: str, source: str = CSV_SOURCE, target: str = CSV_TARGET
 ) -> DataFrame:
@@ -56,10 +63,7 @@ def read_pairs(
     Texts may contain line breaks, so one file is one task: give large inputs as
     many files, or as Parquet.
     """
-    if path.rstrip("/").endswith(".parquet"):
-        df = spark.read.parquet(path)
-    else:
-        df = spark.read.options(**CSV_TEXT_OPTIONS).csv(path)
+    df = read_table(spark, path)
     missing = [c for c in (source, target) if c not in df.columns]
     if missing:
         raise ValueError(f"the file must have the columns {source!r} and {target!r}")

@@ -1,5 +1,7 @@
 """The jobs end to end, one after the other over files, and the exploration report."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pairscore.operators.signals import similarity
 from pairscore.operators.sampling import holdout
 from pairscore.plans.explore import composite_scores, corpus_report, disagreement_report
 from pairscore.plans.features import build_features
-from pairscore.session import work_folder
+from pairscore.session import job_folder, materialize, work_folder
 from pairscore.sources.aligned import write_aligned
 from pairscore.sources.tables import read_params, write_table
 
@@ -54,6 +56,52 @@ def test_jobs_one_after_the_other(spark, pairs):
     scored = spark.read.options(header=True, inferSchema=True).csv(f"{base}/scored")
     assert scored.columns == ["hindi", "chinese", "note", "predicted_score", "confidence_lower", "confidence_upper"]
     assert scored.count() == 150
+    model = ["--model", f"{base}/models/linear"]
+    outputs = pairs.selectExpr("source AS hindi", "target AS chinese", "line_no % 10 AS text", "line_no % 3 AS site")
+    write_table(outputs, f"{base}/outputs.parquet")
+    run(spark, ["compare", "--outputs", f"{base}/outputs.parquet", *model, "--out", f"{base}/compared",
+                "--system", "site", "--group", "text"])
+    means = spark.read.options(header=True, inferSchema=True).csv(f"{base}/compared/systems")
+    assert {r["site"]: r["pairs"] for r in means.collect()} == {0: 50, 1: 50, 2: 50}
+    ranked = spark.read.parquet(f"{base}/compared/ranked")
+    assert sorted(r["rank"] for r in ranked.where("text = 3").collect()) == list(range(1, 16))
+    with pytest.raises(ValueError, match="no column 'system'"):
+        run(spark, ["compare", "--outputs", f"{base}/outputs.parquet", *model, "--out", f"{base}/none"])
+    write_table(outputs.select("hindi", "text"), f"{base}/sources.parquet")
+    run(spark, ["translate", "--sources", f"{base}/sources.parquet", "--translator", "catalog.text:lower_case_translator",
+                *model, "--out", f"{base}/translated"])
+    made = spark.read.parquet(f"{base}/translated")
+    assert made.count() == made.where("chinese = concat('» ', lower(hindi)) AND predicted_score IS NOT NULL").count() == 150
+    write_table(pairs, f"{base}/arriving")
+    run(spark, ["stream", "--pairs", f"{base}/arriving", *model, "--out", f"{base}/streamed",
+                "--checkpoint", f"{base}/places", "--once"])
+    assert spark.read.parquet(f"{base}/streamed").where("predicted_score IS NOT NULL").count() == 150
+
+
+def test_exploration_job_leaves_its_report_only(spark, pairs):
+    base = work_folder(spark, "explore")
+    sides = [f"{base}/{side}" for side in ("s", "t", "scores")]
+    write_aligned(pairs, *sides)
+    shared = os.path.dirname(base)
+    before = set(os.listdir(shared))
+    run(spark, ["explore", "--source", sides[0], "--target", sides[1], "--scores", sides[2], "--out", f"{base}/report",
+                "--bins", "7"])
+    assert set(os.listdir(shared)) == before
+    assert spark.read.parquet(f"{base}/report/histogram").count() == 7
+    assert spark.read.parquet(f"{base}/report/disagreement_cases").count() == 8
+    assert spark.read.parquet(f"{base}/report/missing").count() == 3
+
+
+def test_a_failed_job_leaves_nothing_stored(spark, pairs):
+    with pytest.raises(RuntimeError):
+        with job_folder(spark) as folder:
+            kept = materialize(pairs, "inside")
+            with job_folder(spark) as inner:
+                assert inner == folder
+            assert kept.count() == 150 and os.listdir(folder)
+            raise RuntimeError
+    assert not os.path.exists(folder)
+    assert materialize(pairs, "outside").count() == 150
 
 
 def test_reports(spark, pairs):
