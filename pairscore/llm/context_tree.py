@@ -141,6 +141,16 @@ def bucket_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((spread >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """64-bit numbers, their first bytes together, then their second ones, and so on: sorted or small ones compress well."""
+    return values.astype("<i8" if values.dtype.kind == "i" else "<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def numbers(data: bytes, kind: str) -> np.ndarray:
+    """The numbers of ``planes``."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
 def packed_texts(rows: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -170,7 +180,7 @@ def chunk_parts(docs: DataFrame, buckets: int) -> DataFrame:
             for b in np.flatnonzero(np.diff(ends)):
                 mine = order[ends[b] : ends[b + 1]]
                 out.append(
-                    {"chunk": chunk, "kind": kind, "bucket": int(b), "entries": len(mine), "keys": keys[mine].tobytes(), "counts": counts[mine].astype("<i8").tobytes()}
+                    {"chunk": chunk, "kind": kind, "bucket": int(b), "entries": len(mine), "keys": planes(keys[mine]), "counts": planes(counts[mine])}
                 )
         yield pa.RecordBatch.from_pylist(out, PARTS_ARROW)
 
@@ -193,14 +203,14 @@ def chunk_parts(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def arrays(table: pa.Table, name: str, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
+    return [numbers(x, kind) for x in table.column(name).to_pylist()]
 
 
 def total_parts(table: pa.Table) -> pa.Table:
     """The rows of a bucket as one row of distinct keys with their summed counts."""
     keys, counts = summed(arrays(table, "keys", "<u8"), arrays(table, "counts", "<i8"))
     first = {name: [table.column(name)[0].as_py()] for name in ("kind", "bucket")}
-    return pa.table({**first, "keys": [keys.tobytes()], "counts": [counts.tobytes()]}, schema=TOTALS)
+    return pa.table({**first, "keys": [planes(keys)], "counts": [planes(counts)]}, schema=TOTALS)
 
 
 TOTALS = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -415,7 +425,7 @@ def token_totals(totals: DataFrame) -> tuple[int, int]:
 
     def run(batches):
         for batch in batches:
-            counts = [np.frombuffer(x, "<i8") for x in batch.column("counts").to_pylist()]
+            counts = [numbers(x, "<i8") for x in batch.column("counts").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(c.sum()) for c in counts], pa.int64()), pa.array([int((c > 0).sum()) for c in counts], pa.int64())], names=["n", "v"]
             )
