@@ -36,7 +36,7 @@ from ..session import materialize
 #: 2.10 with 5, 2.03 with 6, for 14, 16 and 21 s.
 DEPTH = 5
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
-CHUNK = 10 << 20
+CHUNK = 7 << 20
 #: Bytes whose grams are sorted at once.
 SEGMENT = 2 << 20
 #: Entries that one task answers, about.
@@ -391,8 +391,8 @@ def score_texts(df: DataFrame, held_out: Column, text: str = "text") -> DataFram
     )
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = size // CHUNK + 1
-    # a chunk has about 500,000 entries; at least 16 buckets keep small runs parallel
-    buckets = max(16, chunks * 500_000 // ENTRIES)
+    # a chunk has about 400,000 entries; at least 16 buckets keep small runs parallel
+    buckets = max(16, chunks * 400_000 // ENTRIES)
     salts = -(-chunks // CHUNKS_TOGETHER)
     stored = materialize(chunk_parts(docs, buckets), "ctw-parts", "kind")
     asked = stored.where(F.col("kind") != TEXTS)
