@@ -1,5 +1,6 @@
 import json
 import math
+import time
 from itertools import combinations
 
 import numpy as np
@@ -7,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pairscore.operators import bilinear, metrics, regress, shapley
+from pairscore.operators import bilinear, metrics, network, regress, shapley
 from pairscore.operators.network import Shape, fit_mlp
 from pairscore.operators.scaling import Scaler
 from pairscore.operators.tuning import grid, grid_search
@@ -423,3 +424,47 @@ def test_many_shards_are_averaged_up_a_tree(table, monkeypatch):
     flat = fit_mlp(table, NAMES, **options)
     monkeypatch.setattr(network, "FAN_IN", 3)
     assert np.allclose(fit_mlp(table, NAMES, **options).weights, flat.weights, atol=1e-12)
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().toList()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle")}
+
+
+def test_network_epoch_sends_one_state_and_leaves_no_shuffle(spark, table, monkeypatch):
+    """The states of many shards come to the driver added up, and the files of the adding don't pile up by epochs."""
+    sent, collect = [], type(table).collect
+
+    def noting(df):
+        rows = collect(df)
+        sent.append(len(rows))
+        return rows
+
+    count, shape = 100, network.Shape(3, 4, 2)
+    x = F.array(*NAMES).alias("x")
+    rows = table.select("line_no", (F.col("line_no") % 10 == 0).alias("held"), x, F.col("ccmatrix_score").alias("y"))
+    packed = network.pack_shards(rows, "line_no", count, 42)
+    assert packed.count() <= network.MOST_STATES
+    start = network.Optimizer.start(shape.start(1))
+    before = _shuffle_files(spark)
+    monkeypatch.setattr(type(table), "collect", noting)
+    state, made, held = network.run_epoch(packed, count, shape, start, 0, 4, 0.0, 0.01, 42)
+    assert sent == [1] and (made[2], held[2]) == (540, 60)
+    for _ in range(100):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    monkeypatch.undo()
+    # the state is the mean of the shards' own, weighted by their rows
+    mean, seen = np.zeros(shape.size()), 0
+    for row in packed.collect():
+        for shard, n, xs, ys in zip(row["shard"], row["rows"], row["x"], row["y"]):
+            if shard < count:
+                own, rng = network.Optimizer.start(start.weights), np.random.default_rng([42, 0, shard])
+                xs, ys, order = np.frombuffer(xs).reshape(n, 3), np.frombuffer(ys), rng.permutation(n)
+                for at in range(0, n, 4):
+                    mine = order[at : at + 4]
+                    own.step(shape.gradient(own.weights, xs[mine], ys[mine], 0.0, rng)[0] / len(mine), 0.01)
+                mean, seen = mean + own.weights * n, seen + n
+    assert seen == 540 and np.allclose(state.weights, mean / seen, atol=1e-12)
