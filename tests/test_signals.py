@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pairscore.operators import signals
@@ -182,3 +184,55 @@ def test_plug_ins_meet_like_lengths_and_rows_keep_theirs(spark):
     assert {r["line_no"]: r["target"].split(" ", 1)[1] for r in made} == dict(rows)
     padded = sum(int(r["target"].split(" ", 1)[0]) for r in made)
     assert padded < 1.1 * sum(len(t) for _, t in rows)
+
+
+def test_memory_of_signals_is_bounded_by_portions(spark):
+    """What a batch holds depends on a portion of characters and not on the texts that came together."""
+    texts = ["abcdefgh" * 10_000] * 64
+    arrow = pa.array(texts)
+
+    class Frame:
+        """Takes the function that a task runs on its batches."""
+
+        def select(self, *_):
+            return self
+
+        groupBy = agg = select
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+    made = signals.fit_char_lm(Frame(), "t").run
+    for work in (
+        lambda: signals.trigram_encoder()(texts),
+        lambda: list(made([pa.RecordBatch.from_arrays([arrow], ["t"])])),
+    ):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80e6
+
+
+def test_texts_longer_than_a_portion(spark, monkeypatch):
+    """Pieces of one text give its n-grams and bigrams once each, across the cuts too."""
+    rng = np.random.default_rng(5)
+    long = "".join(rng.choice(list("abcdé雨𝄞"), size=signals.PORTION * 2 + 7))
+    rows = [(1, long), (2, ""), (3, None), (4, "ab"), (5, long[:-1])]
+    df = spark.createDataFrame(rows, "line_no long, target string").coalesce(1)
+    lm = signals.fit_char_lm(df, "target")
+    codes = [[signals.START, *map(ord, t)] for _, t in rows if t]
+    expected = Counter((a << signals.CODE_BITS) | b for text in codes for a, b in zip(text, text[1:]))
+    assert {r["bigram"]: r["n"] for r in lm.collect()} == expected
+    got = [signals.char_lm_perplexity(df, "target", lm, broadcast_rows=n).orderBy("line_no").collect() for n in (None, 0)]
+    one, other = ([r["chinese_perplexity"] for r in made] for made in got)
+    assert one[1] is one[2] is other[1] is other[2] is None
+    assert np.allclose([v for v in one if v], [v for v in other if v]) and len([v for v in one if v]) == 3
+    whole = signals.trigram_encoder()([long, "", "ab", long[5:20]])
+    monkeypatch.setattr(signals, "PORTION", 10)
+    assert np.array_equal(signals.trigram_encoder()([long[:300], "", "ab", long[5:20]])[1:], whole[1:])
+    keys, of = map(np.concatenate, zip(*signals._bigrams([long[:45], "", "ab", long[50:61]])))
+    parts = [long[:45], "", "ab", long[50:61]]
+    pairs = [(r, (a << signals.CODE_BITS) | ord(b)) for r, t in enumerate(parts) for a, b in zip([signals.START, *map(ord, t)], t)]
+    assert list(zip(of.tolist(), keys.tolist())) == pairs
