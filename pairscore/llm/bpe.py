@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 
 import numpy as np
 import regex
@@ -33,8 +34,9 @@ LEAF = 24
 ALIGNED = 64
 #: Bytes up to which merging searches a list instead of keeping a queue.
 SHORT = 96
-#: Bytes that a task remembers of encoded pieces, and as many of neighbouring tokens, about.
-REMEMBERED = 16 << 20
+#: Bytes that a task remembers of encoded pieces, and of neighbouring tokens, about.
+REMEMBERED = 40 << 20
+NEIGHBOURS = 8 << 20
 
 
 class Remembered(dict):
@@ -64,6 +66,9 @@ class Coder:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.split = regex.compile(pattern).findall
+        self.none = len(ranks) + (1 << 32)
+        self.bytes = [bytes([i]) for i in range(256)]
+        self.of_two = [ranks.get(a + b, self.none) for a in self.bytes for b in self.bytes]
         self.pieces = Remembered(self.piece)
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -73,18 +78,18 @@ class Coder:
 
     def merge_short(self, data: bytes) -> list[int]:
         """By searching all neighbours for the lowest rank, again and again."""
-        rank_of, none = self.ranks.get, len(self.ranks) + (1 << 32)
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+        rank_of, none, of_two = self.ranks.get, self.none, self.of_two
+        parts = list(map(self.bytes.__getitem__, data))
+        pairs = [of_two[a << 8 | b] for a, b in zip(data, data[1:])]
         while pairs and (least := min(pairs)) != none:
             at = pairs.index(least)
-            parts[at] += parts.pop(at + 1)
+            parts[at] = merged = parts[at] + parts.pop(at + 1)
             del pairs[at]
             if at < len(pairs):
-                pairs[at] = rank_of(parts[at] + parts[at + 1], none)
+                pairs[at] = rank_of(merged + parts[at + 1], none)
             if at:
-                pairs[at - 1] = rank_of(parts[at - 1] + parts[at], none)
-        return [self.ranks[p] for p in parts]
+                pairs[at - 1] = rank_of(parts[at - 1] + merged, none)
+        return list(map(self.ranks.__getitem__, parts))
 
     def merge_long(self, data: bytes) -> list[int]:
         """By a queue of neighbours, for windows that had to grow."""
@@ -122,7 +127,7 @@ class Coder:
         """Whether these neighbours stay as they are when encoded together."""
         known = self.pairs.get((left, right))
         if known is None:
-            if 180 * len(self.pairs) > REMEMBERED:
+            if 180 * len(self.pairs) > NEIGHBOURS:
                 self.pairs = {}
             known = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
             self.pairs[left, right] = known
@@ -154,7 +159,7 @@ class Coder:
         data = piece.encode()
         known = self.ranks.get(data)
         ids = [known] if known is not None else self.tree(data)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""

@@ -408,3 +408,13 @@ def test_remembered_pieces_are_bounded(monkeypatch):
     for i in range(5000):
         assert known[f"piece{i % 700}"] == f"piece{i % 700}".encode()
     assert len(known) + len(known.old) < 100
+
+
+def test_pieces_of_many_texts_are_encoded_once():
+    """A task remembers 70,000 pieces, so those that come again are not merged again."""
+    calls = []
+    known = bpe.Remembered(lambda piece: calls.append(piece) or bytes(12))
+    for _ in range(2):
+        for i in range(70_000):
+            known[f" p{i:08}"]
+    assert len(calls) == 70_000
