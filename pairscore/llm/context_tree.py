@@ -37,15 +37,15 @@ from ..session import materialize
 DEPTH = 5
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
 CHUNK = 7 << 20
-#: Bytes whose grams are sorted at once.
-SEGMENT = 2 << 20
+#: Bytes whose grams are sorted at once: sorting holds about 56 bytes for each.
+SEGMENT = 1 << 19
 #: Entries that one task answers, about.
 ENTRIES = 2_000_000
 #: Chunks whose entries for one subtree meet in one task.
 CHUNKS_TOGETHER = 256
 WORDS, GRAMS, TEXTS = 0, 1, 2
 END = np.uint64(2**64 - 1)  # the token after a text's last word
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 PARTS = "chunk bigint, kind int, bucket bigint, entries bigint, keys binary, counts binary"
 PARTS_ARROW = pa.schema(
@@ -76,7 +76,7 @@ def word_keys(texts: list[bytes], known: WordHashes) -> tuple[np.ndarray, np.nda
 
 
 def gram_keys(texts: list[bytes]):
-    """(keys, text number) of every byte and end mark, a bounded part of the texts at a time.
+    """Keys of every byte and end mark in turn, a bounded part of the texts at a time: (keys, numbers of the texts, keys of each).
 
     A key holds the ``DEPTH`` bytes before a byte and the byte itself, oldest first. The end mark is 255, which
     no UTF-8 text contains.
@@ -85,18 +85,17 @@ def gram_keys(texts: list[bytes]):
     held, owners, size = [], [], 0
 
     def flush():
-        data = np.frombuffer(b"".join(held), np.uint8).astype(np.uint64)
+        data = np.frombuffer(b"".join(held), np.uint8)
         keys = np.zeros(len(data) - DEPTH, np.uint64)
         for k in range(DEPTH + 1):
-            keys = (keys << np.uint64(8)) | data[k : k + len(keys)]
+            keys <<= np.uint64(8)
+            keys |= data[k : k + len(keys)]
         lengths = np.array([len(h) for h in held])
         first = np.cumsum(lengths) - lengths
         real = np.ones(len(data), bool)
         for k in range(DEPTH):
             real[first + k] = False  # context bytes only
-        real = real[DEPTH:]
-        owner = np.repeat(np.array(owners), lengths)[DEPTH:]
-        return keys[real], owner[real]
+        return keys[real[DEPTH:]], np.array(owners), lengths - DEPTH
 
     for number, text in enumerate(texts):
         whole = pad + text + b"\xff"
@@ -111,25 +110,42 @@ def gram_keys(texts: list[bytes]):
         yield flush()
 
 
+def distinct_of(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys: less memory and time than a hash table of them."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and their summed counts."""
-    if not keys:
+    if not any(map(len, keys)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return found, np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
+    together, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(together)
+    together, n = together[order], n[order]
+    del order
+    first = np.flatnonzero(np.append(True, together[1:] != together[:-1]))
+    return together[first], np.add.reduceat(n, first)
+
+
+def counted(keys: np.ndarray, train: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct keys of the training texts and of the others, and their counts, which are 0 for the latter."""
+    found, counts = np.unique(keys[train], return_counts=True)
+    others = distinct_of(keys[~train])
+    return [found, others], [counts, np.zeros(len(others), np.int64)]
 
 
 def needed(texts: list[bytes], train: np.ndarray, known: WordHashes) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Per kind the distinct keys of a chunk and their counts in its training texts."""
     words, sizes = word_keys(texts, known)
-    word_part = summed([words], [np.repeat(train, sizes).astype(np.int64)])
+    word_part = summed(*counted(words, np.repeat(train, sizes)))
     del words
     keys, counts = [], []
-    for grams, owner in gram_keys(texts):
-        found, place = np.unique(grams, return_inverse=True)
-        keys.append(found)
-        counts.append(np.bincount(place, train[owner], len(found)).astype(np.int64))
-        if len(keys) == 8:
+    for grams, owners, sizes in gram_keys(texts):
+        found, n = counted(grams, np.repeat(train[owners], sizes))
+        keys += found
+        counts += n
+        if len(keys) >= 8:
             keys, counts = map(list, zip(summed(keys, counts)))
     return {WORDS: word_part, GRAMS: summed(keys, counts)}
 
@@ -170,7 +186,7 @@ def chunk_parts(docs: DataFrame, buckets: int) -> DataFrame:
         yield pa.RecordBatch.from_pylist(
             [{"chunk": chunk, "kind": TEXTS, "bucket": 0, "entries": rows.num_rows, "keys": packed_texts(rows), "counts": None}], PARTS_ARROW
         )
-        texts = [lowered(t) for t in rows.column("text").to_pylist()]
+        texts = [lowered(t.as_py()) for t in rows.column("text")]
         train = ~rows.column("held_out").to_numpy(zero_copy_only=False)
         out = []
         for kind, (keys, counts) in needed(texts, train, known).items():
@@ -341,7 +357,8 @@ SCORES = "n_tokens bigint, n_known bigint, n_bytes bigint, base_score double, sc
 def scored_chunk(texts: pa.Table, answers: pa.Table, buckets: int, tokens: int, distinct: int, out: pa.Schema) -> pa.Table:
     """The rows of a chunk with their scores."""
     rows = pa.concat_tables([unpacked_texts(x) for x in texts.column("keys").to_pylist()])
-    data = [lowered(t) for t in rows.column("text").to_pylist()]
+    data = [lowered(t.as_py()) for t in rows.column("text")]
+    rows = rows.drop_columns("text")
     by_bucket: dict[int, list] = {WORDS: [], GRAMS: []}
     for kind, bucket, values in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "values"))):
         by_bucket[kind].append((bucket, values))
@@ -354,22 +371,24 @@ def scored_chunk(texts: pa.Table, answers: pa.Table, buckets: int, tokens: int,
         return result
 
     words, sizes = word_keys(data, WordHashes())
-    keys, place = np.unique(words, return_inverse=True)
+    keys = distinct_of(words)
+    place = np.searchsorted(keys, words)
+    del words
     counts = aligned(WORDS, keys, "<i8")
     logs = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
     first = np.cumsum(sizes) - sizes
     base = np.add.reduceat(logs[place], first)
     known = np.add.reduceat((counts > 0)[place].astype(np.int64), first)
-    del words, place, logs, keys
+    del place, logs, keys
     pieces = []
-    for grams, owner in gram_keys(data):  # 8 bytes are held for each byte of text
+    for grams, owners, keys_of in gram_keys(data):  # 4 bytes are held for each byte of text
         found, where = np.unique(grams, return_inverse=True)
-        pieces.append((found, where.astype(np.int32), owner.astype(np.int32)))
-    grams = np.unique(np.concatenate([p[0] for p in pieces]))
+        pieces.append((found, where.astype(np.int32), owners, keys_of))
+    grams = distinct_of(np.concatenate([p[0] for p in pieces]))
     lengths = aligned(GRAMS, grams, "<f4")
     score = np.zeros(len(data))
-    for found, where, owner in pieces:
-        score += np.bincount(owner, lengths[np.searchsorted(grams, found)][where], len(data))
+    for found, where, owners, keys_of in pieces:
+        score += np.bincount(np.repeat(owners, keys_of), lengths[np.searchsorted(grams, found)][where], len(data))
     new = {"n_tokens": sizes, "n_known": known, "n_bytes": np.array([len(t) for t in data]), "base_score": base, "score": score}
     columns = {name: rows.column(name) for name in out.names if name not in new} | {n: pa.array(v) for n, v in new.items()}
     return pa.table([columns[name].cast(out.field(name).type) if hasattr(columns[name], "cast") else columns[name] for name in out.names], schema=out)

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -231,6 +232,34 @@ def test_context_tree_without_rows_or_training(spark):
     assert {r["doc_id"]: round(r["score"], 6) for r in rows} == {1: round(3 * 8 * math.log10(0.5), 6), 2: round(8 * math.log10(0.5), 6)}
 
 
+def test_memory_of_a_chunk_of_the_context_tree_is_bounded():
+    """Counting and scoring a full chunk sort a part of its grams at a time and hold 4 bytes for each byte of text."""
+    draw = random.Random(7)
+    pool = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(draw.choices(pool, k=400)) for _ in range(context_tree.CHUNK // 2600)]
+    rows = pa.table({"doc_id": range(len(texts)), "held_out": [i % 10 == 0 for i in range(len(texts))], "text": texts})
+    data, train = [t.encode() for t in texts], ~rows.column("held_out").to_numpy()
+
+    def traced(work):
+        tracemalloc.start()
+        made = work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return made, peak
+
+    found, peak = traced(lambda: context_tree.needed(data, train, context_tree.WordHashes()))
+    assert peak < 10 * context_tree.CHUNK
+    assert found[context_tree.GRAMS][1].sum() == sum(len(t) + 1 for t, learned in zip(data, train) if learned)
+    assert found[context_tree.WORDS][1].sum() == 401 * train.sum()
+    values = {context_tree.WORDS: np.ones(len(found[context_tree.WORDS][0]), "<i8"), context_tree.GRAMS: np.full(len(found[context_tree.GRAMS][0]), -1, "<f4")}
+    answers = pa.Table.from_pylist([{"chunk": 1, "kind": k, "bucket": 0, "values": v.tobytes()} for k, v in values.items()], context_tree.ANSWERS)
+    stored = pa.table({"keys": [context_tree.packed_texts(rows)]})
+    out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_bytes", pa.int64()), ("score", pa.float64())])
+    made, peak = traced(lambda: context_tree.scored_chunk(stored, answers, 1, 10, 10, out))
+    assert made.column("score").to_pylist() == [-len(t) - 1 for t in data]
+    assert peak < 15 * context_tree.CHUNK
+
+
 def test_probabilities_of_all_bytes_add_up():
     grams = np.arange(256, dtype=np.uint64) | np.uint64(0x61626364 << 8)
     counts = np.zeros(256, np.int64)
