@@ -4,7 +4,8 @@ Small trees are grown on the labelled texts' statistics; every path from a root
 conjunctive rule; a logistic model with a lasso penalty over the rules keeps few of them; the
 kept rules are compiled into one column expression, so scoring is a projection without Python.
 
-Statistics are built-in expressions over the whole text. Null texts count as empty texts, which
+Statistics are built-in expressions over the whole text; a class is counted by the length of what is
+left of the text, never by an array of its members. Null texts count as empty texts, which
 have all statistics 0 and get a score like any other. Without labels of both kinds the score is
 the share of label 1 (0.5 without labels). A doc_id with several labels trains with each of them.
 """
@@ -18,6 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import count_class
 from ..session import materialize
 from .line_rules import GAP, WORD, chars_in_words
 
@@ -31,6 +33,11 @@ STATISTICS = (
     "distinct_lines", "symbols", "separators", "marks", "calls", "upper", "digits", "letters", "ended_lines",
 )
 
+# Members of the character classes that are counted.
+SYMBOLS, SEPARATORS, MARKS, CALLS, DIGITS = r"#*$%&<>{}^~=@\\", "|»•·", ".,;:", "!?", "0-9"
+#: Only these are left of a text before they are counted one class after the other.
+SIGNS = SYMBOLS + SEPARATORS + MARKS + CALLS + DIGITS
+
 
 def share(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, F.lit(0.0)).otherwise(part / whole)
@@ -45,10 +52,11 @@ def with_statistics(df: DataFrame, text: str = "text", into: str = "statistics")
         body.alias("_body"),
         F.array_remove(F.split(body, GAP), "").alias("_words"),
         F.filter(F.split(body, "\n"), lambda line: F.regexp_like(line, F.lit(WORD))).alias("_lines"),
+        F.regexp_replace(body, f"[^{SIGNS}]+", "").alias("_signs"),
+        chars_in_words(body).alias("_chars"),  # a divisor of many: a pass over the text for each use otherwise
     )
-    words, lines = F.size("_words"), F.size("_lines")
-    chars = chars_in_words(F.col("_body"))
-    count = lambda pattern: F.regexp_count("_body", F.lit(pattern))
+    words, lines, chars = F.size("_words"), F.size("_lines"), F.col("_chars")
+    count = lambda members, of="_signs": count_class(F.col(of), members)
     echoed = F.zip_with(
         F.col("_words"), F.slice(F.col("_words"), 2, F.greatest(words, F.lit(1))), lambda a, b: F.coalesce(a == b, F.lit(False))
     )
@@ -62,13 +70,13 @@ def with_statistics(df: DataFrame, text: str = "text", into: str = "statistics")
         "lines": lines,
         "line_words": share(words, lines),
         "distinct_lines": share(F.size(F.array_distinct("_lines")), lines),
-        "symbols": share(count(r"[#*$%&<>{}^~=@\\]"), chars),
-        "separators": share(count(r"[|»•·]"), words),
-        "marks": share(count(r"[.,;:]"), words),
-        "calls": share(count(r"[!?]"), words),
-        "upper": share(count(r"\p{Lu}"), chars),
-        "digits": share(count(r"[0-9]"), chars),
-        "letters": share(count(r"\p{L}"), chars),
+        "symbols": share(count(SYMBOLS), chars),
+        "separators": share(count(SEPARATORS), words),
+        "marks": share(count(MARKS), words),
+        "calls": share(count(CALLS), words),
+        "upper": share(count(r"\p{Lu}", "_body"), chars),
+        "digits": share(count(DIGITS), chars),
+        "letters": share(count(r"\p{L}", "_body"), chars),
         "ended_lines": share(F.size(F.filter("_lines", lambda x: F.regexp_like(x, F.lit(r"[.!?]\s*$")))), lines),
     }
     struct = F.struct(*[values[name].cast("double").alias(name) for name in STATISTICS])

@@ -69,6 +69,14 @@ def test_statistics_by_their_definitions(spark):
         assert found == pytest.approx(wanted, rel=1e-12), row["text"]
 
 
+def test_statistics_hold_no_array_of_characters_and_share_a_divisor(spark):
+    """A pass over the text makes no object for each character, and what divides many counts is counted once."""
+    made = rule_ensemble.with_statistics(frame(spark, ["a b"])).select("statistics")
+    plan = made._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "regexp_extract_all" not in plan and "regexp_count" not in plan
+    assert plan.count("translate(") == 1
+
+
 def plain_score(model, statistics):
     total = model.intercept
     for rule in model.rules:
