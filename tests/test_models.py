@@ -468,3 +468,46 @@ def test_network_epoch_sends_one_state_and_leaves_no_shuffle(spark, table, monke
                     own.step(shape.gradient(own.weights, xs[mine], ys[mine], 0.0, rng)[0] / len(mine), 0.01)
                 mean, seen = mean + own.weights * n, seen + n
     assert seen == 540 and np.allclose(state.weights, mean / seen, atol=1e-12)
+
+
+def test_every_part_of_the_shards_is_a_task_of_its_own(spark, table, monkeypatch):
+    """Parts that share a file or a task run one after the other while cores wait; the last epoch only judges."""
+    from pairscore.session import FILE_COST, task_per_file
+
+    collected, collect = [], type(table).collect
+    monkeypatch.setattr(type(table), "collect", lambda df: collected.append(collect(df)) or collected[-1])
+    x = F.array(*NAMES).alias("x")
+    rows = table.select("line_no", (F.col("line_no") % 10 == 0).alias("held"), x, F.col("ccmatrix_score").alias("y"))
+    packed = network.pack_shards(rows, "line_no", 100, 42)
+    cost = spark.conf.get(FILE_COST)
+    assert packed.count() == len(packed.inputFiles()) == 50
+    with task_per_file(spark):
+        assert packed.select("part").rdd.getNumPartitions() == 50
+    assert spark.conf.get(FILE_COST) == cost
+    shape = network.Shape(3, 4, 2)
+    start = network.Optimizer.start(shape.start(1))
+    after, made, held = network.run_epoch(packed, 100, shape, start, None, 4, 0.0, 0.01, 42)
+    assert after is start and made[2] == 0 and held[2] == 60
+    assert [len(r["total"]) for r in collected[-1]] == [7 * 8]
+
+
+@pytest.mark.parametrize("residual", [False, True])
+def test_steps_move_weights_in_place_by_the_formula(residual, monkeypatch):
+    monkeypatch.setattr(network, "STEP_BLOCK", 7)
+    rng = np.random.default_rng(3)
+    shape = Shape(3, 5, 2, residual)
+    given = [rng.normal(size=shape.size()), rng.normal(size=shape.size()), rng.random(shape.size())]
+    weights, first, second = (a.copy() for a in given)
+    own = network.Optimizer(*given, 2)
+    place = own.weights
+    for steps in (3, 4):
+        x, y = rng.normal(size=(6, 3)), rng.normal(size=6)
+        gradient = shape.gradient(own.weights, x, y, 0.3, rng)[0]
+        own.step(gradient, 0.01, 6)
+        first = 0.9 * first + (1 - 0.9) * (gradient / 6)
+        second = 0.999 * second + (1 - 0.999) * (gradient / 6) * (gradient / 6)
+        rate = 0.01 * math.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)
+        weights = weights - rate * first / (np.sqrt(second) + 1e-7)
+        assert np.allclose(own.weights, weights, atol=1e-14) and own.steps == steps
+    assert own.weights is place  # no new arrays of all weights, which took most of a step
+    assert own.weights is not given[0] and not np.array_equal(own.weights, given[0])
