@@ -236,3 +236,51 @@ def test_texts_longer_than_a_portion(spark, monkeypatch):
     parts = [long[:45], "", "ab", long[50:61]]
     pairs = [(r, (a << signals.CODE_BITS) | ord(b)) for r, t in enumerate(parts) for a, b in zip([signals.START, *map(ord, t)], t)]
     assert list(zip(of.tolist(), keys.tolist())) == pairs
+
+
+def test_table_of_chances_gives_the_numbers_of_the_search(spark, monkeypatch):
+    """A model's log p are looked up in a table, so that a text's bigrams need not be sorted; a large alphabet goes without."""
+    rows = [(1, "abcab雨𝄞"), (2, "zzz\u03a3 nie"), (3, ""), (4, None), (5, "b" * 57 + "雨x")]
+    df = spark.createDataFrame(rows, "line_no long, target string").coalesce(1)
+    for known in (df.filter("line_no = 1"), df.filter("line_no > 2"), df.filter("line_no = 3")):
+        lm = signals.fit_char_lm(known, "target")
+        table = lm.toArrow().sort_by("bigram")
+        bigrams, counts = (table[c].to_numpy() for c in ("bigram", "n"))
+        contexts, first = np.unique(bigrams >> signals.CODE_BITS, return_index=True)
+        context_n = np.add.reduceat(counts, first) if len(first) else counts
+        vocabulary = len(np.unique(bigrams & ((1 << signals.CODE_BITS) - 1)))
+        made = signals.chance_table(bigrams, counts, contexts, context_n, vocabulary)
+        places = signals.character_places(made[0])
+        for portion in (10, 1 << 19):
+            monkeypatch.setattr(signals, "PORTION", portion)
+            texts = [t or "" for _, t in rows]
+            log_p, of = map(np.concatenate, zip(*signals._looked_up(texts, places, made[1])))
+            seen, among = dict(zip(bigrams.tolist(), counts.tolist())), dict(zip(contexts.tolist(), context_n.tolist()))
+            expected = []
+            for text in texts:
+                codes = [signals.START, *map(ord, text)]
+                chances = [(seen.get((a << signals.CODE_BITS) | b, 0) + 1.0, among.get(a, 0) + vocabulary) for a, b in zip(codes, codes[1:])]
+                expected.append(sum(np.log(a / b) if b else np.inf for a, b in chances))
+            assert np.allclose(np.bincount(of, weights=log_p, minlength=len(rows)), expected, atol=1e-12)
+        by_table = [r[1] for r in signals.char_lm_perplexity(df, "target", lm).select("line_no", "chinese_perplexity").orderBy("line_no").collect()]
+        monkeypatch.setattr(signals, "MOST_CHANCES", 3)
+        assert signals.chance_table(bigrams, counts, contexts, context_n, vocabulary) is None
+        by_search = [r[1] for r in signals.char_lm_perplexity(df, "target", lm).select("line_no", "chinese_perplexity").orderBy("line_no").collect()]
+        monkeypatch.undo()
+        assert by_table == by_search and by_table[2] is by_table[3] is None
+
+
+@pytest.mark.parametrize("n, multiplier", [(1, 7), (2, 131), (3, 31), (3, 5003)])
+def test_hashes_are_those_of_wide_integers(n, multiplier, monkeypatch):
+    """Hashes of 32 bits where they fit (the last case doesn't), whatever the lengths of neighbours."""
+    monkeypatch.setattr(signals, "PORTION", 7)
+    texts = ["", "a", "𝄞\U0010ffff" * 9, "ab", "", "x", "y", "zébu 雨雨", "\U0010ffff" * 3, ""]
+    got = signals.HashedNgrams(n, 13, multiplier)(texts)
+    for row, text in zip(got, texts):
+        counts = np.zeros(13)
+        for at in range(len(text) - n + 1):
+            code = 0
+            for c in text[at : at + n]:
+                code = code * multiplier + ord(c)
+            counts[code % 13] += 1
+        assert np.allclose(row, counts / (np.sqrt((counts**2).sum()) or 1.0), atol=1e-15)
