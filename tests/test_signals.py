@@ -284,3 +284,27 @@ def test_hashes_are_those_of_wide_integers(n, multiplier, monkeypatch):
                 code = code * multiplier + ord(c)
             counts[code % 13] += 1
         assert np.allclose(row, counts / (np.sqrt((counts**2).sum()) or 1.0), atol=1e-15)
+
+
+def test_distinct_characters_of_texts(spark, monkeypatch):
+    """Each once, across the cuts of a long text too, whether marked or sorted; features from them are those found in the JVM."""
+    from pairscore.plans.features import row_features, text_features
+
+    rng = np.random.default_rng(8)
+    texts = ["", None, "a𝄞a\U0010ffff", "Σίσυφος ΣΑΣ", "İstanbul ß", "雨停了。" * 9, "".join(rng.choice(list("abcdé雨𝄞 "), size=500)), None, "zz"]
+    for portion, marks in ((1 << 19, 1 << 24), (11, 1 << 24), (11, 3)):
+        monkeypatch.setattr(signals, "PORTION", portion)
+        monkeypatch.setattr(signals, "MOST_MARKS", marks)
+        got = signals._distinct(texts)
+        assert [None if t is None else sorted(t) for t in got] == [None if t is None else sorted(set(t)) for t in texts]
+    monkeypatch.undo()
+    rows = [(i, s, t) for i, (s, t) in enumerate(zip(texts, reversed(texts)))]
+    df = spark.createDataFrame(rows, "line_no long, source string, target string")
+    lm = signals.fit_char_lm(df, "target")
+    made, plain = row_features(df, lm), text_features(df)
+    plan, other = (d._jdf.queryExecution().executedPlan().toString() for d in (made, plain))
+    assert "split(source" in other and "split(source" not in plan  # no string of its own for every character
+    assert plan.count("ArrowEvalPython") == 1
+    assert not [c for c in made.columns if c.startswith("_")]
+    names = plain.columns
+    assert made.select(names).orderBy("line_no").collect() == plain.orderBy("line_no").collect()
